@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from . import aggregates, filters, joins, timeseries  # noqa: F401
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

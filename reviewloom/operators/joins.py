@@ -61,14 +61,19 @@ def topic_array(topics: DataFrame | Sequence[str], column: str = "topic") -> Col
     return checked.scalar()
 
 
-def found_topics(
-    topics: DataFrame | Sequence[str], col: str = "cleaned_text", regex: bool = False
-) -> Column:
-    """The topics that occur in the text, ignoring case."""
+def with_topics(
+    df: DataFrame, topics: DataFrame | Sequence[str], col: str = "cleaned_text", regex: bool = False
+) -> DataFrame:
+    """Add ``topics``: those that occur in the text, ignoring case.
+
+    Each text is tested against the few topics while it is read.
+    """
     lowered = F.lower(text_or_empty(F.col(col)))
     if regex:
-        return F.filter(topic_array(topics), lambda t: F.rlike(lowered, F.concat(F.lit("(?i)"), t)))
-    return F.filter(topic_array(topics), lambda t: F.contains(lowered, F.lower(t)))
+        found = F.filter("__topics", lambda t: F.rlike(lowered, F.concat(F.lit("(?i)"), t)))
+    else:
+        found = F.filter("__topics", lambda t: F.contains(lowered, F.lower(t)))
+    return df.withColumn("__topics", topic_array(topics)).withColumn("topics", found).drop("__topics")
 
 
 def topic_mentions(
@@ -76,10 +81,10 @@ def topic_mentions(
 ) -> DataFrame:
     """One row per review and topic that occurs in its text.
 
-    Each text is tested against the topics while it is read and only the matches
-    are emitted, so nothing is shuffled or paired up.
+    Only the matches are emitted, so nothing is shuffled or paired up.
     """
-    return df.withColumn("topic", F.explode(found_topics(topics, col, regex)))
+    found = with_topics(df, topics, col, regex)
+    return found.withColumn("topic", F.explode("topics")).drop("topics")
 
 
 def lexicon_table(df: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:

@@ -209,12 +209,12 @@ def polarity_columns(
         return F.struct(*[v.alias(k) for k, v in parts.items()])
 
     rows = F.transform(hits, row)
-    totals = {
-        name: F.aggregate(rows, F.lit(0.0), lambda acc, r, name=name: acc + r[name])
-        for name in ("hits", "polarity_sum", "subjectivity_sum", "valence_sum", "up", "down")
-    }
+
+    def total(name: str) -> Column:
+        return F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + r[name])
+
     tokens = F.size(_score_tokens(text)).cast("double")
-    return _polarity_columns(totals.__getitem__, tokens, prefix)
+    return _polarity_columns(total, tokens, prefix)
 
 
 def lexicon_polarity(

@@ -18,7 +18,7 @@ from ..plans.scratch import materialize
 from ..schema import SENTIMENTS
 from . import keywords as K
 from .aggregates import common_complaints, worst_category_insight
-from .joins import found_topics, topic_mentions
+from .joins import topic_mentions, with_topics
 
 
 def topic_tokens(df: DataFrame, text_col: str = "cleaned_text", ngram_range=(1, 2)) -> DataFrame:
@@ -293,7 +293,7 @@ def topic_cooccurrence(
 
     The topics of a review are found in its row, and there are few of them.
     """
-    lists = df.select(found_topics(topics, text_col).alias("ts"))
+    lists = with_topics(df.select(text_col), topics, text_col).select(F.col("topics").alias("ts"))
     pairs = lists.select(F.explode("ts").alias("topic_a"), "ts").select(
         "topic_a", F.explode("ts").alias("topic_b")
     )

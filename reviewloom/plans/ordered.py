@@ -19,13 +19,17 @@ _BUCKET = "__range"
 
 
 def _with_range(df: DataFrame, order: str, ranges: int) -> DataFrame:
+    """Number the range of each row by how many bounds lie below its value."""
     points = [i / ranges for i in range(1, ranges)]
     bounds = df.agg(
-        F.array_distinct(F.percentile_approx(F.col(order).cast("double"), points, 10000)).alias("b")
+        F.array_distinct(F.percentile_approx(F.col(order).cast("double"), points, 10000))
     ).scalar()
     value = F.col(order).cast("double")
-    return df.withColumn(
-        _BUCKET, F.coalesce(F.size(F.filter(bounds, lambda b: b < value)), F.lit(-1))
+    below = F.size(F.filter("__bounds", lambda b: b < value))
+    return (
+        df.withColumn("__bounds", bounds)
+        .withColumn(_BUCKET, F.coalesce(below, F.lit(-1)))
+        .drop("__bounds")
     )
 
 
