@@ -1,6 +1,16 @@
 """All registered queries."""
 
-from . import aggregates, filters, joins, timeseries  # noqa: F401
+from . import (  # noqa: F401
+    aggregates,
+    business,
+    evaluation,
+    filters,
+    joins,
+    keywords,
+    ranking,
+    text,
+    timeseries,
+)
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
