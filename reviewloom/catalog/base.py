@@ -19,7 +19,7 @@ from ..functions.text import (
 from ..functions.text import EMAIL as EMAIL_PATTERN
 from ..functions.wordlists import CONTRACTIONS, ENGLISH_STOP_WORDS
 from ..operators.aggregates import reading_sizes
-from ..sources.readers import parse_review_date
+from ..sources.readers import parse_review_date, spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -72,6 +72,8 @@ class Views:
 
     def _sql(self, text: str) -> DataFrame:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+        if "documents" in used:
+            used["documents"] = spread(used["documents"], "doc_id")
         return parse_review_date(self.spark.sql(text, **used))
 
     @cached_property

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .wordlists import (
@@ -70,8 +70,7 @@ def strip_urls(text: Column) -> Column:
 
 def strip_emails(text: Column) -> Column:
     # A match always covers its whole token, so only token starts need to be tried.
-    found = F.regexp_replace(text, rf"(?<![^{SPACE}]){EMAIL}", " ")
-    return F.when(F.contains(text, F.lit("@")), found).otherwise(text)
+    return F.regexp_replace(text, rf"(?<![^{SPACE}]){EMAIL}", " ")
 
 
 def strip_phones(text: Column) -> Column:
@@ -158,20 +157,42 @@ def gram_tokens(text: Column, stop_words=()) -> Column:
 
 
 def ngrams(tokens: Column, lo: int = 1, hi: int = 3) -> Column:
-    """All n-grams of lo..hi tokens, joined by one space."""
+    """All n-grams of lo..hi tokens, joined by one space.
+
+    Shifted slices are zipped, so the work is linear in the number of tokens even
+    where the optimizer puts the token expression in place of its column.
+    """
 
     def of(n: int) -> Column:
-        if n == 1:
-            return tokens
-        joined = F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (n - 1)),
-            lambda i: F.concat_ws(" ", *[F.element_at(tokens, i + j) for j in range(n)]),
-        )
-        return F.when(F.size(tokens) >= n, joined).otherwise(F.array().cast("array<string>"))
+        count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        grams = F.slice(tokens, 1, count) if n > 1 else tokens
+        for start in range(2, n + 1):
+            grams = F.zip_with(
+                grams, F.slice(tokens, start, count), lambda a, b: F.concat_ws(" ", a, b)
+            )
+        return grams
 
     return F.concat(*[of(n) for n in range(lo, hi + 1)]) if hi > lo else of(lo)
 
 
+def exploded(df: DataFrame, array: Column, *keep: str, out: str = "term") -> DataFrame:
+    """One row per element of an array of non-null values.
+
+    For a plain ``explode`` the optimizer adds a filter on the array's size, pushes
+    it below the projections and so computes the array twice; the outer form is
+    exempt, and its row for an empty array is dropped here.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
+
+
+def with_grams(
+    df: DataFrame, text_col: str, lo: int = 1, hi: int = 3, stop_words=(), out: str = "grams"
+) -> DataFrame:
+    """Add the n-grams of a text column, its tokens computed once."""
+    tokens = df.withColumn("__tokens", gram_tokens(F.col(text_col), stop_words))
+    return tokens.withColumn(out, ngrams(F.col("__tokens"), lo, hi)).drop("__tokens")
+
+
 def syllables(word: Column) -> Column:
     """Vowel groups less a silent final e, at least one."""
     groups = F.regexp_count(word, F.lit("[aeiouy]+"))

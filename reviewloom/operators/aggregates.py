@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.text import WORD, gram_tokens, squeeze, text_or_empty, words
+from ..functions.text import WORD, exploded, gram_tokens, squeeze, text_or_empty, words
 from ..functions.wordlists import ENGLISH_STOP_WORDS, SERVICE_WORDS
 from ..plans.ordered import quantiles, top_rows
 from ..schema import SENTIMENTS
@@ -445,8 +445,8 @@ def category_topics_summary(df: DataFrame, min_docs: int = 50) -> DataFrame:
 
 
 def _word_counts(df: DataFrame, label: str, tokens: Column) -> DataFrame:
-    exploded = df.where(F.col(label).isNotNull()).select(label, F.explode(tokens).alias("word"))
-    return exploded.groupBy(label, "word").agg(_n())
+    rows = exploded(df.where(F.col(label).isNotNull()), tokens, label, out="word")
+    return rows.groupBy(label, "word").agg(_n())
 
 
 def top_words_by_sentiment(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import labels as L
-from ..functions.text import text_or_empty, words
+from ..functions.text import exploded, text_or_empty, words
 from ..plans.ordered import top_rows
 
 MAX_TOPICS = 1000
@@ -84,7 +84,7 @@ def topic_mentions(
     Only the matches are emitted, so nothing is shuffled or paired up.
     """
     found = with_topics(df, topics, col, regex)
-    return found.withColumn("topic", F.explode("topics")).drop("topics")
+    return exploded(found, F.col("topics"), *df.columns, out="topic")
 
 
 def lexicon_table(df: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:
@@ -99,7 +99,7 @@ def lexicon_join(df: DataFrame, lexicon: DataFrame, col: str = "cleaned_text") -
     Counts are combined per task before the shuffle. The planner broadcasts the
     lexicon when its size allows.
     """
-    tokens = df.select("review_id", F.explode(words(F.lower(text_or_empty(F.col(col))))).alias("term"))
+    tokens = exploded(df, words(F.lower(text_or_empty(F.col(col)))), "review_id")
     return (
         tokens.join(lexicon, "term")
         .groupBy("review_id")

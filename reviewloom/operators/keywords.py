@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD, gram_tokens, ngrams, text_or_empty
+from ..functions.text import WORD, exploded, ngrams, text_or_empty, with_grams
 from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..plans.ordered import top_rows
 from ..plans.scratch import materialize
@@ -32,12 +32,8 @@ def scoped_keywords(
     joins the terms with it, so only vocabulary terms are shuffled. All scopes are
     done together.
     """
-    base = docs.select(
-        *scopes, key,
-        F.explode(
-            ngrams(gram_tokens(F.col(text_col), stop_words), *ngram_range)
-        ).alias("term"),
-    )
+    grams = with_grams(docs.select(*scopes, key, text_col), text_col, *ngram_range, stop_words)
+    base = exploded(grams, F.col("grams"), *scopes, key)
     counts = base.groupBy(*scopes, "term").agg(F.count(F.lit(1)).alias("n"))
     terms = materialize(
         top_rows(counts, scopes, [F.desc("n"), F.asc("term")], vocab).select(*scopes, "term"),
@@ -49,7 +45,8 @@ def scoped_keywords(
         .groupBy(*scopes, key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df_counts = tf.groupBy(*scopes, "term").agg(F.count(F.lit(1)).alias("df"))
+    # Reading tf here keeps both uses of the table alike, so that one shuffle serves them.
+    df_counts = tf.groupBy(*scopes, "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = df_counts.join(sizes, scopes).select(
         *scopes,
         "term",
@@ -203,7 +200,7 @@ def doc_keywords(
     grams = (
         df.select(key, F.explode(sentences).alias("s"))
         .select(key, F.regexp_extract_all("s", F.lit(rf"[{WORD}]+"), 0).alias("t"))
-        .select(key, F.explode(ngrams(F.col("t"), 1, n)).alias("phrase"))
+        .transform(exploded, ngrams(F.col("t"), 1, n), key, out="phrase")
         .groupBy(key, "phrase")
         .agg(F.count(F.lit(1)).alias("ptf"))
     )

@@ -35,14 +35,11 @@ def _gram_sql(text_col: str, lo: int, hi: int) -> str:
     tokens = f"regexp_extract_all(lower(coalesce({text_col}, '')), '{pattern}', 0)"
     parts = []
     for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append("__t")
-            continue
-        gram = ", ".join(f"__t[i + {j}]" for j in range(n))
-        parts.append(
-            f"if(size(__t) >= {n}, transform(sequence(0, greatest(size(__t) - {n}, 0)),"
-            f" i -> concat_ws(' ', {gram})), array())"
-        )
+        count = f"greatest(size(__t) - {n - 1}, 0)"
+        gram = f"slice(__t, 1, {count})"
+        for start in range(2, n + 1):
+            gram = f"zip_with({gram}, slice(__t, {start}, {count}), (a, b) -> concat_ws(' ', a, b))"
+        parts.append(gram)
     return (
         f"SELECT * EXCEPT (__t), concat({', '.join(parts)}) AS grams"
         f" FROM (SELECT *, {tokens} AS __t FROM __THIS__)"

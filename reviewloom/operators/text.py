@@ -384,8 +384,8 @@ def all_features(df: DataFrame, col: str = "review_text") -> DataFrame:
 
 def ngrams(df: DataFrame, col: str = "cleaned_text", lo: int = 1, hi: int = 3, stop_words=()) -> DataFrame:
     """One row per n-gram of each review."""
-    grams = X.ngrams(X.gram_tokens(F.col(col), stop_words), lo, hi)
-    return df.select("review_id", F.explode(grams).alias("term"))
+    grams = X.with_grams(df.select("review_id", col), col, lo, hi, stop_words)
+    return X.exploded(grams, F.col("grams"), "review_id")
 
 
 def processed_features(df: DataFrame) -> DataFrame:

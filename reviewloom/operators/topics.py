@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import gram_tokens, ngrams, text_or_empty, words
+from ..functions.text import exploded, text_or_empty, with_grams, words
 from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..plans.ordered import top_rows
 from ..plans.scratch import materialize
@@ -22,8 +22,7 @@ from .joins import topic_mentions, with_topics
 
 
 def topic_tokens(df: DataFrame, text_col: str = "cleaned_text", ngram_range=(1, 2)) -> DataFrame:
-    grams = ngrams(gram_tokens(F.col(text_col), ENGLISH_STOP_WORDS), *ngram_range)
-    return df.withColumn("grams", grams)
+    return with_grams(df, text_col, *ngram_range, ENGLISH_STOP_WORDS)
 
 
 def train_lda(
@@ -156,10 +155,10 @@ def cluster_words(
     """Class-based TF-IDF: the best terms of every cluster with enough documents."""
     sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"))
     kept = sizes.where(F.col("docs") >= min_size)
-    grams = ngrams(gram_tokens(F.col(text_col), ENGLISH_STOP_WORDS), *ngram_range)
+    members = assigned.join(kept.select("cluster"), "cluster", "left_semi")
     tf = (
-        assigned.join(kept.select("cluster"), "cluster", "left_semi")
-        .select("cluster", F.explode(grams).alias("term"))
+        with_grams(members.select("cluster", text_col), text_col, *ngram_range, ENGLISH_STOP_WORDS)
+        .transform(exploded, F.col("grams"), "cluster")
         .groupBy("cluster", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import labels as L
-from ..functions.text import gram_tokens
+from ..functions.text import exploded, gram_tokens
 from ..functions.wordlists import ENGLISH_STOP_WORDS, URGENT_WORDS
 from ..operators.filters import urgent_keyword_flag
 from ..plans.scratch import scratch_path
@@ -137,9 +137,8 @@ def stream_trending_terms(
     text_col: str = "review_text",
 ) -> DataFrame:
     """Term counts per sliding window; ``top_terms`` ranks them where they are stored."""
-    terms = _timed(stream, watermark).select(
-        "review_date", F.explode(gram_tokens(F.col(text_col), ENGLISH_STOP_WORDS)).alias("term")
-    )
+    tokens = gram_tokens(F.col(text_col), ENGLISH_STOP_WORDS)
+    terms = exploded(_timed(stream, watermark), tokens, "review_date")
     return (
         terms.groupBy(F.window("review_date", window, slide), "term")
         .agg(F.count(F.lit(1)).alias("n"))
