@@ -7,7 +7,9 @@ from . import (  # noqa: F401
     filters,
     joins,
     keywords,
+    ml,
     ranking,
+    streams,
     text,
     timeseries,
 )

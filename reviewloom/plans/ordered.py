@@ -152,6 +152,30 @@ def top_rows(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
+HASH_BUCKETS = 4096
+
+
+def _hash_buckets(df: DataFrame, key: str, seed: int) -> DataFrame:
+    hashed = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
+    bucket = F.pmod(F.shiftright("__h", 20), F.lit(HASH_BUCKETS)).cast("int")
+    return hashed.withColumn("__b", bucket)
+
+
+def rank_by_hash(df: DataFrame, stratum: str, key: str, seed: int = 42) -> DataFrame:
+    """Add ``hash_rank``: the position of a row in its stratum in hash order, from 0."""
+    hashed = _hash_buckets(df, key, seed)
+    upto = Window.partitionBy(stratum).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        hashed.groupBy(stratum, "__b")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(stratum, "__b", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
+    )
+    inside = Window.partitionBy(stratum, "__b").orderBy("__h", key)
+    return _null_safe_join(hashed, starts, [stratum, "__b"]).select(
+        *df.columns, (F.col("__start") + F.row_number().over(inside) - 1).alias("hash_rank")
+    )
+
+
 def split_by_hash(
     df: DataFrame, stratum: str, key: str, fraction: float, seed: int = 42, flag: str = "is_train"
 ) -> DataFrame:
@@ -160,9 +184,7 @@ def split_by_hash(
     Counts per hash bucket decide every bucket but one per stratum; only the rows
     of that one are ranked.
     """
-    buckets = 4096
-    hashed = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
-    hashed = hashed.withColumn("__b", F.pmod(F.shiftright("__h", 20), F.lit(buckets)).cast("int"))
+    hashed = _hash_buckets(df, key, seed)
     counts = hashed.groupBy(stratum, "__b").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(stratum).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(stratum)

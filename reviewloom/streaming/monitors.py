@@ -59,13 +59,12 @@ def stream_negative_rate(
     )
 
 
-def stream_sentiment_drop(
-    stream: DataFrame, drop: float = 0.10, window: str = "1 day", watermark: str = "1 hour"
-) -> DataFrame:
+def stream_sentiment_drop(rates: DataFrame, drop: float = 0.10) -> DataFrame:
     """Windows whose negative rate rose by more than ``drop`` over the one before.
 
-    Reviews are aggregated to one row per window and category first; the state keeps
-    the last rate of a category only.
+    ``rates`` streams the table that ``stream_negative_rate`` appends to: one row per
+    closed window and category, so the groups are short. The state keeps the last
+    rate of a category.
     """
 
     def compare(
@@ -82,7 +81,6 @@ def stream_sentiment_drop(
             ["category", "window_start", "negative_rate", "change", "alert"]
         ]
 
-    rates = stream_negative_rate(stream, window, watermark)
     return rates.groupBy("category").applyInPandasWithState(
         compare,
         "category string, window_start timestamp, negative_rate double, change double, alert boolean",
@@ -92,13 +90,20 @@ def stream_sentiment_drop(
     )
 
 
-def stream_volume_anomaly(
-    stream: DataFrame, window: str = "1 hour", slide: str = "15 minutes", z: float = 3.0,
-    watermark: str = "1 hour",
+def stream_volume(
+    stream: DataFrame, window: str = "1 hour", slide: str = "15 minutes", watermark: str = "1 hour"
 ) -> DataFrame:
-    """Sliding-window volume of each category against its running mean.
+    """Reviews per sliding window and category."""
+    return _windowed(stream, window, watermark, slide, "category").select(
+        F.col("window.start").alias("window_start"), "category", "n"
+    )
+
+
+def stream_volume_anomaly(volumes: DataFrame, z: float = 3.0) -> DataFrame:
+    """The volume of each window against the running mean of its category.
 
-    The state holds count, mean and squared deviation of the windows seen so far.
+    ``volumes`` streams the table that ``stream_volume`` appends to. The state holds
+    count, mean and squared deviation of the windows seen so far.
     """
 
     def compare(
@@ -120,10 +125,7 @@ def stream_volume_anomaly(
             ["category", "window_start", "n", "z_score", "alert"]
         ]
 
-    counts = _windowed(stream, window, watermark, slide, "category").select(
-        F.col("window.start").alias("window_start"), "category", "n"
-    )
-    return counts.groupBy("category").applyInPandasWithState(
+    return volumes.groupBy("category").applyInPandasWithState(
         compare,
         "category string, window_start timestamp, n bigint, z_score double, alert boolean",
         "count bigint, mean double, m2 double",
@@ -177,10 +179,8 @@ def stream_dedup(stream: DataFrame, id_col: str = "review_id", watermark: str =
     return _timed(stream, watermark).dropDuplicatesWithinWatermark([id_col])
 
 
-def run_available(result: DataFrame, timeout: int = 600) -> DataFrame:
-    """Run an append-mode stream over what is there now into a table, and read it."""
-    spark = result.sparkSession
-    path = scratch_path(spark, "stream")
+def _run(result: DataFrame, timeout: int) -> str:
+    path = scratch_path(result.sparkSession, "stream")
     query = (
         result.writeStream.format("parquet")
         .outputMode("append")
@@ -191,7 +191,19 @@ def run_available(result: DataFrame, timeout: int = 600) -> DataFrame:
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("the stream did not finish")
-    return spark.read.schema(result.schema).parquet(path)
+    return path
+
+
+def run_available(result: DataFrame, timeout: int = 600) -> DataFrame:
+    """Run an append-mode stream over what is there now into a table, and read it."""
+    path = _run(result, timeout)
+    return result.sparkSession.read.schema(result.schema).parquet(path)
+
+
+def restream(result: DataFrame, timeout: int = 600) -> DataFrame:
+    """Run an append-mode stream into a table, and stream that table."""
+    path = _run(result, timeout)
+    return read_review_stream(result.sparkSession, path, result.schema)
 
 
 def run_available_updates(result: DataFrame, keys: Sequence[str], timeout: int = 600) -> DataFrame:
