@@ -182,8 +182,7 @@ def _(v):
 @query("lexicon_polarity_row", f"WITH {POLARITY.strip()}", DOCS)
 def _(v):
     lexicon = {t: (p, s) for t, p, s in WEIGHTS}
-    df = v.docs.select("review_id", "review_text")
-    return df.withColumns(H.polarity_columns(F.col("review_text"), lexicon)).drop("review_text")
+    return H.row_polarity(v.docs.select("review_id", "review_text"), lexicon=lexicon).drop("review_text")
 
 
 READ = f"""
@@ -234,8 +233,7 @@ def _(v):
 
 
 def _derived(df):
-    df = H.special_patterns(H.punctuation_features(H.text_stats(df)))
-    return df.withColumns(H.polarity_columns(F.col("review_text")))
+    return H.special_patterns(H.punctuation_features(df))
 
 
 @query(

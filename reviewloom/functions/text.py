@@ -38,6 +38,14 @@ _MARK = "\ue000"
 CLEAN_STOP_WORDS = tuple(w for w in ENGLISH_STOP_WORDS if w not in KEPT_STOP_WORDS)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for a row.
+
+    Inside a lambda a plain expression would be computed for every element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -30,8 +30,8 @@ def class_metrics(pred: DataFrame) -> DataFrame:
     sides = table.select(
         F.explode(
             F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")),
+                F.struct(F.col("label").cast("string").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted")),
+                F.struct(F.col("prediction").cast("string").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")),
             )
         ).alias("s"),
         F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hit"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import labels as L
-from ..functions.text import exploded, text_or_empty, words
+from ..functions.text import bind, exploded, text_or_empty, words
 from ..plans.ordered import top_rows
 
 MAX_TOPICS = 1000
@@ -68,11 +68,16 @@ def with_topics(
 
     Each text is tested against the few topics while it is read.
     """
-    lowered = F.lower(text_or_empty(F.col(col)))
-    if regex:
-        found = F.filter("__topics", lambda t: F.rlike(lowered, F.concat(F.lit("(?i)"), t)))
-    else:
-        found = F.filter("__topics", lambda t: F.contains(lowered, F.lower(t)))
+
+    def occurs(text: Column, topic: Column) -> Column:
+        if regex:
+            return F.rlike(text, F.concat(F.lit("(?i)"), topic))
+        return F.contains(text, F.lower(topic))
+
+    found = bind(
+        F.lower(text_or_empty(F.col(col))),
+        lambda text: F.filter("__topics", lambda topic: occurs(text, topic)),
+    )
     return df.withColumn("__topics", topic_array(topics)).withColumn("topics", found).drop("__topics")
 
 

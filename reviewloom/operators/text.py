@@ -175,15 +175,12 @@ def _score_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"[{X.WORD}']+"), 0)
 
 
-def polarity_columns(
-    text: Column, lexicon: Mapping[str, tuple[float, float]] | None = None, prefix: str = "sent_"
-) -> dict[str, Column]:
-    """Polarity scores inside the row, for a lexicon small enough to be part of the plan.
+def polarity_totals(text: Column, lexicon: Mapping[str, tuple[float, float]]) -> Column:
+    """Sums over the sentiment words of a text, for a lexicon small enough to be part of the plan.
 
     The text is cut down to its sentiment words and the word before each, so only
     those few are weighed.
     """
-    lexicon = lexicon or default_lexicon()
     alternatives = "|".join(sorted(lexicon, key=len, reverse=True))
     lowered = F.lower(text)
     edge = rf"(?<![{X.WORD}'])"
@@ -208,13 +205,30 @@ def polarity_columns(
         parts = _polarity_totals(weigh(hit, 0), weigh(hit, 1), negated, F.lit(1.0))
         return F.struct(*[v.alias(k) for k, v in parts.items()])
 
-    rows = F.transform(hits, row)
+    names = ("hits", "polarity_sum", "subjectivity_sum", "valence_sum", "up", "down")
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
+    return F.aggregate(
+        F.transform(hits, row),
+        zero,
+        lambda acc, r: F.struct(*[(acc[n] + r[n]).alias(n) for n in names]),
+    )
 
-    def total(name: str) -> Column:
-        return F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + r[name])
 
-    tokens = F.size(_score_tokens(text)).cast("double")
-    return _polarity_columns(total, tokens, prefix)
+def row_polarity(
+    df: DataFrame, col: str = "review_text",
+    lexicon: Mapping[str, tuple[float, float]] | None = None, prefix: str = "sent_", keep=None,
+) -> DataFrame:
+    """Add the polarity scores of a text column; ``keep`` names those wanted, else all."""
+    text = X.text_or_empty(F.col(col))
+    staged = df.withColumns(
+        {
+            "__p": polarity_totals(text, lexicon or default_lexicon()),
+            "__n": X.count_pattern(text, rf"[{X.WORD}']+").cast("double"),
+        }
+    )
+    columns = _polarity_columns(lambda n: F.col(f"__p.{n}"), F.col("__n"), prefix)
+    wanted = {k: v for k, v in columns.items() if keep is None or k in keep}
+    return staged.withColumns(wanted).drop("__p", "__n")
 
 
 def lexicon_polarity(
@@ -372,7 +386,7 @@ def engagement_potential(df: DataFrame) -> DataFrame:
 def all_features(df: DataFrame, col: str = "review_text") -> DataFrame:
     """The wide feature table. It is one projection: nothing is shuffled."""
     df = punctuation_features(text_stats(df, col), col)
-    df = df.withColumns(polarity_columns(X.text_or_empty(F.col(col))))
+    df = row_polarity(df, col)
     df = lexicon_counts(df, col, POSITIVE_RAW, NEGATIVE_RAW, "sent_")
     df = special_patterns(readability(df, col), col)
     if "review_date" in df.columns:
@@ -394,8 +408,9 @@ def processed_features(df: DataFrame) -> DataFrame:
     tokens = X.words(X.text_or_empty(raw))
     count = F.size(tokens)
     letters = F.length(F.regexp_replace(X.text_or_empty(raw), f"[{X.SPACE}]+", ""))
-    polarity = polarity_columns(X.text_or_empty(raw), prefix="")
+    scores = ("textblob_polarity", "textblob_subjectivity")
     cleaned = X.words(F.lower(F.col("cleaned_text")))
+    df = row_polarity(df, prefix="", keep=scores)
     return df.withColumns(
         {
             "char_count": F.length(raw),
@@ -409,8 +424,6 @@ def processed_features(df: DataFrame) -> DataFrame:
             ),
             "positive_word_count": X.count_in(cleaned, POSITIVE_CLEANED),
             "negative_word_count": X.count_in(cleaned, NEGATIVE_CLEANED),
-            "textblob_polarity": polarity["textblob_polarity"],
-            "textblob_subjectivity": polarity["textblob_subjectivity"],
             "review_hour": F.hour(F.col("review_date").cast("timestamp_ntz")),
             "review_dayofweek": F.weekday("review_date"),
             "review_month": F.month("review_date"),
