@@ -193,6 +193,27 @@ def exploded(df: DataFrame, array: Column, *keep: str, out: str = "term") -> Dat
     return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
 
 
+def neighbours(
+    df: DataFrame, tokens: Column, *keep: str, before: int = 0, after: int = 0
+) -> DataFrame:
+    """One row per token, ``w0``, with the tokens around it as ``b1``.. and ``a1``..
+
+    Shifted copies of the token array are zipped and exploded together, so a row
+    carries a few words and never the whole array.
+    """
+    none = F.lit(None).cast("string")
+    shifted = {"w0": F.col("__tokens")}
+    for i in range(1, before + 1):
+        shifted[f"b{i}"] = F.concat(F.array(*[none] * i), F.col("__tokens"))
+    for i in range(1, after + 1):
+        shifted[f"a{i}"] = F.slice("__tokens", i + 1, F.greatest(F.size("__tokens"), F.lit(1)))
+    staged = df.select(*keep, tokens.alias("__tokens")).select(
+        *keep, *[v.alias(k) for k, v in shifted.items()]
+    )
+    rows = staged.select(*keep, F.posexplode_outer(F.arrays_zip(*shifted)).alias("pos", "__z"))
+    return rows.where(F.col("__z.w0").isNotNull()).select(*keep, "pos", "__z.*")
+
+
 def with_grams(
     df: DataFrame, text_col: str, lo: int = 1, hi: int = 3, stop_words=(), out: str = "grams"
 ) -> DataFrame:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD, exploded, ngrams, text_or_empty, with_grams
+from ..functions.text import (
+    WORD,
+    exploded,
+    gram_tokens,
+    neighbours,
+    ngrams,
+    text_or_empty,
+    with_grams,
+)
 from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..plans.ordered import top_rows
 from ..plans.scratch import materialize
@@ -27,18 +35,13 @@ def scoped_keywords(
     """Mean L2-normalised TF-IDF per term, fitted separately inside every scope.
 
     ``docs`` has one row per document and scope. The vocabulary of a scope is its
-    most frequent terms. Two passes read the text: the first counts terms (combined
-    per task before the shuffle) and writes the vocabulary, a small table; the second
-    joins the terms with it, so only vocabulary terms are shuffled. All scopes are
-    done together.
+    most frequent terms and is written first, as a small table; the terms of the
+    documents are then joined with it, so only vocabulary terms are shuffled. All
+    scopes are done together.
     """
     grams = with_grams(docs.select(*scopes, key, text_col), text_col, *ngram_range, stop_words)
     base = exploded(grams, F.col("grams"), *scopes, key)
-    counts = base.groupBy(*scopes, "term").agg(F.count(F.lit(1)).alias("n"))
-    terms = materialize(
-        top_rows(counts, scopes, [F.desc("n"), F.asc("term")], vocab).select(*scopes, "term"),
-        "vocabulary",
-    )
+    terms = _vocabulary(docs, scopes, vocab, ngram_range, text_col, stop_words)
     sizes = docs.groupBy(*scopes).agg(F.count(F.lit(1)).alias("docs"))
     tf = (
         base.join(terms, [*scopes, "term"])
@@ -66,6 +69,51 @@ def scoped_keywords(
     return top_rows(scores, scopes, [F.desc(F.round("score", 12)), F.asc("term")], k)
 
 
+def _vocabulary(
+    docs: DataFrame, scopes: list[str], vocab: int, ngram_range: tuple[int, int], text_col: str,
+    stop_words,
+) -> DataFrame:
+    """The ``vocab`` most frequent terms of every scope, as a small table.
+
+    An n-gram is no more frequent than any of its words. So once the words are
+    counted, an n-gram with a word below the vocab-th word count cannot be in the
+    vocabulary and is dropped before anything is shuffled. Words that tie with the
+    vocab-th stay, so the result is exact.
+    """
+    tokens = gram_tokens(F.col(text_col), stop_words)
+    lo, hi = ngram_range
+    first = [F.desc("n"), F.asc("term")]
+    if lo > 1:
+        rows = with_grams(docs.select(*scopes, text_col), text_col, lo, hi, stop_words)
+        counts = exploded(rows, F.col("grams"), *scopes).groupBy(*scopes, "term")
+        top = top_rows(counts.agg(F.count(F.lit(1)).alias("n")), scopes, first, vocab)
+        return materialize(top.select(*scopes, "term"), "vocabulary")
+    singles = exploded(docs, tokens, *scopes).groupBy(*scopes, "term").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    by_count = Window.partitionBy(*scopes).orderBy(F.desc("n"))
+    frequent = materialize(
+        singles.withColumn("r", F.rank().over(by_count)).where(F.col("r") <= vocab).drop("r"),
+        "words",
+    )
+    candidates = frequent
+    if hi > 1:
+        names = ["w0"] + [f"a{i}" for i in range(1, hi)]
+        rows = neighbours(docs, tokens, *scopes, after=hi - 1)
+        for i, name in enumerate(names):
+            known = frequent.select(*scopes, F.col("term").alias(name), F.lit(True).alias(f"k{i}"))
+            # Every n-gram of a position holds its first two words.
+            rows = rows.join(known, [*scopes, name], "inner" if i < 2 else "left")
+        grams = []
+        whole = F.lit(True)
+        for n in range(2, hi + 1):
+            whole = whole & F.coalesce(F.col(f"k{n - 1}"), F.lit(False))
+            grams.append(F.when(whole, F.concat_ws(" ", *names[:n])))
+        longer = exploded(rows, F.array_compact(F.array(*grams)), *scopes).groupBy(*scopes, "term")
+        candidates = frequent.unionByName(longer.agg(F.count(F.lit(1)).alias("n")))
+    return materialize(top_rows(candidates, scopes, first, vocab).select(*scopes, "term"), "vocabulary")
+
+
 def corpus_keywords(
     df: DataFrame, k: int = 20, vocab: int = 1000, ngram_range=(1, 3),
     text_col: str = "cleaned_text",
@@ -143,15 +191,11 @@ def phrase_features(df: DataFrame, text_col: str = "review_text", key: str = "re
     larger than a text.
     """
     sentences = F.split(text_or_empty(F.col(text_col)), r"[.!?\n]+")
-    tokens = df.select(key, F.posexplode(sentences).alias("sent", "s")).select(
-        key, "sent",
-        F.regexp_extract_all("s", F.lit(rf"[{WORD}]+"), 0).alias("t"),
-    )
-    words = tokens.select(key, "sent", "t", F.posexplode("t").alias("pos", "word")).select(
-        key, "sent", "pos", "word",
-        F.lower("word").alias("term"),
-        F.lower(F.get("t", F.col("pos") - 1)).alias("left"),
-        F.lower(F.get("t", F.col("pos") + 1)).alias("right"),
+    parts = df.select(key, F.posexplode(sentences).alias("sent", "s"))
+    tokens = F.regexp_extract_all("s", F.lit(rf"[{WORD}]+"), 0)
+    words = neighbours(parts, tokens, key, "sent", before=1, after=1).select(
+        key, "sent", "pos", F.col("w0").alias("word"),
+        F.lower("w0").alias("term"), F.lower("b1").alias("left"), F.lower("a1").alias("right"),
     )
     kept = words.where((F.length("term") > 2) & ~F.col("term").isin(list(ENGLISH_STOP_WORDS)))
     stats = kept.groupBy(key, "term").agg(
@@ -166,7 +210,7 @@ def phrase_features(df: DataFrame, text_col: str = "review_text", key: str = "re
         F.count("right").alias("right_n"),
     )
     doc = Window.partitionBy(key)
-    sentences_n = tokens.groupBy(key).agg(F.count(F.lit(1)).alias("sentences"))
+    sentences_n = parts.groupBy(key).agg(F.count(F.lit(1)).alias("sentences"))
     case = F.greatest("cased", "acronym") / (1 + F.log(F.col("tf")))
     place = F.log(F.log(3 + F.col("middle"))) + 1
     frequency = F.col("tf") / (F.avg("tf").over(doc) + F.coalesce(F.stddev_pop("tf").over(doc), F.lit(0.0)))

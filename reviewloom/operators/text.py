@@ -241,12 +241,9 @@ def lexicon_polarity(
     task before the shuffle.
     """
     tokens = _score_tokens(X.text_or_empty(F.col(col)))
-    exploded = df.select(key, tokens.alias("t")).select(
-        key, "t", F.posexplode("t").alias("pos", "term")
-    ).select(
-        key,
-        "term",
-        F.coalesce(F.get("t", F.col("pos") - 1).isin(list(NEGATIONS)), F.lit(False)).alias("negated"),
+    negated = F.coalesce(F.col("b1").isin(list(NEGATIONS)), F.lit(False))
+    exploded = X.neighbours(df, tokens, key, before=1).select(
+        key, F.col("w0").alias("term"), negated.alias("negated")
     )
     parts = _polarity_totals(
         F.col("polarity"), F.col("subjectivity"), F.col("negated"),
