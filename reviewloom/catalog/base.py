@@ -19,6 +19,7 @@ from ..functions.text import (
 from ..functions.text import EMAIL as EMAIL_PATTERN
 from ..functions.wordlists import CONTRACTIONS, ENGLISH_STOP_WORDS
 from ..operators.aggregates import reading_sizes
+from ..plans.scratch import materialize
 from ..sources.readers import parse_review_date, spread
 
 TABLES = (
@@ -92,6 +93,11 @@ class Views:
     def cleaned(self) -> DataFrame:
         return self.docs.withColumn("cleaned_text", clean_text(F.col("review_text")))
 
+    @cached_property
+    def stage(self) -> DataFrame:
+        """The cleaned reviews as a stage table, for queries that read the text several times."""
+        return materialize(self.cleaned, "cleaned")
+
     @cached_property
     def sized(self) -> DataFrame:
         return reading_sizes(self.docs)

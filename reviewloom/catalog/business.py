@@ -80,8 +80,8 @@ def _(v):
 
 @query("recommendations_with_topics")
 def _(v):
-    trending = materialize(M.trending_topics(v.cleaned), "trending")
-    return B.recommendations(v.cleaned, trending)
+    trending = materialize(M.trending_topics(v.stage), "trending")
+    return B.recommendations(v.stage, trending)
 
 
 @query(
@@ -167,4 +167,4 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    return B.emerging_alert(M.trending_topics(v.cleaned))
+    return B.emerging_alert(M.trending_topics(v.stage))

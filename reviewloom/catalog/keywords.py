@@ -36,7 +36,7 @@ CORPUS = "corpus AS (SELECT *, 'all' AS scope FROM cleaned)," + tfidf_sql("corpu
 
 @query("corpus_keywords", f"WITH {CORPUS} SELECT term, round(score, 6) AS score, rank FROM kw", "cleaned")
 def _(v):
-    return M.corpus_keywords(v.cleaned)
+    return M.corpus_keywords(v.stage)
 
 
 CATEGORY = f"""
@@ -51,7 +51,7 @@ ck AS (SELECT * FROM ck0 WHERE rank <= CASE sentiment WHEN 'all' THEN 15 ELSE 10
 
 @query("category_keywords", f"WITH {CATEGORY} SELECT category, sentiment, term, round(score, 6) AS score, rank FROM ck", "cleaned")
 def _(v):
-    return M.category_keywords(v.cleaned)
+    return M.category_keywords(v.stage)
 
 
 PERIODS = f"""
@@ -70,18 +70,18 @@ trending AS (SELECT *, trend_score * 100 AS percentage_change FROM tr WHERE tren
     "cleaned",
 )
 def _(v):
-    t = M.trending_topics(v.cleaned)
+    t = M.trending_topics(v.stage)
     return t.withColumns({"trend_score": F.round("trend_score", 4), "percentage_change": F.round("percentage_change", 2)})
 
 
 @query("common_complaints", f"WITH {CATEGORY} SELECT term, count(*) AS categories FROM ck WHERE sentiment = 'negative' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", "cleaned")
 def _(v):
-    return A.common_complaints(M.category_keywords(v.cleaned))
+    return A.common_complaints(M.category_keywords(v.stage))
 
 
 @query("concat_keyword_lists", f"WITH {CATEGORY} SELECT category, rank, term FROM ck WHERE sentiment = 'negative'", "cleaned")
 def _(v):
-    return G.concat_keyword_lists(M.category_keywords(v.cleaned))
+    return G.concat_keyword_lists(M.category_keywords(v.stage))
 
 
 LANGS = ("de", "en", "es", "fr")
@@ -94,7 +94,7 @@ LANGS = ("de", "en", "es", "fr")
     "cleaned",
 )
 def _(v):
-    return T.category_keyword_pivot(M.category_keywords(v.cleaned), LANGS)
+    return T.category_keyword_pivot(M.category_keywords(v.stage), LANGS)
 
 
 @query(
@@ -108,7 +108,7 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    impact = T.topic_impact(v.cleaned, materialize(M.trending_topics(v.cleaned), "trending"))
+    impact = T.topic_impact(v.stage, materialize(M.trending_topics(v.stage), "trending"))
     return impact.withColumn("trend_score", F.round("trend_score", 4))
 
 
@@ -120,7 +120,7 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    return T.topic_sentiment_matrix(v.cleaned, TOPICS + ("zzzz",))
+    return T.topic_sentiment_matrix(v.stage, TOPICS + ("zzzz",))
 
 
 @query(
@@ -131,7 +131,7 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    return T.topic_cooccurrence(v.cleaned, TOPICS)
+    return T.topic_cooccurrence(v.stage, TOPICS)
 
 
 # Frequent words as three topics of scored words.
@@ -143,7 +143,7 @@ topics AS (SELECT CAST(i % 3 AS INT) AS topic_id, CAST(i // 3 + 1 AS INT) AS ran
 
 def word_topics(v):
 
-    tokens = v.cleaned.select(F.explode(words(F.col("cleaned_text"))).alias("word"))
+    tokens = v.stage.select(F.explode(words(F.col("cleaned_text"))).alias("word"))
     counts = tokens.where(F.col("word").rlike("^[a-z]{4,}$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     best = top_rows(counts.withColumn("all", F.lit(0)), ["all"], [F.desc("n"), F.asc("word")], 18, "i")
     i = F.col("i") - 1
@@ -195,7 +195,7 @@ SELECT topic_id, round(avg(cos), 6) AS coherence FROM q GROUP BY 1"""
 
 @query("topic_coherence", COHERENCE, "cleaned")
 def _(v):
-    return T.topic_coherence(word_topics(v), v.cleaned)
+    return T.topic_coherence(word_topics(v), v.stage)
 
 
 def _cluster_sql():
@@ -210,7 +210,7 @@ def _cluster_sql():
 
 @query("cluster_words", _cluster_sql(), "cleaned")
 def _(v):
-    assigned = v.cleaned.where("review_id % 9 <> 8 OR review_id % 5 = 0").select(
+    assigned = v.stage.where("review_id % 9 <> 8 OR review_id % 5 = 0").select(
         "review_id", "cleaned_text", (F.col("review_id") % 9).cast("int").alias("cluster")
     )
     return T.cluster_words(assigned)
@@ -219,7 +219,7 @@ def _(v):
 @query("embedding_topics")
 def _(v):
     vectors = v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
-    return T.embedding_topics(v.cleaned, vectors, k=6, min_size=10)
+    return T.embedding_topics(v.stage, vectors, k=6, min_size=10)
 
 
 @query("doc_keywords")
@@ -229,23 +229,23 @@ def _(v):
 
 @query("lda_topics")
 def _(v):
-    return T.lda_topics(T.train_lda(v.cleaned))
+    return T.lda_topics(T.train_lda(v.stage))
 
 
 @query("doc_topics")
 def _(v):
-    topics = T.doc_topics(T.train_lda(v.cleaned), v.cleaned)
+    topics = T.doc_topics(T.train_lda(v.stage), v.stage)
     return topics.groupBy("main_topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("topic_report")
 def _(v):
-    return T.topic_report(v.cleaned)["insights"]
+    return T.topic_report(v.stage)["insights"]
 
 
 @query("write_topic_report")
 def _(v):
-    sections = {"category_keywords": M.category_keywords(v.cleaned), "trending": M.trending_topics(v.cleaned)}
+    sections = {"category_keywords": M.category_keywords(v.stage), "trending": M.trending_topics(v.stage)}
     root = scratch_path(v.spark, "report")
     write_topic_report(sections, root)
     counts = [
