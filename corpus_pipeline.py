@@ -4,22 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import common, decontaminate, packing
+from reviewloom.llm import common, decontaminate, packing, quality, secrets
 from reviewloom.plans.scratch import materialize
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     return decontaminate.remove_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are masked; every document stays."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces of packed sequences."""
     return packing.pack(docs)
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scan),
     ("packing", pack),
 ]
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing
+from . import decontaminate, packing, quality, secrets
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def _query(fn):
     return fn
 
 
+@_query
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -53,3 +58,31 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0)
        coalesce(n.n_hit, 0) > 0 AND 20 * coalesce(n.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN n ON d.rid = n.rid LEFT JOIN t ON d.rid = t.rid
 """
+
+
+@_query
+def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.digest(found)
+
+
+_SECRET_SQL = {name: f"'{getattr(secrets, name.upper()).pattern.replace(chr(39), chr(39) * 2)}'" for name in secrets.KINDS}
+_SECRET_PARTS = " UNION ALL ".join(
+    f"SELECT rid, {k} AS k, regexp_extract_all(t, {p}) AS m, string_split_regex(t, {p}) AS g FROM d"
+    for k, p in enumerate(_SECRET_SQL.values())
+)
+ORACLES["op10_secret_ledger"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_SECRET_PARTS}),
+p AS (
+  SELECT rid, k, m[i] AS x, CAST(list_sum(list_transform(g[1:i], lambda y: length(y)))
+         + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS BIGINT) AS a
+  FROM (SELECT rid, k, m, g, unnest(range(1, len(m) + 1)) AS i FROM m)),
+s AS (SELECT rid, k, a, (['assign', 'access', 'hex', 'pem'])[k + 1] || ':' || a || ':' || (a + length(x)) AS span
+      FROM p WHERE k <> 0 OR length(regexp_extract(x, {_SECRET_SQL["assign"]}, 1)) >= 6),
+r AS (SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+             string_agg(span, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY a, k) AS spans FROM s GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN r ON d.rid = r.rid
+"""
