@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secrets
+from . import decontaminate, packing, quality, secrets, substrings, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,16 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op2_suffix_radix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
