@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secrets, substrings, suffixes
+from . import decontaminate, near_duplicates, packing, quality, secrets, substrings, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2_suffix_radix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@_query
+def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
