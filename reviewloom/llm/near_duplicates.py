@@ -7,12 +7,14 @@
 3. A text becomes BANDS * ROWS improved consistent weighted samples (Ioffe 2010) of its shingles'
    weights tf * idf: two texts have a sample in common with the probability of their weighted
    Jaccard similarity. Texts with equal shingle counts are one vertex from here on.
-4. Vertices that share a band are candidates. In each band group all are compared with
-   the least vertex; those that are not similar to it are grouped among themselves again, until
-   no group is left. So no pairs are emitted within a group, and every member is either
-   linked or was the leader that others were compared with.
+4. Vertices that share a band are candidates. In each band group all are compared with the member
+   of the least doc_id. Groups that then lie in one component are done. In the others the
+   stragglers, which are not connected to that member, are compared with all members of the group,
+   in blocks of BLOCK by BLOCK vertices, so no candidate is left out; only links are emitted.
 5. A candidate pair is a link if the exact weighted Jaccard similarity of its texts is THRESHOLD
-   or more. Classes are the connected components of the links (alternating large and small stars).
+   or more, or the plain one is: in a large group of copies the shingles that they have in
+   common are frequent and so of low weight, and copies would lose each other by being many.
+   Classes are the connected components of the links (alternating large and small stars).
 
 Probability that two texts of similarity 0.8 share no band: (1 - 0.8**4)**14 = 0.0006.
 
@@ -33,11 +35,12 @@ from pyspark.sql import functions as F
 
 from ..plans.scratch import materialize
 from .substrings import words_of
-from .windows import Rolling, U, mix
+from .windows import Rolling, U, mix, spread
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
+BLOCK = 256
 CELLS = 1 << 20
 _SLICE = 1 << 14  # cells in a row of the frequency table
 _TABLE = 4096  # quantiles of the gamma distribution
@@ -126,7 +129,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 def idf_table(docs: DataFrame) -> np.ndarray:
     total, n = frequencies(docs)
-    return np.log((n + 1) / (np.minimum(total, n) + 1) + 1e-2).clip(0.01).astype(np.float32)
+    return (1 + np.log((n + 1) / (np.minimum(total, n) + 1))).astype(np.float32)
 
 
 def weights(prints: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -163,12 +166,37 @@ def signature(prints: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: tuple, b: tuple) -> float:
-    """Weighted Jaccard similarity of two (prints, weights)."""
-    (pa_, wa), (pb, wb) = a, b
-    _, ia, ib = np.intersect1d(pa_, pb, assume_unique=True, return_indices=True)
+    """The larger of the weighted and the plain Jaccard similarity of two (prints, weights)."""
+    (prints_a, wa), (prints_b, wb) = a, b
+    _, ia, ib = np.intersect1d(prints_a, prints_b, assume_unique=True, return_indices=True)
     low = float(np.minimum(wa[ia], wb[ib]).sum(dtype=np.float64))
     total = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - low
-    return low / total if total else 0.0
+    both = len(prints_a) + len(prints_b) - len(ia)
+    return max(low / total, len(ia) / both) if both else 0.0
+
+
+class Vectors:
+    """The vectors of some texts by shingle, to compare one with all of them."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        sizes = [len(p) for p, _ in vectors]
+        prints = np.concatenate([p for p, _ in vectors])
+        order = np.argsort(prints, kind="stable")
+        self.prints, self.n = prints[order], len(vectors)
+        self.row = np.repeat(np.arange(self.n), sizes)[order]
+        self.weight = np.concatenate([w for _, w in vectors])[order]
+        self.sizes = np.array(sizes)
+        self.totals = np.array([w.sum(dtype=np.float64) for _, w in vectors])
+
+    def similarities(self, prints: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(self.prints, prints, "left"), np.searchsorted(self.prints, prints, "right")
+        counts = high - low
+        at = spread(low, counts)
+        row = self.row[at]
+        common = np.bincount(row, minlength=self.n)
+        least = np.bincount(row, np.minimum(self.weight[at], np.repeat(weight, counts)), self.n)
+        weighted = least / (self.totals + weight.sum(dtype=np.float64) - least)
+        return np.maximum(weighted, common / (self.sizes + len(prints) - common))
 
 
 def _vertex(prints: np.ndarray, counts: np.ndarray) -> bytes:
@@ -242,27 +270,84 @@ def _of_vertex(held: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame) -> DataFrame:
-    """(band, key, vertex, leader) of the groups of more than one."""
-    group = members.groupBy("band", "key").agg(F.min("vertex").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return members.join(group.drop("n"), ["band", "key"]).where(F.col("vertex") != F.col("leader"))
+    """(band, key, vertex, leader) of the groups of more than one; the leader's own row is among them."""
+    group = members.groupBy("band", "key").agg(
+        F.min_by("vertex", F.struct("doc", "vertex")).alias("leader"), F.count(F.lit(1)).alias("n")
+    )
+    return members.join(group.where("n > 1").drop("n"), ["band", "key"]).drop("doc")
+
+
+def _straggling(grouped: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of groups in more than one component, with root and whether it is not the leader's."""
+    root = roots.select("vertex", "root")
+    lead = roots.select(F.col("vertex").alias("leader"), F.col("root").alias("leader_root"))
+    rows = grouped.join(root, "vertex", "left").join(lead, "leader", "left").select(
+        "band", "key", "vertex", F.coalesce("root", "vertex").alias("root"),
+        F.coalesce("leader_root", "leader").alias("leader_root"),
+    )
+    rows = rows.select("band", "key", "vertex", "root", (F.col("root") != F.col("leader_root")).alias("straggler"))
+    sizes = rows.groupBy("band", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("straggler").cast("long")).alias("n_stragglers")
+    )
+    return rows.join(sizes.where("n_stragglers > 0"), ["band", "key"])
+
+
+def _compare_rest(rest: DataFrame, texts: DataFrame, vertices: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links between the stragglers and all members of their groups, block by block.
+
+    A straggler goes to every block of members and a member to every block of stragglers: as long as
+    a group has at most BLOCK stragglers, each of its members is sent once.
+    """
+    n_all = F.ceil(F.col("n") / BLOCK).cast("int")
+    n_few = F.ceil(F.col("n_stragglers") / BLOCK).cast("int")
+    place = F.xxhash64("vertex")
+    few = rest.where("straggler").select(
+        "band", "key", "vertex", "root", F.lit(True).alias("asks"), F.pmod(place, n_few).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), n_all - 1)).alias("j"),
+    )
+    members = rest.select(
+        "band", "key", "vertex", "root", F.lit(False).alias("asks"),
+        F.explode(F.sequence(F.lit(0), n_few - 1)).alias("i"), F.pmod(place, n_all).cast("int").alias("j"),
+    )
+    rows = few.unionByName(members).join(texts, "vertex").join(vertices.select("vertex", "bands"), "vertex")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("vertex")
+        band = table["band"][0].as_py()
+        asks = np.array(table["asks"].to_pylist())
+        vertex, root = table["vertex"].to_pylist(), table["root"].to_pylist()
+        bands = np.array(table["bands"].to_pylist(), np.int64)
+        raw = [b"" if t is None else t for t in table["text"].cast(pa.binary()).to_pylist()]
+        vectors = [(p, weights(p, c, idf.value)) for p, c in shingles(raw)]
+        out: list[tuple[bytes, bytes]] = []
+        theirs = np.flatnonzero(~asks)
+        if len(theirs):
+            held = Vectors([vectors[k] for k in theirs])
+            for k in np.flatnonzero(asks).tolist():
+                # A pair that shares several bands is compared in the first of them.
+                first = np.argmax(bands[theirs] == bands[k], axis=1) == band
+                similar = held.similarities(*vectors[k]) >= threshold
+                out += [(vertex[k], vertex[m]) for m in theirs[first & similar].tolist() if root[m] != root[k]]
+        return pa.table({
+            "vertex": pa.array([x for x, _ in out], pa.binary()), "leader": pa.array([y for _, y in out], pa.binary())
+        })
+
+    return rows.groupBy("band", "key", "i", "j").applyInArrow(compare, "vertex binary, leader binary")
 
 
 def links(docs: DataFrame, vertices: DataFrame, idf, threshold: float = THRESHOLD) -> DataFrame:
     """Verified (vertex, leader) pairs."""
-    banded = vertices.select("vertex", F.posexplode("bands").alias("band", "key"))
-    waiting = materialize(_leaders(banded), "members")
-    wanted = waiting.select("vertex").union(waiting.select(F.col("leader").alias("vertex"))).distinct()
+    banded = vertices.select("vertex", "doc", F.posexplode("bands").alias("band", "key"))
+    grouped = materialize(_leaders(banded), "members")
+    wanted = grouped.select("vertex").distinct()
     chosen = vertices.join(wanted, "vertex", "left_semi").select("vertex", F.col("doc").alias("doc_id"))
     own = docs.select(F.col("doc_id").alias("own_id"), "text")
     held = own.join(chosen, own["own_id"].eqNullSafe(chosen["doc_id"])).select("vertex", "text")
     texts = materialize(_of_vertex(held).dropDuplicates(["vertex"]), "texts")
-    found = None
-    while not waiting.isEmpty():
-        good = materialize(_verify(waiting.select("vertex", "leader").distinct(), texts, idf, threshold), "links")
-        found = good if found is None else found.unionByName(good)
-        rest = waiting.join(good, ["vertex", "leader"], "left_anti").select("band", "key", "vertex")
-        waiting = materialize(_leaders(rest), "members")
-    return found if found is not None else waiting.select("vertex", "leader")
+    pairs = grouped.where(F.col("vertex") != F.col("leader")).select("vertex", "leader").distinct()
+    good = materialize(_verify(pairs, texts, idf, threshold), "links")
+    rest = _straggling(grouped, components(good))
+    return good.unionByName(materialize(_compare_rest(rest, texts, vertices, idf, threshold), "links"))
 
 
 def components(edges: DataFrame) -> DataFrame:
