@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import common, decontaminate, packing, quality, secrets
+from reviewloom.llm import common, decontaminate, near_duplicates, packing, quality, secrets
 from reviewloom.plans.scratch import materialize
 
 
@@ -13,6 +13,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, the one with the least doc_id."""
+    return near_duplicates.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     return decontaminate.remove_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
@@ -30,6 +35,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup),
     ("benchmark decontamination", decontamination),
     ("secret scans", secret_scan),
     ("packing", pack),

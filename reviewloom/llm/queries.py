@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_duplicates, packing, quality, secrets, substrings, suffixes
+from . import (
+    classifier,
+    decontaminate,
+    near_duplicates,
+    packing,
+    preferences,
+    quality,
+    secrets,
+    substrings,
+    suffixes,
+    token_counts,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +44,11 @@ def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.by_limit(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
@@ -49,6 +65,18 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.digest(found)
 
 
+@_query
+def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.format_pairs(preferences.swapped_replies(table(spark, sf_dir, "conversations")))
+
+
+@_query
+def op9_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.digest(classifier.score(docs, network))
+
+
 ORACLES["op7_benchmark_decontamination"] = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS rid,
@@ -101,3 +129,28 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN r ON d.rid = r.rid
 """
+
+ORACLES["op8_preference_pairs"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS own FROM t GROUP BY conv_id),
+k AS (
+  SELECT conv_id, own, len(own) - coalesce(list_position(list_reverse(list_transform(own, lambda x: x.role = 'assistant')), true), 0) AS kept,
+         list_filter(own, lambda x: x.role = 'assistant')[-1:] AS reply FROM c),
+p AS (
+  SELECT k.conv_id AS pair_id, k.own AS a, list_concat(k.own[1:k.kept], coalesce(o.reply, [])) AS b
+  FROM k LEFT JOIN k o ON o.conv_id = CASE WHEN ((k.conv_id % 2) + 2) % 2 = 0 THEN k.conv_id + 1 ELSE k.conv_id - 1 END),
+n AS (
+  SELECT pair_id, a, b, coalesce(list_min(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] <> b[i])) - 1, least(len(a), len(b))) AS n FROM p),
+r AS (SELECT pair_id, n, a[1:n] AS p, a[n + 1:] AS c, b[n + 1:] AS d FROM n),
+x AS (
+  SELECT pair_id, n, array_to_string(list_transform(p, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || chr(10)), '') AS prompt,
+    list_transform(c, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || chr(10)) AS c1, c,
+    list_transform(d, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || chr(10)) AS d1, d FROM r)
+SELECT pair_id, CAST(n AS BIGINT) AS n_prompt, prompt, array_to_string(c1, '') AS chosen, array_to_string(d1, '') AS rejected,
+  array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i:
+    CAST(CAST(length(array_to_string(c1[1:i], '')) - length(c[i].text) - 1 AS BIGINT) AS VARCHAR) || ':' || CAST(length(array_to_string(c1[1:i], '')) AS VARCHAR)), ',') AS chosen_mask,
+  array_to_string(list_transform(list_filter(range(1, len(d) + 1), lambda i: d[i].role = 'assistant'), lambda i:
+    CAST(CAST(length(array_to_string(d1[1:i], '')) - length(d[i].text) - 1 AS BIGINT) AS VARCHAR) || ':' || CAST(length(array_to_string(d1[1:i], '')) AS VARCHAR)), ',') AS rejected_mask
+FROM x
+"""
