@@ -58,11 +58,13 @@ def _(v):
 
 @query(
     "verified_positive_gap",
-    f"""WITH r AS (SELECT {rate("positive")} FILTER (WHERE verified_purchase) AS a, {rate("positive")} FILTER (WHERE NOT verified_purchase) AS b FROM reviews)
+    f"""WITH r AS (SELECT {rate("positive")} FILTER (WHERE verified_purchase) AS a, {rate("positive")} FILTER (WHERE NOT verified_purchase) AS b
+     FROM (SELECT * REPLACE (CASE WHEN rating = 3 THEN NULL ELSE predicted_sentiment END AS predicted_sentiment) FROM reviews) WHERE predicted_sentiment IS NOT NULL)
     SELECT round(a, 6) AS verified_positive, round(b, 6) AS unverified_positive, a < b - 0.1 AS alert FROM r""",
 )
 def _(v):
-    return A.verified_positive_gap(v.reviews)
+    some = F.when(F.col("rating") != 3, F.col("predicted_sentiment"))
+    return A.verified_positive_gap(v.reviews.withColumn("predicted_sentiment", some))
 
 
 @query("avg_rating_by_verified", "SELECT verified_purchase, round(avg(rating), 6) AS avg_rating FROM reviews GROUP BY 1")
@@ -260,11 +262,12 @@ def _(v):
 
 @query(
     "duplicate_rows",
-    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM reviews
-     GROUP BY category, rating, predicted_sentiment, review_date)""",
+    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT r.*, count(*) AS n FROM (SELECT * EXCLUDE (review_id) FROM reviews) r
+     GROUP BY ALL)""",
 )
 def _(v):
-    return A.duplicate_rows(v.reviews.select("category", "rating", "predicted_sentiment", "review_date"))
+    # All columns but the unique id, which would make every row distinct.
+    return A.duplicate_rows(v.reviews.drop("review_id"))
 
 
 @query("duplicate_texts", "SELECT count(*) - count(DISTINCT review_text) AS duplicates FROM review_docs", "review_docs")

@@ -20,7 +20,7 @@ from ..functions.text import EMAIL as EMAIL_PATTERN
 from ..functions.wordlists import CONTRACTIONS, ENGLISH_STOP_WORDS
 from ..operators.aggregates import reading_sizes
 from ..plans.scratch import materialize
-from ..sources.readers import parse_review_date, spread
+from ..sources.readers import parse_review_date
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -62,6 +62,15 @@ FROM {events}
 """
 
 
+def _spread(documents: DataFrame) -> DataFrame:
+    """The supplied texts are one row group, which one task would read: they are dealt over the cores.
+
+    A table of many files stays where it is; the answers do not depend on it.
+    """
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    return documents.repartition(cores, "doc_id") if 2 * len(documents.inputFiles()) <= cores else documents
+
+
 class Views:
     """The supplied tables as review tables."""
 
@@ -74,7 +83,7 @@ class Views:
     def _sql(self, text: str) -> DataFrame:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
         if "documents" in used:
-            used["documents"] = spread(used["documents"], "doc_id")
+            used["documents"] = _spread(used["documents"])
         return parse_review_date(self.spark.sql(text, **used))
 
     @cached_property

@@ -17,6 +17,20 @@ q AS (SELECT class, coalesce(tp / nullif(p, 0), 0) AS precision, coalesce(tp / n
 f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM q)"""
 
 
+METRICS = ("accuracy", "precision", "recall", "f1")
+
+
+def headline_sql(models: dict[str, str]) -> str:
+    """CTE h: accuracy, macro precision, recall and F1, and precision per class (p_class), of filtered predictions."""
+    listed = " UNION ALL ".join(f"SELECT '{m}' AS model, label, prediction FROM pred WHERE {c}" for m, c in models.items())
+    return f"""hp AS ({listed}), hc AS (SELECT model, label AS class FROM hp UNION SELECT model, prediction FROM hp),
+    hm AS (SELECT hc.model, class, count(*) FILTER (WHERE label = class AND prediction = class)::DOUBLE AS tp, count(*) FILTER (WHERE prediction = class) AS p,
+      count(*) FILTER (WHERE label = class) AS support FROM hp JOIN hc ON hp.model = hc.model GROUP BY 1, 2),
+    hq AS (SELECT *, coalesce(tp / nullif(p, 0), 0) AS pr, coalesce(tp / nullif(support, 0), 0) AS rc FROM hm),
+    h AS (SELECT model, sum(tp) / sum(support)::DOUBLE AS accuracy, avg(pr) AS precision, avg(rc) AS recall,
+      avg(coalesce(2 * pr * rc / nullif(pr + rc, 0), 0)) AS f1, {", ".join(f"coalesce(max(pr) FILTER (WHERE class = '{s}'), 0) AS p_{s}" for s in SENTIMENTS)} FROM hq GROUP BY 1)"""
+
+
 @query(
     "classification_metrics",
     f"""WITH {CLASSES} SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support, CAST(NULL AS DOUBLE) AS accuracy FROM f
@@ -79,7 +93,8 @@ def _(v):
     """WITH e AS (SELECT i, i * 0.1::DOUBLE AS lo, CASE WHEN i = 9 THEN 1.0::DOUBLE ELSE (i + 1) * 0.1::DOUBLE END AS hi FROM (SELECT unnest(range(10)) AS i)),
     b AS (SELECT i, count(*) AS n, avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END) AS a, avg(confidence) AS c, count(*)::DOUBLE / (SELECT count(*) FROM pred) AS p
      FROM pred JOIN e ON confidence > lo AND confidence <= hi GROUP BY 1)
-    SELECT i::INT AS bin, n, round(a, 6) AS accuracy, round(c, 6) AS avg_confidence, round(p, 6) AS proportion, round(sum(abs(a - c) * p) OVER (), 6) AS ece FROM b""",
+    SELECT i::INT AS bin, n, round(i * 0.1::DOUBLE, 6) AS lower, round((i + 1) * 0.1::DOUBLE, 6) AS upper, (SELECT round(avg(confidence), 6) FROM pred) AS overall_confidence,
+     (SELECT round(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END), 6) FROM pred) AS overall_accuracy, round(a, 6) AS accuracy, round(c, 6) AS avg_confidence, round(p, 6) AS proportion, round(sum(abs(a - c) * p) OVER (), 6) AS ece FROM b""",
     "pred",
 )
 def _(v):
@@ -92,12 +107,12 @@ k AS (SELECT score, tp, fp, sum(tp) OVER (ORDER BY score DESC) AS ct, sum(fp) OV
 
 @query(
     "roc_points",
-    f"""WITH {CURVE} SELECT round(score, 6) AS threshold, round(ct::DOUBLE / p, 6) AS tpr, round(cf::DOUBLE / n, 6) AS fpr FROM k""",
+    f"""WITH {CURVE} SELECT round(score, 6) AS threshold, round(ct::DOUBLE / p, 6) AS tpr, round(cf::DOUBLE / n, 6) AS fpr FROM k
+     UNION ALL SELECT 'Infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""",
     "pred",
 )
 def _(v):
-    # The fixed origin has an infinite threshold and is left to the unit tests.
-    return K.roc_points(v.pred, "positive").where(F.col("threshold") < 2)
+    return K.roc_points(v.pred, "positive")
 
 
 @query(
@@ -137,12 +152,13 @@ MODELS = {"a": "true", "b": "rating >= 2", "c": "confidence >= 0.7"}
 
 @query(
     "model_rank",
-    "WITH v AS (" + " UNION ALL ".join(
-        f"SELECT '{m}' AS model, 'accuracy' AS metric, avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END) AS value FROM pred WHERE {c}" for m, c in MODELS.items()
+    "WITH " + headline_sql(MODELS) + ", v AS (" + " UNION ALL ".join(
+        f"SELECT model, '{m}' AS metric, {m} AS value FROM h" for m in METRICS
     ) + ") SELECT model, metric, round(value, 6) AS value, CAST(row_number() OVER (PARTITION BY metric ORDER BY value DESC, model) AS INT) AS rank FROM v",
     "pred",
 )
 def _(v):
     rows = [K.headline_metrics(v.pred.where(c), m) for m, c in MODELS.items()]
     table = reduce(DataFrame.unionByName, rows)
-    return E.model_rank(table.select("model", F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")))
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]))
+    return E.model_rank(table.select("model", cells.alias("c")).select("model", "c.*"))

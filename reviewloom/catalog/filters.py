@@ -193,11 +193,11 @@ def _(v):
 
 @query(
     "null_text_guard",
-    """SELECT review_id, coalesce(CASE WHEN review_id % 3 = 0 THEN NULL ELSE left(review_text, 20) END, '') AS review_text FROM review_docs""",
+    """SELECT review_id, coalesce(CASE WHEN review_id % 3 = 0 THEN NULL ELSE review_text END, '') AS review_text FROM review_docs""",
     "review_docs",
 )
 def _(v):
-    texts = v.docs.selectExpr("review_id", "CASE WHEN review_id % 3 = 0 THEN NULL ELSE left(review_text, 20) END AS review_text")
+    texts = v.docs.selectExpr("review_id", "CASE WHEN review_id % 3 = 0 THEN NULL ELSE review_text END AS review_text")
     return B.null_text_guard(texts)
 
 

@@ -94,14 +94,14 @@ LANGS = ("de", "en", "es", "fr")
     "cleaned",
 )
 def _(v):
-    return T.category_keyword_pivot(M.category_keywords(v.stage), LANGS)
+    return T.category_keyword_pivot(M.category_keywords(v.stage))
 
 
 @query(
     "topic_impact",
     f"""WITH {PERIODS}, m AS (SELECT t.term AS topic, t.trend_score, c.category, c.rating, c.predicted_sentiment FROM trending t JOIN cleaned c ON contains(cleaned_text, t.term)),
     k AS (SELECT topic, category, count(*) AS n, row_number() OVER (PARTITION BY topic ORDER BY count(*) DESC, category) AS r FROM m GROUP BY 1, 2),
-    b AS (SELECT topic, string_agg(category, ',' ORDER BY r) AS affected_categories FROM k WHERE r <= 3 GROUP BY 1)
+    b AS (SELECT topic, string_agg(category || ' ' || n, ',' ORDER BY r) AS affected_categories FROM k WHERE r <= 3 GROUP BY 1)
     SELECT m.topic, count(*) AS mention_count, round(avg(rating), 6) AS avg_rating, count(*) FILTER (WHERE predicted_sentiment = 'negative') AS negative,
      count(*) FILTER (WHERE predicted_sentiment = 'neutral') AS neutral, count(*) FILTER (WHERE predicted_sentiment = 'positive') AS positive,
      any_value(affected_categories) AS affected_categories, round(any_value(trend_score), 4) AS trend_score FROM m JOIN b ON m.topic = b.topic GROUP BY 1""",
@@ -109,7 +109,8 @@ def _(v):
 )
 def _(v):
     impact = T.topic_impact(v.stage, materialize(M.trending_topics(v.stage), "trending"))
-    return impact.withColumn("trend_score", F.round("trend_score", 4))
+    listed = F.array_join(F.transform("affected_categories", lambda x: F.concat_ws(" ", x["category"], x["n"].cast("string"))), ",")
+    return impact.withColumn("trend_score", F.round("trend_score", 4)).withColumn("affected_categories", listed)
 
 
 @query(
@@ -199,7 +200,7 @@ def _(v):
 
 
 def _cluster_sql():
-    return f"""WITH a AS (SELECT review_id, CAST(review_id % 9 AS INT) AS cluster, cleaned_text FROM cleaned WHERE review_id % 9 <> 8 OR review_id % 5 = 0),
+    return f"""WITH a AS (SELECT review_id, CASE WHEN review_id % 9 = 8 AND review_id % 5 <> 0 THEN 9 ELSE CAST(review_id % 9 AS INT) END AS cluster, cleaned_text FROM cleaned),
     kept AS (SELECT cluster FROM a GROUP BY 1 HAVING count(*) >= 50),
     g AS (SELECT * FROM {sql_grams("(SELECT * FROM a WHERE cluster IN (SELECT cluster FROM kept))", "cluster", sql_gram_tokens("cleaned_text"), 1, 2)}),
     tf AS (SELECT cluster, term, count(*) AS tf FROM g GROUP BY 1, 2), sz AS (SELECT cluster, sum(tf) AS size FROM tf GROUP BY 1),
@@ -210,16 +211,17 @@ def _cluster_sql():
 
 @query("cluster_words", _cluster_sql(), "cleaned")
 def _(v):
-    assigned = v.stage.where("review_id % 9 <> 8 OR review_id % 5 = 0").select(
-        "review_id", "cleaned_text", (F.col("review_id") % 9).cast("int").alias("cluster")
-    )
+    # Cluster 8 is too small to be kept.
+    ninth = (F.col("review_id") % 9).cast("int")
+    moved = F.when((ninth == 8) & (F.col("review_id") % 5 != 0), 9).otherwise(ninth)
+    assigned = v.stage.select("review_id", "cleaned_text", moved.alias("cluster"))
     return T.cluster_words(assigned)
 
 
 @query("embedding_topics")
 def _(v):
     vectors = v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
-    return T.embedding_topics(v.stage, vectors, k=6, min_size=10)
+    return T.embedding_topics(v.stage, vectors)
 
 
 @query("doc_keywords")
@@ -234,8 +236,7 @@ def _(v):
 
 @query("doc_topics")
 def _(v):
-    topics = T.doc_topics(T.train_lda(v.stage), v.stage)
-    return topics.groupBy("main_topic").agg(F.count(F.lit(1)).alias("n"))
+    return T.doc_topics(T.train_lda(v.stage), v.stage)
 
 
 @query("topic_report")

@@ -14,8 +14,10 @@ from ..operators import ranking as R
 from ..operators import udfs as O
 from ..plans.scratch import materialize, scratch_path
 from ..sources import readers, writers
+from ..schema import SENTIMENTS
 from .aggregates import PERFORMANCE, rate
 from .base import query
+from .evaluation import METRICS, headline_sql
 
 
 def _features(v, min_df=5):
@@ -27,9 +29,22 @@ def _features(v, min_df=5):
     return materialize(encoded.select("review_id", "label", "is_train", "features"), "features"), vectorizer
 
 
-def _forest(v, trees=20):
-    features, vectorizer = _features(v)
-    return J.train_random_forest(features.where("is_train"), trees, max_depth=10), features, vectorizer
+_trained: dict[tuple[str, str], tuple] = {}
+
+
+def _forest(v):
+    """The forest of 100 trees, trained once for a session and folder."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _trained:
+        features, vectorizer = _features(v)
+        _trained[key] = (J.train_random_forest(features.where("is_train")), features, vectorizer)
+    return _trained[key]
+
+
+def _scored(v, score):
+    """Every review of the table, scored by the forest."""
+    model, _, vectorizer = _forest(v)
+    return score(model, vectorizer.transform(v.cleaned))
 
 
 def _tested(model, features):
@@ -48,26 +63,24 @@ def _(v):
 
 @query("train_random_forest")
 def _(v):
-    model, features, _ = _forest(v, 100)
+    model, features, _ = _forest(v)
     return _tested(model, features)
 
 
 @query("train_linear_svm")
 def _(v):
     features, _ = _features(v)
-    return _tested(J.train_linear_svm(features.where("is_train"), iterations=10), features)
+    return _tested(J.train_linear_svm(features.where("is_train")), features)
 
 
 @query("predict")
 def _(v):
-    model, features, _ = _forest(v)
-    return J.predict(model, features).select("review_id", "predicted_sentiment")
+    return _scored(v, J.predict).select("review_id", "predicted_sentiment")
 
 
 @query("predict_with_confidence")
 def _(v):
-    model, features, _ = _forest(v)
-    return J.predict_with_confidence(model, features).select("review_id", "predicted_sentiment", "confidence_score")
+    return _scored(v, J.predict_with_confidence).select("review_id", "predicted_sentiment", "confidence_score")
 
 
 @query("attach_predictions")
@@ -108,40 +121,48 @@ def _(v):
 
 @query(
     "ensemble_vote",
-    """WITH s AS (SELECT review_id, 'random_forest' AS model, 0.2::DOUBLE AS w, predicted_sentiment AS label, confidence_score AS p FROM reviews
-     UNION ALL SELECT review_id, 'svm', 0.15, true_sentiment, 0.6 FROM reviews UNION ALL SELECT review_id, 'transformer', 0.4, 'neutral', rating / 10.0::DOUBLE FROM reviews),
+    """WITH b AS (SELECT review_id, 'random_forest' AS model, 0.2::DOUBLE AS w, predicted_sentiment AS best, confidence_score AS p, false AS alone FROM reviews
+     UNION ALL SELECT review_id, 'svm', 0.15, true_sentiment, 0.6, false FROM reviews
+     UNION ALL SELECT review_id, 'transformer', 0.4, 'neutral', rating / 10.0::DOUBLE, true FROM reviews WHERE rating <> 2),
+    c AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label),
+    s AS (SELECT review_id, model, w, label, CASE WHEN label = best THEN p WHEN alone THEN 0 ELSE (1 - p) / 2 END AS p FROM b, c),
     l AS (SELECT review_id, label, sum(w * p) / sum(w) AS p, max(p) - min(p) AS spread FROM s GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY round(p, 12) DESC, label DESC) AS r FROM l)
     SELECT review_id, label, round(p, 6) AS probability, spread > 0.3 AS disagreement FROM r WHERE r = 1""",
 )
 def _(v):
-    votes = (
-        ("random_forest", F.col("predicted_sentiment"), F.col("confidence_score")),
-        ("svm", F.col("true_sentiment"), F.lit(0.6)),
-        ("transformer", F.lit("neutral"), F.col("rating") / 10),
-    )
-    cells = [F.struct(F.lit(m).alias("model"), x.alias("label"), p.alias("probability")) for m, x, p in votes]
-    scores = v.reviews.select("review_id", F.explode(F.array(*cells)).alias("s")).select("review_id", "s.*")
+    # Two models give all classes; the third names one class only, and says nothing of rating 2.
+    cells = [F.struct(F.lit("transformer").alias("model"), F.lit("neutral").alias("label"), (F.col("rating") / 10).alias("probability"))]
+    for name, best, p in (
+        ("random_forest", F.col("predicted_sentiment"), F.col("confidence_score")), ("svm", F.col("true_sentiment"), F.lit(0.6))
+    ):
+        for label in SENTIMENTS:
+            odds = F.when(best == label, p).otherwise((1 - p) / 2)
+            cells.append(F.struct(F.lit(name).alias("model"), F.lit(label).alias("label"), odds.alias("probability")))
+    scores = v.reviews.select("review_id", "rating", F.explode(F.array(*cells)).alias("s")).select("review_id", "rating", "s.*")
+    scores = scores.where("model <> 'transformer' OR rating <> 2")
     return J.ensemble_vote(scores, {"random_forest": 0.2, "svm": 0.15, "lstm": 0.25, "transformer": 0.4})
 
 
-ACCURACY = "avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0 END)"
+COMPARED = {"all": "true", "confident": "confidence >= 0.8"}
 
 
 @query(
     "compare_models",
-    f"""SELECT 'all' AS model, round({ACCURACY}, 6) AS accuracy FROM pred UNION ALL SELECT 'confident', round({ACCURACY}, 6) FROM pred WHERE confidence >= 0.8""",
+    f"""WITH {headline_sql(COMPARED)} SELECT model, {", ".join(f"round({m}, 6) AS {m}" for m in METRICS)},
+    {", ".join(f"round(p_{s}, 6) AS precision_{s}" for s in SENTIMENTS)} FROM h""",
     "pred",
 )
 def _(v):
     table = J.compare_models({"all": v.pred, "confident": v.pred.where("confidence >= 0.8")})
-    return table.select("model", "accuracy")
+    each = [F.col("class_precision")[s].alias(f"precision_{s}") for s in SENTIMENTS]
+    return table.select("model", *METRICS, *each)
 
 
 @query("cross_validate")
 def _(v):
     features, _ = _features(v)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=10, maxDepth=5, seed=42)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=30, maxMemoryInMB=1024, seed=42)
     return J.cross_validate(forest, features.select("review_id", "label", "features"), 5)
 
 
@@ -176,9 +197,9 @@ def _(v):
 @query("grid_search")
 def _(v):
     features, _ = _features(v)
-    svm = LinearSVC(featuresCol="features", maxIter=5)
+    svm = LinearSVC(featuresCol="features", maxIter=50)
     model = OneVsRest(classifier=svm, featuresCol="features", labelCol="label")
-    _, table = J.grid_search(model, {svm.regParam: [0.01, 0.1]}, features.select("review_id", "label", "features"), 3)
+    _, table = J.grid_search(model, {svm.regParam: [0.01, 0.1, 1.0]}, features.select("review_id", "label", "features"), 3)
     return table
 
 
@@ -202,10 +223,7 @@ def _(v):
 )
 def _(v):
     keywords = O.udtf_keywords(5)
-    v.spark.udtf.register("review_keywords", keywords)
-    return v.spark.sql(
-        "SELECT d.review_id, k.term, k.score FROM {docs} d, LATERAL review_keywords(d.cleaned_text) k", docs=v.cleaned.select("review_id", "cleaned_text")
-    )
+    return v.cleaned.select("review_id", "cleaned_text").lateralJoin(keywords(F.col("cleaned_text").outer())).select("review_id", "term", "score")
 
 
 @query("udf_multi_feature", "SELECT review_id, length(cleaned_text)::INT AS chars, contains(cleaned_text, 'the') AS has_the FROM cleaned", "cleaned")
@@ -279,9 +297,10 @@ def _(v):
     return v.spark.read.schema(kept.schema).option("header", True).csv(path)
 
 
-@query("write_eval_summary", f"SELECT 'all' AS model, round({ACCURACY}, 6) AS accuracy FROM pred", "pred")
+@query("write_eval_summary", f"WITH {headline_sql({'all': 'true'})} SELECT model, {', '.join(f'round({m}, 6) AS {m}' for m in METRICS)} FROM h", "pred")
 def _(v):
     path = scratch_path(v.spark, "metrics")
     metrics = J.compare_models({"all": v.pred})
     writers.write_eval_summary(metrics, path)
-    return v.spark.read.schema(metrics.schema).option("header", True).csv(path).select("model", "accuracy")
+    schema = "model string, accuracy double, precision double, recall double, f1 double"
+    return v.spark.read.schema(schema).option("header", True).csv(path)

@@ -87,8 +87,8 @@ def _(v):
 
 @query(
     "stream_category_issues",
-    """SELECT review_id, category, CASE category WHEN 'en' THEN 'English' ELSE 'French' END AS team, regexp_matches(lower(review_text), 'the|les') AS is_urgent
-    FROM review_docs WHERE predicted_sentiment = 'negative' AND category IN ('en', 'fr')""",
+    """SELECT review_id, category, CASE category WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' END AS team, regexp_matches(lower(review_text), 'the|les') AS is_urgent
+    FROM review_docs WHERE predicted_sentiment = 'negative'""",
     "review_docs",
 )
 def _(v):
@@ -110,7 +110,10 @@ def _(v):
     return N.run_available(N.stream_session(event_stream(v)))
 
 
-@query("stream_dedup", "SELECT DISTINCT product_id FROM review_events", "review_events")
+@query("stream_dedup", "SELECT review_id, product_id FROM review_events", "review_events")
 def _(v):
-    kept = N.stream_dedup(event_stream(v).select("product_id", "review_date"), "product_id", "60 days")
-    return N.run_available(kept.select("product_id"))
+    # Every third review is sent twice.
+    sent = event_stream(v).select("review_id", "product_id", "review_date")
+    again = F.when(F.col("review_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    kept = N.stream_dedup(sent.select("*", F.explode(again).alias("copy")).drop("copy"), "review_id", "60 days")
+    return N.run_available(kept.select("review_id", "product_id"))

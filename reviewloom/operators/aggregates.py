@@ -66,8 +66,10 @@ def verified_sentiment_crosstab(df: DataFrame, col: str = "true_sentiment") -> D
 
 
 def verified_positive_gap(df: DataFrame, gap: float = 0.1) -> DataFrame:
+    """Positive shares of verified and unverified reviews; those without a sentiment are left out."""
     def rate(verified: bool) -> Column:
-        positive = F.when(L.sentiment_is(POSITIVE), 1.0).otherwise(0.0)
+        known = F.col("predicted_sentiment").isNotNull()
+        positive = F.when(known, F.when(L.sentiment_is(POSITIVE), 1.0).otherwise(0.0))
         return F.coalesce(
             F.avg(F.when(F.col("verified_purchase") == verified, positive)), F.lit(0.0)
         )

@@ -65,11 +65,17 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
     ).unionByName(macro.select(F.lit("macro").alias("class"), "precision", "recall", "f1", "support", "accuracy"))
 
 
-def headline_metrics(pred: DataFrame, model: str) -> DataFrame:
-    """One row for a model: accuracy and macro precision, recall and F1."""
-    return classification_metrics(pred).where(F.col("class") == "macro").select(
-        F.lit(model).alias("model"), "accuracy", "precision", "recall", "f1"
-    )
+def headline_metrics(pred: DataFrame, model: str, by_class: bool = False) -> DataFrame:
+    """One row for a model: accuracy and macro precision, recall and F1.
+
+    ``by_class`` adds ``class_precision``, a map from each class to its precision.
+    """
+    listed = F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "precision"))))
+    return class_metrics(pred).agg(
+        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        *[F.avg(m).alias(m) for m in ("precision", "recall", "f1")],
+        *([listed.alias("class_precision")] if by_class else []),
+    ).select(F.lit(model).alias("model"), "*")
 
 
 def confusion_matrix(pred: DataFrame) -> DataFrame:
@@ -137,7 +143,8 @@ def error_patterns(pred: DataFrame) -> DataFrame:
 def calibration(pred: DataFrame, bins: int = 10) -> DataFrame:
     """Accuracy against confidence in equal bins (lo, hi]; empty bins are dropped.
 
-    The expected calibration error stands on every row. A confidence of 0 is in no bin.
+    The expected calibration error and the overall mean confidence and accuracy stand on every
+    row. A confidence of 0 is in no bin.
     """
     edges = [i * (1.0 / bins) for i in range(bins)] + [1.0]
     c = F.col("confidence")
@@ -157,7 +164,15 @@ def calibration(pred: DataFrame, bins: int = 10) -> DataFrame:
         .withColumn("proportion", F.col("n") / total)
     )
     gap = F.abs(F.col("accuracy") - F.col("avg_confidence")) * F.col("proportion")
-    return table.withColumn("ece", F.sum(gap).over(Window.partitionBy(F.lit(0))))
+    overall = pred.agg(F.struct(F.avg(c).alias("confidence"), F.avg(correct).alias("accuracy")).alias("x"))
+    low = F.element_at(F.array(*[F.lit(x) for x in edges]), F.col("bin") + 1)
+    high = F.element_at(F.array(*[F.lit(x) for x in edges]), F.col("bin") + 2)
+    return table.select(
+        "*", low.alias("lower"), high.alias("upper"),
+        F.sum(gap).over(Window.partitionBy(F.lit(0))).alias("ece"),  # a row per bin
+        overall.select("x.confidence").scalar().alias("overall_confidence"),
+        overall.select("x.accuracy").scalar().alias("overall_accuracy"),
+    )
 
 
 def score_counts(scores: DataFrame, positive: int | str = 2) -> DataFrame:

@@ -13,8 +13,6 @@ from ..functions import labels as L
 from ..functions.text import bind, exploded, text_or_empty, words
 from ..plans.ordered import top_rows
 
-MAX_TOPICS = 1000
-
 
 def weekly_sentiment_share(df: DataFrame) -> DataFrame:
     """Share of each sentiment in its week (labelled by Monday).
@@ -45,51 +43,69 @@ def trend_score(recent_kw: DataFrame, older_kw: DataFrame, floor: float = 0.001)
     )
 
 
-def topic_array(topics: DataFrame | Sequence[str], column: str = "topic") -> Column:
-    """The topics as one array value.
+def listed_topics(text: Column, topics: Sequence[str], regex: bool = False) -> Column:
+    """Those of a given list that occur in the text; every topic is a literal, compiled once."""
 
-    Topics are a short report (a top-k result); a longer table is refused.
-    """
-    if not isinstance(topics, DataFrame):
-        return F.array(*[F.lit(t) for t in topics]).cast("array<string>")
-    packed = topics.agg(F.array_sort(F.collect_set(column)).alias("t"))
-    checked = packed.select(
-        F.when(F.size("t") <= MAX_TOPICS, F.col("t")).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_TOPICS} topics")).cast("array<string>")
-        )
-    )
-    return checked.scalar()
+    def occurs(topic: str) -> Column:
+        if regex:
+            return F.rlike(text, F.lit("(?i)" + topic))
+        return F.contains(text, F.lit(topic.lower()))
 
+    found = F.array(*[F.when(occurs(t), F.lit(t)) for t in dict.fromkeys(topics)]).cast("array<string>")
+    return F.filter(found, lambda x: x.isNotNull())
 
-def with_topics(
-    df: DataFrame, topics: DataFrame | Sequence[str], col: str = "cleaned_text", regex: bool = False
-) -> DataFrame:
-    """Add ``topics``: those that occur in the text, ignoring case.
 
-    Each text is tested against the few topics while it is read.
-    """
+def _pieces(text: Column, size: int) -> Column:
+    """The distinct pieces of this many characters."""
+    def cut(chars: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(chars) - size)
+        pieces = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(size)]))
+        return F.when(F.size(chars) >= size, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
-    def occurs(text: Column, topic: Column) -> Column:
-        if regex:
-            return F.rlike(text, F.concat(F.lit("(?i)"), topic))
-        return F.contains(text, F.lower(topic))
+    return bind(F.filter(F.split(text, ""), lambda c: c != ""), cut)
+
+
+def text_key(col: str) -> Column:
+    """Equal for equal lowered texts."""
+    return F.xxhash64(F.lower(text_or_empty(F.col(col))))
 
-    found = bind(
-        F.lower(text_or_empty(F.col(col))),
-        lambda text: F.filter("__topics", lambda topic: occurs(text, topic)),
-    )
-    return df.withColumn("__topics", topic_array(topics)).withColumn("topics", found).drop("__topics")
+
+def _table_mentions(df: DataFrame, topics: DataFrame, col: str) -> DataFrame:
+    """Mentions of a table of topics of any length.
+
+    Every topic is looked up by one piece of up to three characters, the one that the fewest
+    texts hold. Pieces and topics meet in an equi-join without the texts; candidates are joined
+    to the rows by the key of their text and verified there. A piece of many texts is
+    looked up only by topics that have no rarer one.
+    """
+    lowered = F.lower(text_or_empty(F.col(col)))
+    wanted = topics.select("topic").where(F.length("topic") > 0).distinct()
+    size = F.least(F.length("topic"), F.lit(3))
+    by_size = F.when(size == 1, _pieces(F.lower("topic"), 1)).when(size == 2, _pieces(F.lower("topic"), 2))
+    of_topic = wanted.select("topic", F.explode(by_size.otherwise(_pieces(F.lower("topic"), 3))).alias("piece"))
+    all_pieces = F.concat(*[_pieces(lowered, n) for n in (1, 2, 3)])
+    texts = df.select(text_key(col).alias("__text"), F.explode(all_pieces).alias("piece"))
+    used = texts.join(of_topic.select("piece").distinct(), "piece")
+    counted = used.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    rarest = of_topic.join(counted, "piece").groupBy("topic").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+    candidates = used.join(rarest, "piece").select("__text", "topic").distinct()
+    keyed = df.withColumn("__text", text_key(col))
+    return keyed.join(candidates, "__text").where(F.contains(lowered, F.lower("topic"))).drop("__text")
 
 
 def topic_mentions(
     df: DataFrame, topics: DataFrame | Sequence[str], col: str = "cleaned_text", regex: bool = False
 ) -> DataFrame:
-    """One row per review and topic that occurs in its text.
+    """One row per review and topic that occurs in its text, ignoring case; empty topics never do.
 
-    Only the matches are emitted, so nothing is shuffled or paired up.
+    A given list is tested in the row; a table (topic) of any size is joined. Patterns have to be a list.
     """
-    found = with_topics(df, topics, col, regex)
-    return exploded(found, F.col("topics"), *df.columns, out="topic")
+    if isinstance(topics, DataFrame):
+        if regex:
+            raise ValueError("patterns must be given as a list")
+        return _table_mentions(df.drop("topic"), topics, col).select(*[c for c in df.columns if c != "topic"], "topic")
+    found = bind(F.lower(text_or_empty(F.col(col))), lambda text: listed_topics(text, [t for t in topics if t], regex))
+    return exploded(df.withColumn("topics", found), F.col("topics"), *df.columns, out="topic")
 
 
 def lexicon_table(df: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:

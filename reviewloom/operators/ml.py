@@ -70,8 +70,9 @@ def tfidf_vectorize(
 
 
 def train_random_forest(
-    features: DataFrame, n: int = 100, seed: int = 42, max_depth: int = 20, label: str = "label"
+    features: DataFrame, n: int = 100, seed: int = 42, max_depth: int = 30, label: str = "label"
 ) -> Model:
+    """A forest of n trees; 30 is the largest depth that Spark grows."""
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=n, seed=seed, maxDepth=max_depth,
         maxMemoryInMB=1024, cacheNodeIds=False,
@@ -135,31 +136,46 @@ def score_batch(
 def ensemble_vote(
     scores: DataFrame, weights: Mapping[str, float], key: str = "review_id", disagree: float = 0.3
 ) -> DataFrame:
-    """Weighted soft vote over (key, model, label, probability) rows.
+    """Weighted soft vote over (key, model, label, probability) rows, one for each class of a model.
 
-    The flag is set when the models' probabilities for the winner differ by more
-    than ``disagree``.
+    A label's probability is the sum of weight times probability over all models, divided by the weight
+    of the models that the key has; a class that a model leaves out has probability 0. The flag is
+    set when the models' probabilities of the winner differ by more than ``disagree``. All
+    votes on a key, models times classes, are one row.
     """
     weight = reduce(
         lambda acc, item: F.when(F.col("model") == item[0], item[1]).otherwise(acc),
         weights.items(),
         F.lit(None).cast("double"),
     )
-    per_label = (
+    votes = (
         scores.withColumn("w", weight)
-        .where(F.col("w").isNotNull())
-        .groupBy(key, "label")
+        .where(F.col("w").isNotNull() & F.col("label").isNotNull())
+        .groupBy(key)
         .agg(
-            (F.sum(F.col("w") * F.col("probability")) / F.sum("w")).alias("p"),
-            (F.max("probability") - F.min("probability")).alias("spread"),
+            F.collect_set(F.struct("model", "w")).alias("models"),
+            F.collect_list(F.struct("label", (F.col("w") * F.col("probability")).alias("wp"), "probability")).alias("votes"),
         )
     )
-    # The largest probability wins, then the smaller label.
-    order = F.struct(F.round("p", 12), F.col("label") * -1) if _numeric(scores, "label") else F.struct(F.round("p", 12), "label")
-    return per_label.groupBy(key).agg(
-        F.max_by("label", order).alias("label"),
-        F.max_by("p", order).alias("probability"),
-        (F.max_by("spread", order) > disagree).alias("disagreement"),
+    total = F.aggregate("models", F.lit(0.0), lambda acc, m: acc + m["w"])
+    # The largest probability wins; of equal ones the smaller number or the larger name.
+    tie = (lambda x: x * -1) if _numeric(scores, "label") else (lambda x: x)
+
+    def tally(label: Column) -> Column:
+        own = F.filter("votes", lambda x: x["label"] == label)
+        p = F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x["wp"]) / F.col("total")
+        each = F.transform(own, lambda x: x["probability"])
+        least = F.when(F.size(own) < F.size("models"), F.lit(0.0)).otherwise(F.array_min(each))
+        return F.struct(
+            F.round(p, 12).alias("rounded"), tie(label).alias("tie"), label.alias("label"), p.alias("p"),
+            (F.array_max(each) - least).alias("spread"),
+        )
+
+    labels = F.array_distinct(F.transform("votes", lambda x: x["label"]))
+    best = F.array_max(F.transform(labels, tally))
+    return votes.withColumn("total", total).withColumn("best", best).select(
+        key, F.col("best.label").alias("label"), F.col("best.p").alias("probability"),
+        (F.col("best.spread") > disagree).alias("disagreement"),
     )
 
 
@@ -168,8 +184,8 @@ def _numeric(df: DataFrame, col: str) -> bool:
 
 
 def compare_models(predictions: Mapping[str, DataFrame]) -> DataFrame:
-    """Headline metrics of every model, the best first."""
-    rows = [headline_metrics(pred, name) for name, pred in predictions.items()]
+    """Headline metrics and the precision of each class of every model, the best first."""
+    rows = [headline_metrics(pred, name, by_class=True) for name, pred in predictions.items()]
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("accuracy"), "model")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import labels as L
-from .joins import topic_array, topic_mentions
+from .joins import topic_mentions
 
 
 def _spine(df: DataFrame, first: str, last: str, step: int, name: str) -> DataFrame:
@@ -124,12 +124,13 @@ def topic_daily_prevalence(
         .groupBy(day.alias("day"), "topic")
         .agg(F.count(F.lit(1)).alias("mentions"))
     )
-    newest = df.agg(F.to_date(F.max("review_date")).alias("hi"))
-    grid = newest.select(
-        F.explode(
-            F.sequence(F.date_sub("hi", days - 1), F.col("hi"), F.make_dt_interval(F.lit(1)))
-        ).alias("day")
-    ).withColumn("topic", F.explode(topic_array(topics)))
+    if isinstance(topics, DataFrame):
+        listed = topics.select("topic").distinct()
+    else:
+        listed = df.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(topics)], "topic string")
+    grid = listed.select(
+        "topic", F.explode(F.sequence(F.date_sub(last, days - 1), last, F.make_dt_interval(F.lit(1)))).alias("day")
+    )
     return (
         grid.join(mentions, ["day", "topic"], "left")
         .join(totals, "day", "left")

@@ -18,7 +18,7 @@ from ..plans.scratch import materialize
 from ..schema import SENTIMENTS
 from . import keywords as K
 from .aggregates import common_complaints, worst_category_insight
-from .joins import topic_mentions, with_topics
+from .joins import text_key, topic_mentions
 
 
 def topic_tokens(df: DataFrame, text_col: str = "cleaned_text", ngram_range=(1, 2)) -> DataFrame:
@@ -35,7 +35,7 @@ def train_lda(
     )
     lda = LDA(
         featuresCol="counts", k=k, optimizer="online", learningOffset=50.0, learningDecay=0.7,
-        maxIter=iterations, seed=seed,
+        maxIter=iterations, seed=seed, subsamplingRate=1.0, optimizeDocConcentration=False,
     )
     tokens = materialize(topic_tokens(df, text_col).select("review_id", "grams"), "grams")
     return Pipeline(stages=[counter, lda]).fit(tokens)
@@ -227,7 +227,7 @@ def topic_word_nodes(edges: DataFrame) -> DataFrame:
 def topic_impact(
     df: DataFrame, trending: DataFrame, text_col: str = "cleaned_text"
 ) -> DataFrame:
-    """Mentions, mean rating, sentiments and main categories of every trending topic."""
+    """Mentions, mean rating, sentiments and main categories, with counts, of every trending topic."""
     topics = trending.select(F.col("term").alias("topic"), "trend_score")
     mentions = topic_mentions(
         df.select("category", "rating", "predicted_sentiment", text_col),
@@ -252,8 +252,8 @@ def topic_impact(
     best = (
         top_rows(categories, ["topic"], [F.desc("n"), F.asc("category")], 3)
         .groupBy("topic")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "category"))).alias("c"))
-        .select("topic", F.array_join(F.col("c.category"), ",").alias("affected_categories"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "category", "n"))).alias("c"))
+        .select("topic", F.transform("c", lambda x: F.struct(x["category"], x["n"])).alias("affected_categories"))
     )
     return totals.join(best, "topic").join(topics, "topic")
 
@@ -275,14 +275,16 @@ def topic_sentiment_matrix(
 
 
 def category_keyword_pivot(
-    category_kw: DataFrame, categories: Sequence[str], n: int = 5
+    category_kw: DataFrame, categories: Sequence[str] | None = None, n: int = 5
 ) -> DataFrame:
-    """Score of the best keywords of each category in every category, 0 where absent."""
+    """Score of the best keywords of each category in every category, 0 where absent.
+
+    Without a list, the categories are those found; there is a column for each.
+    """
     top = category_kw.where((F.col("sentiment") == "all") & (F.col("rank") <= n))
-    return (
-        top.groupBy("term").pivot("category", list(categories)).agg(F.avg("score"))
-        .na.fill(0.0, list(categories))
-    )
+    grouped = top.groupBy("term")
+    pivoted = grouped.pivot("category", list(categories)) if categories is not None else grouped.pivot("category")
+    return pivoted.agg(F.avg("score")).na.fill(0.0)
 
 
 def topic_cooccurrence(
@@ -290,14 +292,26 @@ def topic_cooccurrence(
 ) -> DataFrame:
     """In how many reviews each two topics occur together, and the Jaccard share.
 
-    The topics of a review are found in its row, and there are few of them.
+    Each unordered pair of a text's topics is counted once, with the number of reviews that have
+    the text; the other order is added to the counts.
     """
-    lists = with_topics(df.select(text_col), topics, text_col).select(F.col("topics").alias("ts"))
-    pairs = lists.select(F.explode("ts").alias("topic_a"), "ts").select(
-        "topic_a", F.explode("ts").alias("topic_b")
+    keyed = df.select(text_col, text_key(text_col).alias("__text"))
+    reviews = keyed.groupBy("__text").agg(F.count(F.lit(1)).alias("n"))
+    lists = (
+        topic_mentions(keyed, topics, text_col)
+        .groupBy("__text").agg(F.array_sort(F.collect_set("topic")).alias("ts"))
+        .join(reviews, "__text")
+    )
+    first = lists.select(F.posexplode("ts").alias("i", "topic_a"), "ts", "n")
+    upper = first.select(
+        "topic_a", F.explode(F.slice("ts", F.col("i") + 1, F.size("ts"))).alias("topic_b"), "n"
+    )
+    upper = upper.groupBy("topic_a", "topic_b").agg(F.sum("n").alias("together"))
+    other = upper.where(F.col("topic_a") < F.col("topic_b")).select(
+        F.col("topic_b").alias("topic_a"), F.col("topic_a").alias("topic_b"), "together"
     )
-    counts = pairs.groupBy("topic_a", "topic_b").agg(F.count(F.lit(1)).alias("together"))
-    single = counts.where(F.col("topic_a") == F.col("topic_b"))
+    counts = upper.unionByName(other)
+    single = upper.where(F.col("topic_a") == F.col("topic_b"))
     a = single.select("topic_a", F.col("together").alias("na"))
     b = single.select("topic_b", F.col("together").alias("nb"))
     return (

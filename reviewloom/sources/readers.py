@@ -24,12 +24,3 @@ def parse_review_date(df: DataFrame, col: str = "review_date") -> DataFrame:
     if isinstance(df.schema[col].dataType, T.StringType):
         return df.withColumn(col, F.try_to_timestamp(F.col(col)).cast("timestamp_ntz"))
     return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table of a few splits over the cores, for work that is heavy per row.
-
-    A table with enough splits stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df

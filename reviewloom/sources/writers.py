@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", by: str = "category") -> None:
     """Write a stage table in one folder per category, for partition pruning.
 
-    Rows stay where they are, so a category with a large part of the rows is written
-    by many tasks.
+    Rows are grouped by category before they are written, so there are few files; the rebalance
+    splits a category with a large part of the rows over several tasks.
     """
-    df.write.mode(mode).partitionBy(by).parquet(path)
+    df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def save_load_model(model: PipelineModel, path: str) -> PipelineModel:

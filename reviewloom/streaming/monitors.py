@@ -157,9 +157,9 @@ def stream_category_issues(
     stream: DataFrame, categories: DataFrame, keywords: Sequence[str] = URGENT_WORDS,
     text_col: str = "review_text",
 ) -> DataFrame:
-    """Negative reviews joined with a table of categories, urgent ones flagged."""
+    """Negative reviews with what a table says of their category, if anything; urgent ones flagged."""
     negative = stream.where(L.sentiment_is("negative"))
-    joined = negative.join(categories, "category")
+    joined = negative.join(categories, "category", "left")
     return urgent_keyword_flag(joined, keywords, col=text_col)
 
 
