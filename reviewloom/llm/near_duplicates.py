@@ -85,6 +85,13 @@ def _texts(batch) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _parts(batches, rows: int = 500):
+    """Slices of a few hundred rows, which bounds the arrays that are held at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(documents in which each cell's shingles occur, number of documents with words).
 
@@ -93,7 +100,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total, n = np.zeros(CELLS, np.int64), 0
-        for batch in batches:
+        for batch in _parts(batches):
             found = [s for s, _ in shingles(_texts(batch)) if len(s)]
             if found:
                 total += np.bincount(cells(np.concatenate(found)), minlength=CELLS)
@@ -208,7 +215,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
 
     def run(batches):
         table = idf.value
-        for batch in batches:
+        for batch in _parts(batches):
             vertex, bands = [], []
             for prints, counts in shingles(_texts(batch)):
                 if not len(prints):
@@ -236,16 +243,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
             texts = [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
             return [(p, weights(p, c, table)) for p, c in shingles(texts)]
 
-        for batch in batches:
+        for batch in _parts(batches):
             keep = []
             leaders = batch.column(batch.schema.get_field_index("leader")).to_pylist()
-            own = batch.column(batch.schema.get_field_index("text"))
             theirs = batch.column(batch.schema.get_field_index("leader_text"))
-            for a in range(0, len(leaders), 256):  # bounds what is held at a time
-                for k, vec in enumerate(vectors(own.slice(a, 256)), a):
-                    if leaders[k] != leader:
-                        leader, vector = leaders[k], vectors(theirs.slice(k, 1))[0]
-                    keep.append(similarity(vec, vector) >= threshold)
+            for k, vec in enumerate(vectors(batch.column(batch.schema.get_field_index("text")))):
+                if leaders[k] != leader:
+                    leader, vector = leaders[k], vectors(theirs.slice(k, 1))[0]
+                keep.append(similarity(vec, vector) >= threshold)
             names = ("vertex", "leader")
             yield pa.RecordBatch.from_pydict(
                 {n: batch.column(batch.schema.get_field_index(n)) for n in names}
@@ -261,7 +266,7 @@ def _of_vertex(held: DataFrame) -> DataFrame:
     """The rows (vertex, text) whose text is of that vertex: rows may share a doc_id."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             vertices = batch.column(0).to_pylist()
             fits = [_vertex(p, c) == v for (p, c), v in zip(shingles(_texts(batch)), vertices, strict=True)]
             yield batch.filter(pa.array(fits, pa.bool_()))

@@ -27,7 +27,7 @@ from .windows import Block, Rolling, U, byte_tokens, find_repeats
 
 SIZE = 50
 ANCHOR = 10
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 _PART = 1 << 20

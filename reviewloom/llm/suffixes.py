@@ -6,11 +6,9 @@ group of one drops out after each pass; the groups left at the end are exactly t
 * The first digits are passes over the whole corpus, done by fingerprint (windows.py): first
   an anchor of ANCHOR bytes, then the segment around it. Suffixes whose anchor is found nowhere
   else drop out, and those with equal segments everywhere are done.
-* The windows that are still open are sorted in their block by 8-byte digits (``radix_order``),
-  and one of each group goes on to the pass over all blocks.
-
-Only fingerprints move between blocks, not the bytes of the suffixes, so the order between
-blocks is that of fingerprints; the groups are the same.
+* The suffixes that are still open are sorted by their bytes, 8 at a time (``radix_order``), all
+  those with one anchor in one task. An anchor with very many different segments is
+  settled by fingerprints of its windows instead, so no task gets an unbounded group.
 
 Defined cases: a null text is empty; documents shorter than ``size`` bytes keep all; a missing
 doc_id counts as the largest; rows with equal doc_id count as one document, in order of text;
@@ -29,7 +27,7 @@ from .windows import Block, byte_tokens, find_repeats
 
 SIZE = 100
 ANCHOR = 24
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def radix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -92,6 +90,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, bloc
     return find_repeats(
         docs, make_block, finish, schema, same_doc=True, block_bytes=block_bytes,
         label=lambda block, windows: radix_order(block.data, windows, size),
+        window=size, sort_windows=lambda data, windows: radix_order(data, windows, size),
     )
 
 

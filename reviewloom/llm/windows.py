@@ -11,12 +11,15 @@ of messages that are grouped by fingerprint:
   and the first place of it. Anchors that no other block has cost nothing more. Where all segments of
   an anchor are equal, every block but that of the first place learns that its windows are found
   earlier. Other anchors are open.
-* Round 2: a block sends each distinct window of the open anchors once, with its first place, and
-  learns which of them start earlier in other blocks.
+* Round 2: a block sends each distinct segment of the open anchors once, and learns which of them
+  are found as a whole in an earlier place. The others are the first of their kind.
+* Round 3: what is left is settled window by window. The bytes of these segments are sent to the
+  task of their anchor, which sorts their windows (sort_windows). Where that is not asked for, and for
+  anchors with more than CROWD segments, each distinct window is sent by its fingerprint instead.
 
 A fingerprint that a third of all documents hold is one message per block, so no key is hot, and
-messages grow with the input. Blocks keep only arrays of their own text. Fingerprints of windows
-have 64 bits and a check of 32 more; those of anchors and segments have 64 bits each.
+messages grow with the input. Blocks keep only arrays of their own text. Anchors, segments and
+windows are compared by 64 bits, and segments by their anchor's, windows by 32 more.
 """
 
 from __future__ import annotations
@@ -34,7 +37,10 @@ U = np.uint64
 _STEP = 1 << 20  # windows that are analysed at a time
 _PLACE = U((1 << 24) - 1)
 _LAST = np.iinfo(np.int64).max  # stands for a missing doc_id
-EARLIER, OPEN, EARLIER_WINDOW = 0, 1, 2
+EARLIER, OPEN, EARLIER_SEGMENT, EARLIER_WINDOW, CROWDED, SUFFIXES = range(6)
+CROWD = 4096  # segments of an anchor that one task may get
+_FEW = 1 << 20  # numbers under this stand for so many segments, others are a fingerprint
+ANCHORS, SEGMENTS, WINDOWS = EARLIER, EARLIER_SEGMENT, EARLIER_WINDOW  # what is asked, by the answer
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,6 +51,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+_WINDOW_BASE = 0x2545F4914F6CDD1D
 _BYTE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
@@ -158,7 +165,7 @@ class Block:
             lo, hi = np.searchsorted(windows, (a, a + _STEP))
             if lo < hi:
                 at = windows[lo:hi] - a
-                main[lo:hi] = Rolling(tokens, 0x2545F4914F6CDD1D)(at, at + self.size)
+                main[lo:hi] = Rolling(tokens, _WINDOW_BASE)(at, at + self.size)
                 with np.errstate(over="ignore"):
                     other = Rolling(mix(tokens + U(0x632BE59BD9B4E019)), 0x369DEA0F31A53F85)
                 check[lo:hi] = (other(at, at + self.size) >> U(32)).astype(np.uint32)
@@ -200,12 +207,13 @@ def _local(anchor: np.ndarray, segment: np.ndarray) -> dict[str, np.ndarray]:
     head = order[begins]
     differs = segment[order] != segment[head][group] if len(order) else np.zeros(0, bool)
     mixed = np.logical_or.reduceat(differs, begins) if len(begins) else np.zeros(0, bool)
+    sizes = np.diff(np.append(begins, len(order)))
     first, is_mixed = np.empty(len(order), np.int64), np.empty(len(order), bool)
     first[order], is_mixed[order] = head[group], mixed[group]
-    return {"first": first, "mixed": is_mixed, "heads": head, "head_mixed": mixed}
+    return {"first": first, "mixed": is_mixed, "heads": head, "head_mixed": mixed, "sizes": sizes}
 
 
-_MESSAGE = np.dtype([("key", "<u8"), ("other", "<u8"), ("doc", "<i8"), ("pos", "<i8")])
+_COLUMNS = ("<u8", "<u8", "<i8", "<u4")  # key, other, doc, pos
 
 
 def _pack(block: int, buckets: int, kind: int, key, other, doc, pos) -> pa.Table:
@@ -217,8 +225,8 @@ def _pack(block: int, buckets: int, kind: int, key, other, doc, pos) -> pa.Table
     for b in range(buckets):
         at = order[bounds[b] : bounds[b + 1]]
         if len(at):
-            parts = (key[at].astype("<u8"), other[at].astype("<u8"), doc[at].astype("<i8"), pos[at].astype("<i8"))
-            rows.append((b, b"".join(x.tobytes() for x in parts)))
+            parts = zip((key, other, doc, pos), _COLUMNS, strict=True)
+            rows.append((b, b"".join(x[at].astype(kind).tobytes() for x, kind in parts)))
     return pa.table({
         "bucket": pa.array([r[0] for r in rows], pa.int32()),
         "block": pa.array([block] * len(rows), pa.int32()),
@@ -236,19 +244,20 @@ def _unpack(table: pa.Table):
     """(block, key, other, doc, pos) of all messages of a bucket."""
     blocks, columns = [], ([], [], [], [])
     for block, data in zip(table["block"].to_pylist(), table["data"].to_pylist(), strict=True):
-        n = len(data) // _MESSAGE.itemsize
+        n = len(data) // 28
         blocks.append(np.full(n, block, np.int32))
-        for i, kind in enumerate(("<u8", "<u8", "<i8", "<i8")):
+        for i, kind in enumerate(_COLUMNS):
             columns[i].append(np.frombuffer(data, kind, n, 8 * n * i))
     return np.concatenate(blocks), *(np.concatenate(c) for c in columns)
 
 
-def _answer(table: pa.Table, same_doc: bool, windows: bool) -> pa.Table:
+def _answer(table: pa.Table, same_doc: bool, kind: int) -> pa.Table:
     """Replies to the messages of one bucket.
 
-    A key that only one block sent needs none. With windows, ``other`` is part of the key; else it
-    is the segment's fingerprint (0: several), and keys with different ones are open.
+    A key that only one block sent needs none. ``other`` is part of the key of segments and windows;
+    for anchors it is the segment's fingerprint, or their number; keys with different ones are open.
     """
+    windows = kind != ANCHORS
     block, key, other, doc, pos = _unpack(table)
     order = np.argsort(key, kind="stable")
     ordered = key[order]
@@ -264,66 +273,115 @@ def _answer(table: pa.Table, same_doc: bool, windows: bool) -> pa.Table:
     if windows:
         new[1:] |= other[1:] != other[:-1]
     begins, group = np.flatnonzero(new), np.cumsum(new) - 1
-    if windows or not len(key):
-        is_open = np.zeros(len(key), bool)
-    else:
-        is_open = np.logical_or.reduceat((other != other[begins][group]) | (other == 0), begins)[group]
+    is_open = crowded = np.zeros(len(key), bool)
+    if not windows and len(key):
+        several = other < _FEW
+        is_open = np.logical_or.reduceat((other != other[begins][group]) | several, begins)[group]
+        number = np.add.reduceat(np.where(several, other, U(1)), begins)
+        crowded = is_open & (number > CROWD)[group]
     head = begins[group]
     later = doc > doc[head]
     if same_doc:
         later |= (doc == doc[head]) & (pos > pos[head])
     rows = []
-    for kind, chosen in ((EARLIER_WINDOW if windows else EARLIER, later & ~is_open), (OPEN, is_open)):
+    for reply, chosen in ((kind, later & ~is_open), (OPEN, is_open), (CROWDED, crowded)):
         to, keys = block[chosen], key[chosen]
         by = np.argsort(to, kind="stable")
         to, keys = to[by], keys[by]
         for b in np.unique(to).tolist():
             lo, hi = np.searchsorted(to, (b, b + 1))
-            rows.append((b, kind, keys[lo:hi].tobytes()))
+            rows.append((b, reply, keys[lo:hi].tobytes()))
+    return pa.Table.from_pylist([dict(zip(_REPLY_SCHEMA.names, r, strict=True)) for r in rows], _REPLY_SCHEMA)
+
+
+def _pack_segments(block: int, buckets: int, anchor, doc, texts: list[bytes]) -> pa.Table:
+    """Segments as one row per bucket: lengths, doc_ids, and their bytes one after the other."""
+    target = (anchor % U(buckets)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
+    bounds = np.searchsorted(target[order], np.arange(buckets + 1))
+    lengths = np.array([len(t) for t in texts], "<u4")
+    rows = []
+    for b in range(buckets):
+        at = order[bounds[b] : bounds[b + 1]]
+        if len(at):
+            head = np.array([len(at)], "<u4").tobytes() + lengths[at].tobytes() + doc[at].astype("<i8").tobytes()
+            rows.append((b, head + b"".join([texts[k] for k in at.tolist()])))
+    return pa.table({
+        "bucket": pa.array([r[0] for r in rows], pa.int32()),
+        "block": pa.array([block] * len(rows), pa.int32()),
+        "kind": pa.array([SUFFIXES] * len(rows), pa.int32()),
+        "data": pa.array([r[1] for r in rows], pa.binary()),
+    })
+
+
+def _answer_segments(table: pa.Table, size: int, sort_windows) -> pa.Table:
+    """Which windows of the segments of one bucket start in an earlier document of another block."""
+    blocks, lengths, docs, texts = [], [], [], []
+    for block, data in zip(table["block"].to_pylist(), table["data"].to_pylist(), strict=True):
+        n = int(np.frombuffer(data, "<u4", 1)[0])
+        blocks.append(np.full(n, block, np.int32))
+        lengths.append(np.frombuffer(data, "<u4", n, 4))
+        docs.append(np.frombuffer(data, "<i8", n, 4 + 4 * n))
+        texts.append(data[4 + 12 * n :])
+    block, length, doc = (np.concatenate(x) for x in (blocks, lengths, docs))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    start = np.cumsum(length.astype(np.int64)) - length
+    order = np.argsort(doc, kind="stable")
+    counts = length[order].astype(np.int64) - size + 1
+    windows = spread(start[order], counts)
+    of = np.repeat(order, counts)
+    by, begins, group = groups(sort_windows(data, windows))
+    head = by[begins][group]
+    # Windows that start earlier in their own block are found there.
+    found = by[(doc[of[by]] > doc[of[head]]) & (block[of[by]] != block[of[head]])]
+    keys = Rolling(byte_tokens(data), _WINDOW_BASE)(windows[found], windows[found] + size)
+    to = block[of[found]]
+    rows = []
+    at = np.argsort(to, kind="stable")
+    to, keys = to[at], keys[at]
+    for b in np.unique(to).tolist():
+        lo, hi = np.searchsorted(to, (b, b + 1))
+        rows.append((b, EARLIER_WINDOW, np.unique(keys[lo:hi]).tobytes()))
     return pa.Table.from_pylist([dict(zip(_REPLY_SCHEMA.names, r, strict=True)) for r in rows], _REPLY_SCHEMA)
 
 
 def _replies(table: pa.Table) -> dict[int, np.ndarray]:
     """The ascending keys of each kind that a block has been told."""
-    parts: dict[int, list] = {EARLIER: [], OPEN: [], EARLIER_WINDOW: []}
+    parts: dict[int, list] = {k: [] for k in (EARLIER, OPEN, EARLIER_SEGMENT, EARLIER_WINDOW, CROWDED)}
     for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
         parts[kind].append(np.frombuffer(data, "<u8"))
     return {k: np.sort(np.concatenate(v)) if v else np.zeros(0, U) for k, v in parts.items()}
 
 
-def _first_windows(block: Block, windows: np.ndarray, label) -> tuple[np.ndarray, np.ndarray]:
-    """(order of windows by equality, group begins): ``label`` gives equal numbers to equal windows."""
-    order, begins, _ = groups(label(block, windows))
-    return order, begins
-
-
 def repeated(block: Block, told: dict[int, np.ndarray], same_doc: bool, label) -> np.ndarray:
     """The windows of a block that start earlier, as ascending places."""
     s = block.segments()
-    local = _local(s["anchor"], s["segment"])
-    earlier, is_open = within(s["anchor"], told[EARLIER]), within(s["anchor"], told[OPEN])
-    doc, _ = block.where(s["place"]) if len(s["place"]) else (s["place"], None)
-    if same_doc:
-        not_first = local["first"] != np.arange(len(doc))
-    else:
-        not_first = doc > doc[local["first"]] if len(doc) else np.zeros(0, bool)
-    single = ~is_open & ~local["mixed"]
-    whole = earlier | (single & not_first)
-    expand = ~earlier & ~single
+    if not len(s["start"]):
+        return s["start"]
+    doc, _ = block.where(s["place"])
+
+    def later(first: np.ndarray) -> np.ndarray:
+        """Whether segments come after the first ones of their kind."""
+        return first != np.arange(len(first)) if same_doc else doc > doc[first]
+
+    anchors, alike = _local(s["anchor"], s["segment"]), _local(s["segment"], s["anchor"])
+    earlier = within(s["anchor"], told[EARLIER])
+    single = ~within(s["anchor"], told[OPEN]) & ~anchors["mixed"]
+    copied = within(s["segment"], told[EARLIER_SEGMENT]) | later(alike["first"])
+    whole = earlier | np.where(single, later(anchors["first"]), copied)
+    expand = ~whole & ~single
     found = [spread(s["start"][whole], s["count"][whole])]
     windows = spread(s["start"][expand], s["count"][expand])
     if len(windows):
-        order, begins = _first_windows(block, windows, label)
-        group = np.zeros(len(order), np.int64)
-        group[begins[1:]] = 1
-        head = order[begins][np.cumsum(group)]
+        order, begins, group = groups(label(block, windows))
+        head = order[begins][group]
         if same_doc:
-            later = order != head
+            dup_of = order != head
         else:
             of, _ = block.where(windows)
-            later = of[order] > of[head]
+            dup_of = of[order] > of[head]
         dup = np.zeros(len(windows), bool)
-        dup[order] = later
+        dup[order] = dup_of
         if len(told[EARLIER_WINDOW]):
             dup |= within(block.fingerprints(windows)[0], told[EARLIER_WINDOW])
         found.append(windows[dup])
@@ -351,11 +409,15 @@ def find_repeats(
     same_doc: bool,
     block_bytes: int,
     label=lambda block, windows: block.fingerprints(windows)[0],
+    window: int = 0,
+    sort_windows: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
     """One row per document: doc_id and what ``finish`` makes of its block's covered tokens.
 
     ``make_block`` turns doc_ids and texts into a Block; ``label`` numbers windows so that equal
     ones in a block have equal numbers. ``same_doc``: an earlier start in the same document counts.
+    ``sort_windows``, for blocks of bytes with windows of ``window`` bytes, numbers the windows at
+    given places of a byte array in the same way.
     """
     buckets = n_blocks(docs, block_bytes)
     spread_key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
@@ -377,41 +439,63 @@ def find_repeats(
         local = _local(s["anchor"], s["segment"])
         heads = local["heads"]
         doc, pos = block.where(s["place"][heads])
-        other = np.where(local["head_mixed"], U(0), s["segment"][heads])
-        return _pack(table["block"][0].as_py(), buckets, EARLIER, s["anchor"][heads], other, doc, pos)
-
-    def ask_windows(table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _pack(0, buckets, EARLIER_WINDOW, *(np.zeros(0, k) for k in (U, U, np.int64, np.int64)))
-        number = table["block"][0].as_py()
-        told = _replies(replies)
-        passed = pa.table({
-            "bucket": replies["block"], "block": replies["block"], "kind": replies["kind"], "data": replies["data"]
-        })
-        if not len(told[OPEN]):
-            return passed
-        block, _, _ = load(table)
-        s = block.segments()
-        chosen = within(s["anchor"], told[OPEN])
-        windows = spread(s["start"][chosen], s["count"][chosen])
-        order, begins = _first_windows(block, windows, label)
-        first = np.sort(windows[order[begins]])
-        key, check = block.fingerprints(first)
-        doc, pos = block.where(first)
-        asked = _pack(number, buckets, EARLIER_WINDOW, key, check, doc, pos)
-        return pa.concat_tables([asked, passed.cast(asked.schema)])
-
-    def answer_anchors(table: pa.Table) -> pa.Table:
-        return _answer(table, same_doc, windows=False)
-
-    def answer_windows(table: pa.Table) -> pa.Table:
-        """Answers the windows and hands on what the blocks were told in the first round."""
-        asked = np.array(table["kind"].to_pylist()) == EARLIER_WINDOW
-        handed = table.filter(pa.array(~asked)).select(_REPLY_SCHEMA.names)
-        parts = [handed.cast(_REPLY_SCHEMA)]
-        if asked.any():
-            parts.append(_answer(table.filter(pa.array(asked)), same_doc, windows=True))
-        return pa.concat_tables(parts)
+        number = np.minimum(local["sizes"], _FEW - 1).astype(U)
+        other = np.where(local["head_mixed"], number, s["segment"][heads])
+        return _pack(table["block"][0].as_py(), buckets, ANCHORS, s["anchor"][heads], other, doc, pos)
+
+    def ask_more(kind: int):
+        """Asks about segments or windows of the open anchors, and hands on what the block was told."""
+
+        def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
+            handed = pa.table({n: replies["block" if n == "bucket" else n] for n in ("bucket", *_REPLY_SCHEMA.names)})
+            told = _replies(replies)
+            if not table.num_rows or not len(told[OPEN]):
+                return handed
+            number = table["block"][0].as_py()
+            block, _, _ = load(table)
+            s = block.segments()
+            chosen = within(s["anchor"], told[OPEN])
+            if kind == WINDOWS:
+                chosen &= ~within(s["segment"], told[EARLIER_SEGMENT])
+            chosen = np.flatnonzero(chosen)
+            order, begins, _ = groups(s["segment"][chosen])
+            first = chosen[np.sort(order[begins])]
+            parts = [handed.cast(pa.schema([("bucket", pa.int32()), *_REPLY_SCHEMA]))]
+            if kind == SEGMENTS:
+                key, other, place = s["segment"][first], s["anchor"][first], s["place"][first]
+            else:
+                if sort_windows is not None:
+                    crowded = within(s["anchor"][first], told[CROWDED])
+                    few, first = first[~crowded], first[crowded]
+                    a, b = s["start"][few], s["start"][few] + s["count"][few] + block.size - 1
+                    texts = [block.data[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+                    doc, _ = block.where(a)
+                    parts.append(_pack_segments(number, buckets, s["anchor"][few], doc, texts))
+                windows = spread(s["start"][first], s["count"][first])
+                order, begins, _ = groups(label(block, windows))
+                place = np.sort(windows[order[begins]])
+                key, other = block.fingerprints(place)
+            parts.append(_pack(number, buckets, kind, key, other, *block.where(place)))
+            return pa.concat_tables(parts)
+
+        return ask
+
+    def answer(kind: int):
+        """Answers what was asked and hands on what the blocks were told in the rounds before."""
+
+        def reply(table: pa.Table) -> pa.Table:
+            # An answer has the number of its question; only the kinds of earlier rounds are handed on.
+            kinds = np.array(table["kind"].to_pylist())
+            asked, sent = kinds == kind, kinds == SUFFIXES
+            handed = table.filter(pa.array(~asked & ~sent)).select(_REPLY_SCHEMA.names).cast(_REPLY_SCHEMA)
+            parts = [handed]
+            if asked.any():
+                parts.append(_answer(table.filter(pa.array(asked)), same_doc, kind))
+            if sent.any():
+                parts.append(_answer_segments(table.filter(pa.array(sent)), window, sort_windows))
+            return pa.concat_tables(parts)
+
+        return reply
 
     def conclude(table: pa.Table, replies: pa.Table) -> pa.Table:
         block, texts, table = load(table.select(["doc_id", "text"]))
@@ -419,14 +503,10 @@ def find_repeats(
         gone = covered(len(block.valid), found, block.size)
         return pa.table({"doc_id": table["doc_id"], **finish(block, texts, gone)})
 
-    replies = (
-        rows.groupBy("block").applyInArrow(ask_anchors, _MESSAGES).groupBy("bucket").applyInArrow(answer_anchors, _REPLIES)
-    )
     told = (
-        rows.groupBy("block")
-        .cogroup(replies.groupBy("block"))
-        .applyInArrow(ask_windows, _MESSAGES)
-        .groupBy("bucket")
-        .applyInArrow(answer_windows, _REPLIES)
+        rows.groupBy("block").applyInArrow(ask_anchors, _MESSAGES).groupBy("bucket").applyInArrow(answer(ANCHORS), _REPLIES)
     )
+    for kind in (SEGMENTS, WINDOWS):
+        asked = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(ask_more(kind), _MESSAGES)
+        told = asked.groupBy("bucket").applyInArrow(answer(kind), _REPLIES)
     return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(conclude, f"doc_id long, {schema}")
