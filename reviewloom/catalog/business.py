@@ -9,7 +9,7 @@ from ..plans.scratch import materialize
 from .aggregates import CSI, rate
 from .base import query
 from .joins import PROBLEMS_SQL
-from .keywords import PERIODS
+from .periods import PERIODS
 from .timeseries import WEEKLY
 
 
@@ -78,7 +78,15 @@ def _(v):
     return R.top5_recommendations(B.recommendations(v.reviews, text_col="product_name"))
 
 
-@query("recommendations_with_topics")
+# The rules over the texts, with the trending topics and what their mentions say.
+TOPIC_RULES = f"""reviews AS (SELECT *, review_text AS product_name FROM cleaned), {RULES}, {PERIODS},
+mt AS (SELECT t.term AS topic, t.trend_score, c.rating FROM trending t JOIN cleaned c ON contains(c.cleaned_text, t.term)),
+im AS (SELECT topic, count(*) AS n, avg(rating) AS avg_rating, any_value(trend_score) AS trend_score FROM mt GROUP BY 1 ORDER BY any_value(trend_score) DESC, topic LIMIT 3),
+trec AS (SELECT * FROM rec UNION ALL SELECT 4, 'Emerging Issues', 'MEDIUM', '"' || topic || '" mentioned in ' || n || ' reviews with avg rating ' || {pct("avg_rating", 1)},
+ 'Address ' || topic || ' issues across affected products', 'Prevent escalation to major customer concern', '14 days' FROM im WHERE avg_rating < 3)""".replace("\ntr AS (SELECT r.term", "\ntrd AS (SELECT r.term").replace("FROM tr WHERE trend_score > 0.5", "FROM trd WHERE trend_score > 0.5")
+
+
+@query("recommendations_with_topics", f"WITH {TOPIC_RULES} SELECT * FROM trec", "cleaned")
 def _(v):
     trending = materialize(M.trending_topics(v.stage), "trending")
     return B.recommendations(v.stage, trending)
@@ -115,6 +123,16 @@ def _(v):
     return B.top_insights(v.reviews, text_col="product_name")
 
 
+@query(
+    "top_insights_with_topics",
+    f"""WITH {TOPIC_RULES}, {INSIGHTS} SELECT * FROM ins
+    UNION ALL SELECT 4, '🔥 \'\'' || term || '\'\' emerging as key customer concern' FROM (SELECT * FROM trending ORDER BY trend_score DESC, term LIMIT 1)""".replace("\\'", "'"),
+    "cleaned",
+)
+def _(v):
+    return B.top_insights(v.stage, materialize(M.trending_topics(v.stage), "trending"))
+
+
 @query(
     "kpi_scorecard",
     f"""WITH {FINANCE}, m AS (SELECT {CSI} AS c, avg(rating) AS r, avg(CASE WHEN helpful_count > 0 THEN 100.0::DOUBLE ELSE 0 END) AS h, (SELECT lost + churn FROM fin) AS k FROM reviews)

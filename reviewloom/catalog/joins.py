@@ -7,6 +7,7 @@ from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..operators import aggregates as A
 from ..operators import joins as C
 from .base import query, sql_list, sql_words
+from .periods import RECENT_OLDER, period_words
 
 # Frequent words of the supplied texts serve as topics and as a lexicon.
 TOPICS = ("tion", "the", "eau", "los", "ung", "and")
@@ -27,25 +28,9 @@ def _(v):
     return C.weekly_sentiment_share(v.reviews)
 
 
-KEYWORDS_SQL = """
-k AS (SELECT CASE WHEN review_date >= DATE '2024-06-01' THEN 'recent' ELSE 'older' END AS period, term, count(*) / 1000.0::DOUBLE AS score
-  FROM (SELECT review_date, unnest(WORDS) AS term FROM cleaned) GROUP BY 1, 2),
-r AS (SELECT * FROM k WHERE period = 'recent'), o AS (SELECT * FROM k WHERE period = 'older')
-""".replace("WORDS", sql_words("cleaned_text"))
-
-
-def _period_words(v):
-    terms = v.cleaned.select("review_date", F.explode(words(F.col("cleaned_text"))).alias("term"))
-    recent = F.col("review_date") >= F.lit("2024-06-01").cast("timestamp_ntz")
-    counts = terms.groupBy(F.when(recent, "recent").otherwise("older").alias("period"), "term").agg(
-        (F.count(F.lit(1)) / 1000.0).alias("score")
-    )
-    return counts.where("period = 'recent'"), counts.where("period = 'older'")
-
-
 @query(
     "trend_score",
-    f"""WITH {KEYWORDS_SQL}
+    f"""WITH {RECENT_OLDER}
     SELECT r.term, round(r.score, 6) AS recent_score, round(coalesce(o.score, 0.001::DOUBLE), 6) AS older_score,
      round((r.score - coalesce(o.score, 0.001::DOUBLE)) / coalesce(o.score, 0.001::DOUBLE), 6) AS trend_score,
      round((r.score - coalesce(o.score, 0.001::DOUBLE)) / coalesce(o.score, 0.001::DOUBLE) * 100, 6) AS percentage_change
@@ -53,7 +38,7 @@ def _period_words(v):
     "cleaned",
 )
 def _(v):
-    return C.trend_score(*_period_words(v))
+    return C.trend_score(*period_words(v))
 
 
 @query("topic_mentions", MENTIONS, "cleaned")

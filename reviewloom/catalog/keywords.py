@@ -12,23 +12,7 @@ from ..plans.scratch import materialize, scratch_path
 from ..sources.writers import write_topic_report
 from .base import query, sql_gram_tokens, sql_grams, sql_words
 from .joins import MENTIONS, TOPICS
-
-
-def tfidf_sql(source, scopes, k, vocab=1000, name="kw"):
-    """CTEs that end in (scopes, term, score, rank)."""
-    on = " AND ".join(f"a.{s} = b.{s}" for s in scopes)
-    sc = ", ".join(scopes)
-    asc = ", ".join(f"a.{s}" for s in scopes)
-    return f"""
-{name}_g AS (SELECT * FROM {sql_grams(source, f"review_id, {sc}", sql_gram_tokens("cleaned_text"))}),
-{name}_v AS (SELECT {sc}, term FROM (SELECT {sc}, term, row_number() OVER (PARTITION BY {sc} ORDER BY count(*) DESC, term) AS r FROM {name}_g GROUP BY {sc}, term) WHERE r <= {vocab}),
-{name}_n AS (SELECT {sc}, count(*) AS n FROM {source} GROUP BY {sc}),
-{name}_t AS (SELECT {asc}, a.review_id, a.term, count(*) AS tf FROM {name}_g a JOIN {name}_v b ON {on} AND a.term = b.term GROUP BY {asc}, a.review_id, a.term),
-{name}_d AS (SELECT {asc}, a.term, any_value(b.n) AS n, ln((1 + any_value(b.n)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM {name}_t a JOIN {name}_n b ON {on} GROUP BY {asc}, a.term),
-{name}_w AS (SELECT {asc}, a.review_id, a.term, b.n, a.tf * b.idf AS w FROM {name}_t a JOIN {name}_d b ON {on} AND a.term = b.term),
-{name}_u AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY {sc}, review_id)) AS u FROM {name}_w),
-{name}_s AS (SELECT {sc}, term, sum(u) / any_value(n) AS score FROM {name}_u GROUP BY {sc}, term),
-{name} AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {sc} ORDER BY round(score, 12) DESC, term) AS INT) AS rank FROM {name}_s) WHERE rank <= {k})"""
+from .periods import PERIODS, tfidf_sql
 
 
 CORPUS = "corpus AS (SELECT *, 'all' AS scope FROM cleaned)," + tfidf_sql("corpus", ["scope"], 20)
@@ -54,15 +38,6 @@ def _(v):
     return M.category_keywords(v.stage)
 
 
-PERIODS = f"""
-marked AS (SELECT *, CASE WHEN review_date >= (SELECT max(review_date) - INTERVAL 30 DAY FROM cleaned) THEN 'recent' ELSE 'older' END AS period FROM cleaned),
-{tfidf_sql("marked", ["period"], 20, name="pk")},
-tr AS (SELECT r.term, r.score AS recent_score, coalesce(o.score, 0.001::DOUBLE) AS older_score,
-  (r.score - coalesce(o.score, 0.001::DOUBLE)) / coalesce(o.score, 0.001::DOUBLE) AS trend_score
-  FROM (SELECT * FROM pk WHERE period = 'recent') r LEFT JOIN (SELECT * FROM pk WHERE period = 'older') o ON r.term = o.term),
-trending AS (SELECT *, trend_score * 100 AS percentage_change FROM tr WHERE trend_score > 0.5 ORDER BY trend_score DESC, term LIMIT 20)"""
-
-
 @query(
     "trending_topics",
     f"""WITH {PERIODS} SELECT term, round(recent_score, 6) AS recent_score, round(older_score, 6) AS older_score, round(trend_score, 4) AS trend_score,

@@ -7,7 +7,7 @@ from ..operators import ranking as R
 from ..operators import sets as G
 from .aggregates import HIERARCHY, rate
 from .base import query
-from .joins import KEYWORDS_SQL, _period_words
+from .periods import RECENT_OLDER, period_words
 
 
 @query(
@@ -22,19 +22,19 @@ def _(v):
     return found.select("review_id", "category", "rating", "confidence_score")
 
 
-@query("topk_keywords", f"WITH {KEYWORDS_SQL} SELECT term, round(score, 6) AS score FROM r ORDER BY r.score DESC, term LIMIT 20", "cleaned")
+@query("topk_keywords", f"WITH {RECENT_OLDER} SELECT term, round(score, 6) AS score FROM r ORDER BY r.score DESC, term LIMIT 20", "cleaned")
 def _(v):
-    return R.topk_keywords(_period_words(v)[0].select("term", "score"), 20)
+    return R.topk_keywords(period_words(v)[0].select("term", "score"), 20)
 
 
 @query(
     "topk_trending",
-    f"""WITH {KEYWORDS_SQL}, t AS (SELECT r.term, (r.score - coalesce(o.score, 0.001::DOUBLE)) / coalesce(o.score, 0.001::DOUBLE) AS s FROM r LEFT JOIN o ON r.term = o.term)
+    f"""WITH {RECENT_OLDER}, t AS (SELECT r.term, (r.score - coalesce(o.score, 0.001::DOUBLE)) / coalesce(o.score, 0.001::DOUBLE) AS s FROM r LEFT JOIN o ON r.term = o.term)
     SELECT term, round(s, 6) AS trend_score FROM t WHERE s > 0.5 ORDER BY s DESC, term LIMIT 20""",
     "cleaned",
 )
 def _(v):
-    return R.topk_trending(C.trend_score(*_period_words(v))).select("term", "trend_score")
+    return R.topk_trending(C.trend_score(*period_words(v))).select("term", "trend_score")
 
 
 @query(
@@ -77,12 +77,12 @@ def _(v):
 
 @query(
     "new_vs_old_terms",
-    f"""WITH {KEYWORDS_SQL} SELECT term, 'new' AS kind FROM r WHERE term NOT IN (SELECT term FROM o)
+    f"""WITH {RECENT_OLDER} SELECT term, 'new' AS kind FROM r WHERE term NOT IN (SELECT term FROM o)
     UNION ALL SELECT term, 'common' FROM r WHERE term IN (SELECT term FROM o)""",
     "cleaned",
 )
 def _(v):
-    return G.new_vs_old_terms(*_period_words(v))
+    return G.new_vs_old_terms(*period_words(v))
 
 
 @query(
