@@ -12,7 +12,6 @@ from ..functions.text import (
     neighbours,
     ngrams,
     text_or_empty,
-    with_grams,
 )
 from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..plans.ordered import top_rows
@@ -34,15 +33,20 @@ def scoped_keywords(
 ) -> DataFrame:
     """Mean L2-normalised TF-IDF per term, fitted separately inside every scope.
 
-    ``docs`` has one row per document and scope. The vocabulary of a scope is its
-    most frequent terms and is written first, as a small table; the terms of the
-    documents are then joined with it, so only vocabulary terms are shuffled. All
+    ``docs`` has one row per document, with its scopes. A scope column may be an array, for
+    documents in several scopes. Texts are tokenised once and the tokens written; the
+    vocabulary of a scope is its most frequent terms and is written next, as a small table; the
+    terms of the documents are then joined with it, so only vocabulary terms are shuffled. All
     scopes are done together.
     """
-    grams = with_grams(docs.select(*scopes, key, text_col), text_col, *ngram_range, stop_words)
-    base = exploded(grams, F.col("grams"), *scopes, key)
-    terms = _vocabulary(docs, scopes, vocab, ngram_range, text_col, stop_words)
-    sizes = docs.groupBy(*scopes).agg(F.count(F.lit(1)).alias("docs"))
+    tokens = gram_tokens(F.col(text_col), stop_words).alias("tokens")
+    staged = materialize(docs.select(*scopes, key, tokens), "tokens")
+    for name in scopes:
+        if staged.schema[name].dataType.typeName() == "array":
+            staged = staged.withColumn(name, F.explode(name))
+    base = exploded(staged, ngrams(F.col("tokens"), *ngram_range), *scopes, key)
+    terms = _vocabulary(staged, scopes, vocab, ngram_range)
+    sizes = staged.groupBy(*scopes).agg(F.count(F.lit(1)).alias("docs"))
     tf = (
         base.join(terms, [*scopes, "term"])
         .groupBy(*scopes, key, "term")
@@ -70,8 +74,7 @@ def scoped_keywords(
 
 
 def _vocabulary(
-    docs: DataFrame, scopes: list[str], vocab: int, ngram_range: tuple[int, int], text_col: str,
-    stop_words,
+    docs: DataFrame, scopes: list[str], vocab: int, ngram_range: tuple[int, int]
 ) -> DataFrame:
     """The ``vocab`` most frequent terms of every scope, as a small table.
 
@@ -80,12 +83,11 @@ def _vocabulary(
     vocabulary and is dropped before anything is shuffled. Words that tie with the
     vocab-th stay, so the result is exact.
     """
-    tokens = gram_tokens(F.col(text_col), stop_words)
+    tokens = F.col("tokens")
     lo, hi = ngram_range
     first = [F.desc("n"), F.asc("term")]
     if lo > 1:
-        rows = with_grams(docs.select(*scopes, text_col), text_col, lo, hi, stop_words)
-        counts = exploded(rows, F.col("grams"), *scopes).groupBy(*scopes, "term")
+        counts = exploded(docs, ngrams(tokens, lo, hi), *scopes).groupBy(*scopes, "term")
         top = top_rows(counts.agg(F.count(F.lit(1)).alias("n")), scopes, first, vocab)
         return materialize(top.select(*scopes, "term"), "vocabulary")
     singles = exploded(docs, tokens, *scopes).groupBy(*scopes, "term").agg(
@@ -128,7 +130,7 @@ def corpus_keywords(
 def _category_scopes(
     df: DataFrame, min_docs: int, min_sent: int, text_col: str
 ) -> DataFrame:
-    """Each review once for its category and once for its category and sentiment."""
+    """Each review with its category and, as an array, "all" and the sentiments that are large enough in it."""
     sizes = df.groupBy("category").agg(
         F.count(F.lit(1)).alias("total"),
         *[
@@ -145,7 +147,7 @@ def _category_scopes(
         F.array(F.lit("all"), F.when(big, label)), lambda s: s.isNotNull()
     )
     return df.join(kept, "category").select(
-        "review_id", "category", text_col, F.explode(labels).alias("sentiment")
+        "review_id", "category", text_col, labels.alias("sentiment")
     )
 
 
