@@ -237,26 +237,23 @@ def lexicon_polarity(
 ) -> DataFrame:
     """Polarity scores per review from a (term, polarity, subjectivity) table of any size.
 
-    A sentiment word right after a negation counts as negated. Scores are summed per
-    task before the shuffle.
+    A sentiment word right after a negation counts as negated. Tokens are counted in their row;
+    only those that the table holds are kept, by an inner join, which Spark can split where a
+    frequent word is a hot key, and their scores are summed per task before the shuffle.
     """
     tokens = _score_tokens(X.text_or_empty(F.col(col)))
     negated = F.coalesce(F.col("b1").isin(list(NEGATIONS)), F.lit(False))
     exploded = X.neighbours(df, tokens, key, before=1).select(
         key, F.col("w0").alias("term"), negated.alias("negated")
     )
-    parts = _polarity_totals(
-        F.col("polarity"), F.col("subjectivity"), F.col("negated"),
-        F.when(F.col("polarity").isNotNull(), 1.0).otherwise(0.0),
-    )
-    totals = (
-        exploded.join(lexicon, "term", "left")
+    parts = _polarity_totals(F.col("polarity"), F.col("subjectivity"), F.col("negated"), F.lit(1.0))
+    hits = (
+        exploded.join(lexicon, "term")
         .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("tokens"),
-            *[F.coalesce(F.sum(v), F.lit(0.0)).alias(k) for k, v in parts.items()],
-        )
+        .agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(k) for k, v in parts.items()])
     )
+    sizes = df.select(key, F.size(tokens).cast("double").alias("tokens")).where(F.col("tokens") > 0)
+    totals = sizes.join(hits, key, "left").na.fill({k: 0.0 for k in parts})
     scored = totals.select(
         key, *[v.alias(k) for k, v in _polarity_columns(F.col, F.col("tokens"), prefix).items()]
     )
