@@ -297,11 +297,6 @@ def _(v):
     return A.best_worst_rated_category(v.reviews)
 
 
-@query("preprocessing_report")
-def _(v):
-    return A.preprocessing_report(H.preprocess(v.docs))
-
-
 @query(
     "category_topics_summary",
     """WITH c AS (SELECT category, predicted_sentiment, count(*) AS n FROM review_docs GROUP BY 1, 2)

@@ -4,10 +4,18 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import text as X
-from ..functions.wordlists import NEGATIONS, NEGATIVE_RAW, POSITIVE_RAW, PUNCTUATION
+from ..functions.wordlists import (
+    NEGATIONS,
+    NEGATIVE_CLEANED,
+    NEGATIVE_RAW,
+    POSITIVE_CLEANED,
+    POSITIVE_RAW,
+    PUNCTUATION,
+)
 from ..operators import aggregates as A
 from ..operators import text as H
 from .base import (
+    ORACLES,
     query,
     sql_clean,
     sql_expand,
@@ -157,9 +165,12 @@ def _(v):
 
 # A weighted lexicon of frequent corpus words, negation words among their neighbours.
 WEIGHTS = (("the", 0.5, 0.4), ("los", -0.8, 0.9), ("und", 0.2, 0.1), ("eau", -0.3, 0.6), ("and", -0.1, 0.2), ("good", 0.7, 0.6), ("bad", -0.7, 0.7))
-WEIGHT_SQL = ", ".join(f"({sql_string(t)}, {p}::DOUBLE, {s}::DOUBLE)" for t, p, s in WEIGHTS)
-POLARITY = f"""
-lex AS (SELECT * FROM (VALUES {WEIGHT_SQL}) l(term, polarity, subjectivity)),
+
+
+def polarity_sql(weights) -> str:
+    values = ", ".join(f"({sql_string(t)}, {p}::DOUBLE, {s}::DOUBLE)" for t, p, s in weights)
+    return f"""
+lex AS (SELECT * FROM (VALUES {values}) l(term, polarity, subjectivity)),
 p0 AS (SELECT review_id, regexp_extract_all(lower(review_text), '[{X.WORD}'']+') AS t FROM review_docs),
 p1 AS (SELECT review_id, unnest(t) AS term, unnest(list_transform(range(len(t)), lambda i: CASE WHEN i = 0 THEN '' ELSE t[i] END)) AS prev FROM p0),
 p2 AS (SELECT review_id, polarity, subjectivity, prev IN {sql_list(NEGATIONS)} AS neg FROM p1 LEFT JOIN lex USING (term)),
@@ -173,6 +184,9 @@ SELECT r.review_id, round(coalesce(ps / nullif(hits, 0), 0), 6) AS sent_textblob
 FROM review_docs r LEFT JOIN p4 USING (review_id)"""
 
 
+POLARITY = polarity_sql(WEIGHTS)
+
+
 @query("lexicon_polarity", f"WITH {POLARITY.strip()}", DOCS)
 def _(v):
     lexicon = v.spark.createDataFrame(list(WEIGHTS), "term string, polarity double, subjectivity double")
@@ -258,7 +272,25 @@ def _(v):
     return H.engagement_potential(_derived(v.docs)).select("review_id", "engagement_potential")
 
 
-@query("all_features")
+DEFAULT_WEIGHTS = [(t, p, s) for t, (p, s) in H.default_lexicon().items()]
+FEATURES = f"""SELECT r.review_id, category, rating, predicted_sentiment, confidence_score, verified_purchase, helpful_count, strftime(review_date, '%Y-%m-%d %H:%M:%S') AS review_date,
+ a.* EXCLUDE (review_id), b.* EXCLUDE (review_id), c.* EXCLUDE (review_id), l.positive_word_count AS sent_positive_word_count, l.negative_word_count AS sent_negative_word_count,
+ l.sentiment_word_ratio AS sent_sentiment_word_ratio, e.* EXCLUDE (review_id), f.* EXCLUDE (review_id),
+ len(list_filter(range(1, len(k.ch) - 1), lambda i: k.ch[i] = k.ch[i + 1] AND k.ch[i] = k.ch[i + 2] AND (i = 1 OR k.ch[i - 1] <> k.ch[i]) AND k.ch[i] <> chr(10)))::INT AS pattern_repeated_char_count,
+ 0::INT AS temp_review_hour, (isodow(review_date) - 1)::INT AS temp_review_dayofweek, day(review_date)::INT AS temp_review_day, month(review_date)::INT AS temp_review_month,
+ (isodow(review_date) >= 6)::INT AS temp_is_weekend, (month(review_date) IN (11, 12, 1))::INT AS temp_is_holiday_season, date_diff('day', DATE '2020-01-01', review_date)::INT AS temp_days_since_epoch,
+ coalesce((rating >= 4 AND predicted_sentiment = 'positive') OR (rating <= 2 AND predicted_sentiment = 'negative') OR (rating = 3 AND predicted_sentiment = 'neutral'), false)::INT AS rating_sentiment_aligned,
+ round((len(k.t) * 0.3 + coalesce(len(list_distinct(k.t)) / nullif(len(k.t), 0)::DOUBLE, 0) * 50 + c.sent_textblob_subjectivity * 20 + (1 - coalesce(k.caps, 0)) * 30) / 100, 6) AS review_quality_score,
+ g.engagement_potential
+FROM review_docs r JOIN ({ORACLES["text_stats"]}) a ON a.review_id = r.review_id JOIN ({ORACLES["punctuation_features"]}) b ON b.review_id = r.review_id
+JOIN (WITH {polarity_sql(DEFAULT_WEIGHTS).strip()}) c ON c.review_id = r.review_id JOIN ({ORACLES["lexicon_counts_raw"]}) l ON l.review_id = r.review_id
+JOIN ({ORACLES["readability"]}) e ON e.review_id = r.review_id JOIN ({ORACLES["special_patterns"]}) f ON f.review_id = r.review_id
+JOIN ({ORACLES["engagement_potential"]}) g ON g.review_id = r.review_id
+JOIN (SELECT review_id, {sql_words("review_text")} AS t, string_split(review_text, '') AS ch,
+  len(regexp_extract_all(review_text, '\\p{{Lu}}')) / nullif(length(review_text), 0)::DOUBLE AS caps FROM review_docs) k ON k.review_id = r.review_id"""
+
+
+@query("all_features", FEATURES, DOCS)
 def _(v):
     return H.all_features(v.docs).drop("review_text", "product_id", "true_sentiment")
 
@@ -324,3 +356,21 @@ def _(v):
 @query("json_props", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{"k":' || CAST(json_extract(props, '$.k') AS BIGINT) || '}' AS encoded FROM events""", "")
 def _(v):
     return H.json_props(v.table("events").select("event_id", "props")).drop("props")
+
+
+# What the report is made of: the processed reviews of 5 to 1500 words.
+REPORT = f"""WITH x AS (
+  SELECT r.review_id, c.cleaned_text, c.char_count, c.word_count, {count_char("!")} AS ex, {count_char("?")} AS qu, isodow(review_date) >= 6 AS weekend,
+    coalesce(length({sql_replace_all("review_text", f"[{X.SPACE}]+", "")}) / nullif(c.word_count, 0)::DOUBLE, 0) AS awl, p.sent_textblob_polarity AS pol,
+    len(list_filter({sql_words("lower(c.cleaned_text)")}, lambda y: y IN {sql_list(POSITIVE_CLEANED)})) AS pos,
+    len(list_filter({sql_words("lower(c.cleaned_text)")}, lambda y: y IN {sql_list(NEGATIVE_CLEANED)})) AS neg
+  FROM review_docs r JOIN ({ORACLES["preprocess"]}) c ON c.review_id = r.review_id JOIN (WITH {polarity_sql(DEFAULT_WEIGHTS).strip()}) p ON p.review_id = r.review_id)
+SELECT count(*) AS total_reviews, round(avg(word_count), 6) AS avg_word_count, round(avg(char_count), 6) AS avg_char_count, round(avg(awl), 6) AS avg_word_length,
+  count(*) FILTER (WHERE pos > 0) AS with_positive_words, count(*) FILTER (WHERE neg > 0) AS with_negative_words, round(avg(pol), 6) + 0.0::DOUBLE AS avg_polarity,
+  count(*) FILTER (WHERE ex > 0) AS with_exclamations, count(*) FILTER (WHERE qu > 0) AS with_questions, count(*) FILTER (WHERE weekend) AS weekend_reviews,
+  round(avg(weekend::INT) * 100, 6) AS weekend_pct FROM x"""
+
+
+@query("preprocessing_report", REPORT, DOCS)
+def _(v):
+    return A.preprocessing_report(H.preprocess(v.docs))
