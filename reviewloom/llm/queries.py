@@ -154,3 +154,16 @@ SELECT pair_id, CAST(n AS BIGINT) AS n_prompt, prompt, array_to_string(c1, '') A
     CAST(CAST(length(array_to_string(d1[1:i], '')) - length(d[i].text) - 1 AS BIGINT) AS VARCHAR) || ':' || CAST(length(array_to_string(d1[1:i], '')) AS VARCHAR)), ',') AS rejected_mask
 FROM x
 """
+
+ORACLES["op1_relative_lempel_ziv"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT rid, doc_id, list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i : i + 49], ' '))) AS hs FROM d WHERE len(w) >= 50),
+g AS (SELECT rid, doc_id, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS i FROM h),
+f AS (SELECT h, min(doc_id) AS m FROM g GROUP BY h),
+x AS (SELECT DISTINCT rid, unnest(range(i, i + 50)) AS p FROM g JOIN f ON g.h = f.h WHERE m < doc_id),
+r AS (SELECT rid, count(*) AS n, list(p) AS gone FROM x GROUP BY rid),
+u AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT u.rid, string_agg(word, ' ' ORDER BY u.p) AS kept FROM u ANTI JOIN x ON u.rid = x.rid AND u.p = x.p GROUP BY u.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r ON d.rid = r.rid LEFT JOIN k ON d.rid = k.rid
+"""
