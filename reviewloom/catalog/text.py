@@ -14,6 +14,9 @@ from ..functions.wordlists import (
 )
 from ..operators import aggregates as A
 from ..operators import text as H
+from ..plans import stages
+from ..plans.scratch import scratch_path
+from ..schema import SENTIMENTS
 from .base import (
     ORACLES,
     query,
@@ -374,3 +377,17 @@ SELECT count(*) AS total_reviews, round(avg(word_count), 6) AS avg_word_count, r
 @query("preprocessing_report", REPORT, DOCS)
 def _(v):
     return A.preprocessing_report(H.preprocess(v.docs))
+
+
+@query(
+    "pipeline_predictions",
+    f"SELECT *, true AS valid FROM ({ORACLES['preprocess']})",
+    DOCS,
+)
+def _(v):
+    """Raw to processed to predictions: one scored row for each processed review."""
+    root = scratch_path(v.spark, "flow")
+    processed = stages.build_processed(v.spark, v.docs, root)
+    scored = stages.build_predictions(v.spark, processed, root)
+    known = F.col("predicted_sentiment").isin(*SENTIMENTS) & F.col("confidence_score").between(1 / 3 - 1e-9, 1.0)
+    return scored.select("review_id", "cleaned_text", "char_count", "word_count", known.alias("valid"))

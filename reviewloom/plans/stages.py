@@ -49,8 +49,12 @@ def build_predictions(
         for name, model in (("random_forest", forest), ("linear_svm", svm))
     }
     write_eval_summary(ml.compare_models(tested), f"{root}/model_comparison")
-    scored = ml.predict_with_confidence(forest, vectorizer.transform(processed))
-    columns = [*processed.columns, "predicted_sentiment", "confidence_score"]
+    # The table has a row per model; the most accurate one scores, of equals the first by name.
+    compared = spark.read.option("header", True).csv(f"{root}/model_comparison")
+    best = compared.orderBy(F.desc(F.col("accuracy").cast("double")), "model").first()["model"]
+    scored = ml.predict_with_confidence({"random_forest": forest, "linear_svm": svm}[best], vectorizer.transform(processed))
+    scores = ["predicted_sentiment", "confidence_score"]  # those of an earlier run are replaced
+    columns = [*[c for c in processed.columns if c not in scores], *scores]
     write_stage(scored.select(*columns), f"{root}/predictions")
     return spark.read.parquet(f"{root}/predictions")
 
