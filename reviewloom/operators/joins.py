@@ -84,13 +84,13 @@ def _table_mentions(df: DataFrame, topics: DataFrame, col: str) -> DataFrame:
     by_size = F.when(size == 1, _pieces(F.lower("topic"), 1)).when(size == 2, _pieces(F.lower("topic"), 2))
     of_topic = wanted.select("topic", F.explode(by_size.otherwise(_pieces(F.lower("topic"), 3))).alias("piece"))
     all_pieces = F.concat(*[_pieces(lowered, n) for n in (1, 2, 3)])
-    texts = df.select(text_key(col).alias("__text"), F.explode(all_pieces).alias("piece"))
+    texts = df.select(text_key(col).alias("__topic_text"), F.explode(all_pieces).alias("piece"))
     used = texts.join(of_topic.select("piece").distinct(), "piece")
     counted = used.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     rarest = of_topic.join(counted, "piece").groupBy("topic").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
-    candidates = used.join(rarest, "piece").select("__text", "topic").distinct()
-    keyed = df.withColumn("__text", text_key(col))
-    return keyed.join(candidates, "__text").where(F.contains(lowered, F.lower("topic"))).drop("__text")
+    candidates = used.join(rarest, "piece").select("__topic_text", "topic").distinct()
+    keyed = df.withColumn("__topic_text", text_key(col))
+    return keyed.join(candidates, "__topic_text").where(F.contains(lowered, F.lower("topic"))).drop("__topic_text")
 
 
 def topic_mentions(

@@ -4,11 +4,8 @@ from conftest import SF
 
 from reviewloom.catalog import ORACLES, QUERIES
 
-# These train models or mine the whole corpus: they run through tests/compare.py.
-SLOW = {
-    "all_features", "category_keyword_pivot", "common_complaints", "concat_keyword_lists", "emerging_alert",
-    "topic_impact", "topic_coherence", "category_keywords",
-}
+# The whole flow with two models and all trees: run through tests/compare.py.
+SLOW = {"pipeline_predictions"}
 
 
 @pytest.fixture(scope="module")
