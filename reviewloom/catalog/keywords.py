@@ -1,5 +1,8 @@
 """Queries of section M: keywords and topics."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
@@ -214,18 +217,28 @@ def _(v):
     return T.doc_topics(T.train_lda(v.stage), v.stage)
 
 
+def _report(v):
+    vectors = v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
+    return T.topic_report(v.stage, vectors=vectors)
+
+
 @query("topic_report")
 def _(v):
-    return T.topic_report(v.stage)["insights"]
+    """All sections as rows of JSON."""
+    rows = [
+        section.select(F.lit(name).alias("section"), F.to_json(F.struct(*section.columns)).alias("value"))
+        for name, section in _report(v).items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("write_topic_report")
 def _(v):
-    sections = {"category_keywords": M.category_keywords(v.stage), "trending": M.trending_topics(v.stage)}
+    sections = _report(v)
     root = scratch_path(v.spark, "report")
     write_topic_report(sections, root)
     counts = [
         v.spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("section"), F.count(F.lit(1)).alias("n"))
         for name in sections
     ]
-    return counts[0].unionByName(counts[1])
+    return reduce(DataFrame.unionByName, counts)

@@ -17,7 +17,7 @@ from ..plans.ordered import top_rows
 from ..plans.scratch import materialize
 from ..schema import SENTIMENTS
 from . import keywords as K
-from .aggregates import common_complaints, worst_category_insight
+from .aggregates import category_topics_summary, common_complaints, worst_category_insight
 from .joins import text_key, topic_mentions
 
 
@@ -323,19 +323,32 @@ def topic_cooccurrence(
     )
 
 
-def topic_report(df: DataFrame, k: int = 12, text_col: str = "cleaned_text") -> dict[str, DataFrame]:
-    """All sections of the report as tables."""
+def topic_report(
+    df: DataFrame, k: int = 12, text_col: str = "cleaned_text", vectors: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All sections of the report as tables.
+
+    With document vectors (review_id, embedding) there are topics of embeddings too.
+    """
     model = train_lda(df, k, text_col=text_col)
     topics = materialize(lda_topics(model), "topics")
     category = materialize(K.category_keywords(df, text_col=text_col), "category-keywords")
     trending = materialize(K.trending_topics(df, text_col=text_col), "trending")
-    return {
+    coherence = materialize(topic_coherence(topics, df, text_col=text_col), "coherence")
+    sections = {
+        "lda_results": coherence.agg(
+            F.count(F.lit(1)).alias("num_topics"), F.avg("coherence").alias("coherence_score")
+        ),
         "topic_terms": topics,
-        "coherence": topic_coherence(topics, df, text_col=text_col),
+        "coherence": coherence,
+        "category_summary": category_topics_summary(df),
         "category_keywords": category,
         "trending": trending,
         "insights": report_insights(df, category, trending),
     }
+    if vectors is not None:
+        sections["embedding_topics"] = embedding_topics(df, vectors, text_col=text_col)
+    return sections
 
 
 def report_insights(df: DataFrame, category_kw: DataFrame, trending: DataFrame) -> DataFrame:
