@@ -185,6 +185,21 @@ def trending_topics(
     return topk_trending(scored, t, k)
 
 
+def _is_term(word: Column) -> Column:
+    return (F.length(word) > 2) & ~word.isin(list(ENGLISH_STOP_WORDS))
+
+
+def _whole_ngrams(tokens: Column, n: int) -> Column:
+    """All n-grams up to n tokens; those with a null token are null."""
+    parts, grams = [tokens], tokens
+    for start in range(2, n + 1):
+        count = F.greatest(F.size(tokens) - (start - 1), F.lit(0))
+        shifted = F.slice(tokens, start, count)
+        grams = F.zip_with(F.slice(grams, 1, count), shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+        parts.append(grams)
+    return F.concat(*parts)
+
+
 def phrase_features(df: DataFrame, text_col: str = "review_text", key: str = "review_id") -> DataFrame:
     """Term scores of every document by the published YAKE features (low is good).
 
@@ -199,7 +214,7 @@ def phrase_features(df: DataFrame, text_col: str = "review_text", key: str = "re
         key, "sent", "pos", F.col("w0").alias("word"),
         F.lower("w0").alias("term"), F.lower("b1").alias("left"), F.lower("a1").alias("right"),
     )
-    kept = words.where((F.length("term") > 2) & ~F.col("term").isin(list(ENGLISH_STOP_WORDS)))
+    kept = words.where(_is_term(F.col("term")))
     stats = kept.groupBy(key, "term").agg(
         F.count(F.lit(1)).alias("tf"),
         F.count_if(F.col("word").rlike(r"^\p{Lu}") & (F.col("pos") > 0)).alias("cased"),
@@ -243,10 +258,13 @@ def doc_keywords(
     """
     terms = phrase_features(df, text_col, key).select(key, "term", "h")
     sentences = F.split(F.lower(text_or_empty(F.col(text_col))), r"[.!?\n]+")
+    # A phrase with an unscored word is null and dropped in its row, before anything is shuffled.
+    scored_word = lambda w: F.when(_is_term(w), w)
+    tokens = F.transform(F.regexp_extract_all("s", F.lit(rf"[{WORD}]+"), 0), scored_word)
     grams = (
         df.select(key, F.explode(sentences).alias("s"))
-        .select(key, F.regexp_extract_all("s", F.lit(rf"[{WORD}]+"), 0).alias("t"))
-        .transform(exploded, ngrams(F.col("t"), 1, n), key, out="phrase")
+        .select(key, tokens.alias("t"))
+        .transform(exploded, F.array_compact(_whole_ngrams(F.col("t"), n)), key, out="phrase")
         .groupBy(key, "phrase")
         .agg(F.count(F.lit(1)).alias("ptf"))
     )
