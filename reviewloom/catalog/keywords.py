@@ -62,13 +62,10 @@ def _(v):
     return G.concat_keyword_lists(M.category_keywords(v.stage))
 
 
-LANGS = ("de", "en", "es", "fr")
-
-
 @query(
     "category_keyword_pivot",
-    f"WITH {CATEGORY} SELECT term, " + ", ".join(f"round(coalesce(avg(score) FILTER (WHERE category = '{c}'), 0), 6) AS {c}" for c in LANGS)
-    + " FROM ck WHERE sentiment = 'all' AND rank <= 5 GROUP BY 1",
+    f"WITH {CATEGORY}, top5 AS (SELECT category, term, score FROM ck WHERE sentiment = 'all' AND rank <= 5)"
+    " SELECT term, round(coalesce(COLUMNS(* EXCLUDE (term)), 0), 6) FROM (PIVOT top5 ON category USING avg(score) GROUP BY term)",
     "cleaned",
 )
 def _(v):
