@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.scratch import materialize
 from .common import arrow_rows
 from .encode import VOCABULARY, encoder
 
@@ -46,8 +47,10 @@ def by_limit(lengths: DataFrame) -> DataFrame:
     n_docs: documents of this length; docs_over: longer ones (suffix sum); tokens_upto: all tokens of
     documents that fit; truncated_tokens: tokens left if every document is cut at the limit;
     share_upto: share of documents that fit, so the least limit with share_upto >= q is quantile q.
+
+    The histogram is written once, so texts are not encoded again for the second sum.
     """
-    rows = lengths.select("n_tokens", "n_docs", F.floor(F.col("n_tokens") / RANGE).alias("range"))
+    rows = materialize(lengths, "lengths").select("n_tokens", "n_docs", F.floor(F.col("n_tokens") / RANGE).alias("range"))
     totals = rows.groupBy("range").agg(F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("tokens"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per RANGE lengths
     everything = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
