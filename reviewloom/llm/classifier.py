@@ -26,7 +26,7 @@ FILTERS = 16
 HALF = 256
 SAMPLE = 1500
 TRAIN_CHUNKS = 8
-EPOCHS = 6
+STEPS = 300
 BATCH = 64
 THRESHOLD = 0.7
 _PIECE = 1 << 18  # bytes that are convolved at a time
@@ -86,7 +86,10 @@ class Network:
 
 
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
-    """Trains on the chunks of each text by Adam on the logistic loss."""
+    """Trains on the chunks of each text by Adam on the logistic loss.
+
+    A fixed number of steps, each on as many texts of one class as of the other.
+    """
     rng = np.random.default_rng(seed)
     state = {
         "filters": rng.normal(0, 0.2, (WIDTH, 256, FILTERS)).astype(np.float32),
@@ -95,43 +98,40 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
     }
     first = {k: np.zeros_like(v) for k, v in state.items()}
     second = {k: np.zeros_like(v) for k, v in state.items()}
-    step = 0
     column = np.arange(FILTERS)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for a in range(0, len(order), BATCH):
-            rows = order[a : a + BATCH]
-            data = np.concatenate([texts[k] for k in rows])
-            counts = np.array([len(texts[k]) for k in rows])
-            begins = np.cumsum(counts) - counts
-            of = np.repeat(np.arange(len(rows)), counts)
-            response = np.zeros((len(data), 2 * HALF, FILTERS), np.float32)
-            for k in range(WIDTH):
-                response += state["filters"][k][data[:, k : k + 2 * HALF]]
-            at = response.argmax(axis=1)
-            chunk = np.maximum(np.take_along_axis(response, at[:, None, :], axis=1)[:, 0], 0)
-            mean = np.add.reduceat(chunk, begins) / counts[:, None]
-            top = np.maximum.reduceat(chunk, begins)
-            x = np.concatenate((mean, top), axis=1)
-            p = 1 / (1 + np.exp(-np.clip(x @ state["out"] + state["bias"], -30, 30)))
-            error = ((p - labels[rows]) / len(rows)).astype(np.float32)
-            dx = error[:, None] * state["out"]
-            is_top = chunk == top[of]
-            dchunk = dx[of, :FILTERS] / counts[of][:, None] + np.where(is_top, dx[of, FILTERS:], 0)
-            dchunk[chunk <= 0] = 0
-            dfilters = np.empty_like(state["filters"])
-            for k in range(WIDTH):
-                byte = np.take_along_axis(data, at + k, axis=1).astype(np.int64)
-                flat = np.bincount((byte * FILTERS + column).ravel(), dchunk.ravel(), 256 * FILTERS)
-                dfilters[k] = flat.reshape(256, FILTERS)
-            gradient = {"filters": dfilters, "out": x.T @ error, "bias": error.sum(keepdims=True)}
-            step += 1
-            for name, g in gradient.items():
-                g = g + 1e-4 * state[name]
-                first[name] = 0.9 * first[name] + 0.1 * g
-                second[name] = 0.99 * second[name] + 0.01 * g * g
-                rate = 0.02 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-                state[name] = (state[name] - rate * first[name] / (np.sqrt(second[name]) + 1e-7)).astype(np.float32)
+    classes = [np.flatnonzero(labels == c) for c in (0, 1)]
+    for step in range(1, STEPS + 1):
+        rows = np.concatenate([rng.choice(own, BATCH // 2) for own in classes])
+        data = np.concatenate([texts[k] for k in rows])
+        counts = np.array([len(texts[k]) for k in rows])
+        begins = np.cumsum(counts) - counts
+        of = np.repeat(np.arange(len(rows)), counts)
+        response = np.zeros((len(data), 2 * HALF, FILTERS), np.float32)
+        for k in range(WIDTH):
+            response += state["filters"][k][data[:, k : k + 2 * HALF]]
+        at = response.argmax(axis=1)
+        chunk = np.maximum(np.take_along_axis(response, at[:, None, :], axis=1)[:, 0], 0)
+        mean = np.add.reduceat(chunk, begins) / counts[:, None]
+        top = np.maximum.reduceat(chunk, begins)
+        x = np.concatenate((mean, top), axis=1)
+        p = 1 / (1 + np.exp(-np.clip(x @ state["out"] + state["bias"], -30, 30)))
+        error = ((p - labels[rows]) / len(rows)).astype(np.float32)
+        dx = error[:, None] * state["out"]
+        is_top = chunk == top[of]
+        dchunk = dx[of, :FILTERS] / counts[of][:, None] + np.where(is_top, dx[of, FILTERS:], 0)
+        dchunk[chunk <= 0] = 0
+        dfilters = np.empty_like(state["filters"])
+        for k in range(WIDTH):
+            byte = np.take_along_axis(data, at + k, axis=1).astype(np.int64)
+            flat = np.bincount((byte * FILTERS + column).ravel(), dchunk.ravel(), 256 * FILTERS)
+            dfilters[k] = flat.reshape(256, FILTERS)
+        gradient = {"filters": dfilters, "out": x.T @ error, "bias": error.sum(keepdims=True)}
+        for name, g in gradient.items():
+            g = g + 1e-4 * state[name]
+            first[name] = 0.9 * first[name] + 0.1 * g
+            second[name] = 0.99 * second[name] + 0.01 * g * g
+            rate = 0.02 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+            state[name] = (state[name] - rate * first[name] / (np.sqrt(second[name]) + 1e-7)).astype(np.float32)
     return Network(state["filters"], state["out"], float(state["bias"][0]))
 
 
