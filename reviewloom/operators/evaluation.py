@@ -6,7 +6,6 @@ prediction) or ``score`` (of the positive class).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
