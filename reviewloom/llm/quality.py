@@ -1,12 +1,16 @@
 """Quality rules: robust multivariate outliers per language and source. DataFrame functions only.
 
 Each document that passes the base rules becomes a vector of transformed statistics. For
-every (language, source) the minimum-covariance-determinant centre and scatter are estimated: from
-a start of medians and quartile ranges, concentration steps take the mean and covariance of
-the nearest H_SHARE of the group's vectors, and repeat. A document is rejected if its squared
-Mahalanobis distance is over CUTOFF.
-
-A step is one pass over the vectors: they are added up per (group, distance bin), combined in
+every (language, source) the minimum-covariance-determinant centre and scatter are estimated:
+concentration steps take the mean and covariance of the nearest h = (n + p + 1) / 2 of the group's
+n vectors of p statistics, until no determinant changes. They run from three starts: medians with
+quartile ranges, medians with median deviations, and the shortest half of each statistic; the last
+two hold as long as more than half of a group is clean. The start that ends with the least
+determinant is kept for each group, concentrated again beside the groups of its language, and
+reweighted: the last mean and covariance are those of all vectors within REWEIGHT. A document is
+rejected if its squared Mahalanobis distance is over CUTOFF.
+
+A step is one pass over the vectors: they are added up per (group, start, distance bin), combined in
 every task before the shuffle, so a group with a third of all rows is some hundred rows there;
 running sums over the bins of a group then give count, mean and covariance of the nearest share.
 The bins are 0.5 % wide, so the share is exact to a bin. Small groups lean on the pooled scatter
@@ -20,6 +24,8 @@ the steps use is not in the result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +38,9 @@ WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Transformed statistics and the least deviation that each is given.
 FEATURES = {"word_length": 0.06, "symbols": 0.25, "capitals": 0.25, "dup_lines": 0.15, "repeats": 0.12}
-H_SHARE = 0.75
-#: Makes the covariance of the nearest 75 % consistent at the normal distribution with five statistics.
-CONSISTENCY = 1.41
-STEPS = 3
+STARTS = 3
+#: Steps end when no log-determinant changes by more than TOLERANCE, or after STEPS.
+STEPS, TOLERANCE = 20, 0.01
 CUTOFF = 60.0
 PRIOR_SCATTER, PRIOR_CENTRE = 50.0, 10.0
 _BINS = 200.0
@@ -45,6 +50,30 @@ _P = len(_NAMES)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i + 1)]
 
 
+def _chi2(x: float, k: int) -> float:
+    """Distribution function of chi-squared with an odd number of degrees of freedom."""
+    tail = sum((x / 2) ** (m / 2) * math.exp(-x / 2) / math.gamma(m / 2 + 1) for m in range(1, k, 2))
+    return math.erf(math.sqrt(x / 2)) - tail
+
+
+def _quantile(share: float) -> float:
+    low, high = 0.0, 200.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if _chi2(mid, _P) < share else (low, mid)
+    return low
+
+
+def _consistency(share: float) -> float:
+    """Makes the covariance of the nearest share consistent at the normal distribution."""
+    return share / _chi2(_quantile(share), _P + 2)
+
+
+#: The factors for the nearest 50, 51, ... 100 %.
+_CONSISTENCY = [_consistency(k / 100) for k in range(50, 100)] + [1.0]
+REWEIGHT = _quantile(0.975)
+
+
 def _words(text: Column) -> Column:
     trimmed = F.btrim(text, F.lit(WHITE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
@@ -115,73 +144,127 @@ def _vectors(stats: DataFrame) -> DataFrame:
 
 
 def _start(vectors: DataFrame) -> DataFrame:
-    """Median and quartile range of each statistic of a group, from counts of thousandths."""
+    """Centre and deviation of each statistic of a group for every start, from counts of thousandths."""
     bins = vectors.select("lang", "source", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.floor(F.col(f) * 1000).alias("bin")) for k, f in enumerate(_NAMES)
     ])).alias("x")).groupBy("lang", "source", "x.k", "x.bin").count()
     key = Window.partitionBy("lang", "source", "k")
+    half = 10**9 // 2
     run = bins.select(
         "*", F.sum("count").over(key.orderBy("bin")).alias("upto"), F.sum("count").over(key).alias("n")
     )
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("n"), F.col("bin"))) / 1000.0
-    quartiles = run.groupBy("lang", "source", "k").agg(at(0.5).alias("mid"), ((at(0.75) - at(0.25)) / 1.349).alias("dev"))
+    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("n"), F.col("bin")))
+    # A row's place is the billionths of the group that lie before it; the shortest half from there ends at its last bin.
+    place = F.floor((F.col("upto") - F.col("count")) * F.lit(2.0 * half) / F.col("n"))
+    run = run.select("*", at(0.5).over(key).alias("median"), place.alias("place"))
+    ahead = key.orderBy("place").rangeBetween(Window.unboundedPreceding, half - 1)
+    run = run.select(
+        "*", F.abs(F.col("bin") - F.col("median")).alias("far"),
+        F.when(F.col("place") <= half, F.max("bin").over(ahead)).alias("end"),
+    )
+    run = run.select("*", F.sum("count").over(key.orderBy("far")).alias("within"))
+    width = F.struct((F.col("end") - F.col("bin")).alias("width"), F.col("bin"))
+    of = run.groupBy("lang", "source", "k").agg(
+        (F.first("median") / 1000.0).alias("median"),
+        ((at(0.75) - at(0.25)) / 1349.0).alias("quartiles"),
+        (F.min(F.when(F.col("within") >= 0.5 * F.col("n"), F.col("far"))) / 674.5).alias("mad"),
+        F.min(F.when(F.col("end").isNotNull(), width)).alias("short"),
+    )
+    short = F.col("short.width")
+    starts = of.select("lang", "source", "k", F.explode(F.array(*[
+        F.struct(F.lit(number).alias("start"), mid.alias("mid"), dev.alias("dev")) for number, (mid, dev) in enumerate((
+            (F.col("median"), F.col("quartiles")), (F.col("median"), F.col("mad")),
+            ((F.col("short.bin") + short / 2) / 1000.0, short / 1349.0),
+        ))
+    ])).alias("x")).select("lang", "source", "k", "x.*")
     one = lambda name, k: F.max(F.when(F.col("k") == k, F.col(name)))
-    return quartiles.groupBy("lang", "source").agg(
+    return starts.groupBy("lang", "source", "start").agg(
         *[one("mid", k).alias(f"m{k}") for k in range(_P)],
         *[
             (F.lit(1.0) / F.greatest(one("dev", i), F.lit(FEATURES[_NAMES[i]])) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
             for i, j in _PAIRS
         ],
+        F.lit(0.0).alias("log_det"),
     )
 
 
 def _distance(vectors: DataFrame, model: DataFrame) -> DataFrame:
     """Adds d2, the squared length of W (x - m)."""
     joined = vectors.join(model, ["lang", "source"])
-    z = [
-        sum((F.col(f"w{i}{j}") * (F.col(_NAMES[j]) - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0)) for i in range(_P)
-    ]
-    return joined.withColumn("d2", sum((x * x for x in z[1:]), z[0] * z[0]))
+    z = ["(" + " + ".join(f"w{i}{j} * ({_NAMES[j]} - m{j})" for j in range(i + 1)) + ")" for i in range(_P)]
+    return joined.withColumn("d2", F.expr(" + ".join(f"{x} * {x}" for x in z)))
 
 
-def _concentrate(vectors: DataFrame, model: DataFrame) -> DataFrame:
-    """Centre and whitening matrix from the nearest share of each group."""
-    x = [F.col(f) for f in _NAMES]
-    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
-    cross = [F.sum(x[i] * x[j]).alias(f"c{i}{j}") for i, j in _PAIRS]
+def _concentrate(vectors: DataFrame, model: DataFrame, reweight: bool = False) -> DataFrame:
+    """Centre and whitening matrix from the nearest h of each group, or from all within REWEIGHT if those are more."""
+    sums = [F.expr(f"sum({x}) AS s{i}") for i, x in enumerate(_NAMES)]
+    cross = [F.expr(f"sum({_NAMES[i]} * {_NAMES[j]}) AS c{i}{j}") for i, j in _PAIRS]
     bins = (
         _distance(vectors, model)
-        .groupBy("lang", "source", F.floor(F.log(F.col("d2") + 1e-6) * _BINS).alias("bin"))
+        .groupBy("lang", "source", "start", F.floor(F.log(F.col("d2") + 1e-6) * _BINS).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), *sums, *cross)
     )
     moments = ["n", *[f"s{i}" for i in range(_P)], *[f"c{i}{j}" for i, j in _PAIRS]]
-    key = Window.partitionBy("lang", "source")
-    run = bins.select(
-        "lang", "source", "bin",
-        *[F.sum(m).over(key.orderBy("bin")).alias(m) for m in moments],
-        F.sum("n").over(key).alias("all"),
-    ).where(F.col("n") >= H_SHARE * F.col("all"))
-    nearest = run.groupBy("lang", "source").agg(F.min_by(F.struct(*moments), "bin").alias("x")).select("lang", "source", "x.*")
-    centred = nearest.select(
-        "lang", "source", "n",
-        *[(F.col(f"s{i}") / F.col("n")).alias(f"s{i}") for i in range(_P)],
-        *[
-            (F.col(f"c{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / (F.col("n") * F.col("n"))).alias(f"c{i}{j}")
-            for i, j in _PAIRS
-        ],
+    own = "PARTITION BY lang, source, start"
+    run = bins.selectExpr(
+        "lang", "source", "start", "bin", *[f"sum({m}) OVER ({own} ORDER BY bin) AS {m}" for m in moments], f"sum(n) OVER ({own}) AS all"
     )
-    language = Window.partitionBy("lang")
-    pooled = lambda c: F.sum(F.col("n") * F.col(c)).over(language) / F.sum("n").over(language)
-    lean = lambda c, prior: (F.col("n") * F.col(c) + F.lit(prior) * pooled(c)) / (F.col("n") + F.lit(prior))
-    model = centred.select(
-        "lang", "source",
-        *[lean(f"s{i}", PRIOR_CENTRE).alias(f"m{i}") for i in range(_P)],
-        *[
-            (lean(f"c{i}{j}", PRIOR_SCATTER) * CONSISTENCY + (FEATURES[_NAMES[i]] ** 2 if i == j else 0.0)).alias(f"a{i}{j}")
-            for i, j in _PAIRS
-        ],
+    last = f"min(CASE WHEN n >= least(all, floor((all + {_P} + 1) / 2)) THEN bin END) OVER ({own})"
+    if reweight:
+        last = f"greatest({last}, {math.floor(math.log(REWEIGHT) * _BINS)})"
+    run = run.selectExpr("*", f"{last} AS last").where("bin <= last")
+    nearest = run.groupBy("lang", "source", "start").agg(F.max_by(F.struct(*moments, "all"), "bin").alias("x"))
+    factor = f"get(array({', '.join(f'{c!r}D' for c in _CONSISTENCY)}), cast(floor(n * 100 / all) AS int) - 50)"
+    if reweight:
+        factor = f"{_consistency(0.975)!r}D"
+    nearest = nearest.select("lang", "source", "start", "x.*").selectExpr("*", f"{factor} AS factor")
+    centred = nearest.selectExpr(
+        "lang", "source", "start", "n", *[f"s{i} / n AS s{i}" for i in range(_P)],
+        *[f"factor * (c{i}{j} / n - s{i} * s{j} / (n * n)) AS c{i}{j}" for i, j in _PAIRS],
     )
-    return _whiten(model)
+    language = "OVER (PARTITION BY lang, start)"
+    lean = lambda c, prior: f"(n * {c} + {prior}D * sum(n * {c}) {language} / sum(n) {language}) / (n + {prior}D)"
+    return _whiten(centred.selectExpr(
+        "lang", "source", "start", *[f"{lean(f's{i}', PRIOR_CENTRE)} AS m{i}" for i in range(_P)],
+        *[f"{lean(f'c{i}{j}', PRIOR_SCATTER)} + {FEATURES[_NAMES[i]] ** 2 if i == j else 0.0!r}D AS a{i}{j}" for i, j in _PAIRS],
+    ))
+
+
+def _whiten(model: DataFrame) -> DataFrame:
+    """w = inverse of the Cholesky factor of a: a few columns of a table with a row per group."""
+    rest = lambda i, j: f"(a{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j)) + ")"
+    for j in range(_P):
+        model = model.selectExpr("*", f"sqrt(greatest({rest(j, j)}, 1e-9D)) AS l{j}{j}")
+        if j + 1 < _P:
+            model = model.selectExpr("*", *[f"{rest(i, j)} / l{j}{j} AS l{i}{j}" for i in range(j + 1, _P)])
+    for off in range(_P):
+        model = model.selectExpr("*", *[
+            "-(" + " + ".join(f"l{j + off}{k} * w{k}{j}" for k in range(j, j + off)) + f") / l{j + off}{j + off} AS w{j + off}{j}"
+            if off else f"1 / l{j}{j} AS w{j}{j}" for j in range(_P - off)
+        ])
+    log_det = "2 * (" + " + ".join(f"log(l{i}{i})" for i in range(_P)) + ") AS log_det"
+    names = [*[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i, j in _PAIRS]]
+    return model.selectExpr("lang", "source", "start", *names, log_det)
+
+
+def _converge(vectors: DataFrame, model: DataFrame) -> DataFrame:
+    """Concentration steps until no determinant changes."""
+    for _ in range(STEPS):
+        before = model.select("lang", "source", "start", F.col("log_det").alias("before"))
+        model = materialize(_concentrate(vectors, model), "model")
+        change = model.join(before, ["lang", "source", "start"]).agg(F.max(F.abs(F.col("log_det") - F.col("before")))).first()[0]
+        if change is None or change <= TOLERANCE:
+            break
+    return model
+
+
+def _estimate(vectors: DataFrame) -> DataFrame:
+    """The model of every group: least determinant of all starts, concentrated again, then reweighted."""
+    model = _converge(vectors, materialize(_start(vectors), "model"))
+    parts = [c for c in model.columns if c not in ("lang", "source", "start")]
+    best = model.groupBy("lang", "source").agg(F.min_by(F.struct(*parts), F.struct("log_det", "start")).alias("x"))
+    best = materialize(best.select("lang", "source", F.lit(0).alias("start"), "x.*"), "model")
+    return materialize(_concentrate(vectors, _converge(vectors, best), reweight=True), "model")
 
 
 def _whiten(model: DataFrame) -> DataFrame:
@@ -198,7 +281,8 @@ def _whiten(model: DataFrame) -> DataFrame:
             else:
                 value = -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}")
             model = model.withColumn(f"w{i}{j}", value)
-    return model.select("lang", "source", *[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i, j in _PAIRS])
+    log_det = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(_P)), F.lit(0.0)).alias("log_det")
+    return model.select("lang", "source", "start", *[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i, j in _PAIRS], log_det)
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None, cutoff: float = CUTOFF) -> DataFrame:
@@ -209,9 +293,7 @@ def judge(docs: DataFrame, keep: list[str] | None = None, cutoff: float = CUTOFF
     key = lambda name: F.coalesce(F.col(f"row.{name}").cast("string"), F.lit("\x00")).alias(name)
     stats = materialize(_vectors(statistics(docs, keep or ["*"])).select("*", key("lang"), key("source")), "statistics")
     vectors = stats.where(~F.col("base_failed")).select("lang", "source", *_NAMES)
-    model = materialize(_start(vectors), "model")
-    for _ in range(STEPS):
-        model = materialize(_concentrate(vectors, model), "model")
+    model = _estimate(vectors)
     passed = _distance(stats.where(~F.col("base_failed")), model).select(*stats.columns, "d2")
     failed = stats.where("base_failed").withColumn("d2", F.lit(None).cast("double"))
     return passed.unionByName(failed).select(

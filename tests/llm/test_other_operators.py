@@ -1,5 +1,6 @@
 """The other operators against plain versions, with odd rows and empty tables."""
 
+import random
 import re
 import zlib
 from array import array
@@ -135,6 +136,29 @@ def test_quality_outliers(spark):
     assert kept[1] > 0.99 and kept[0] < 0.05
 
 
+@pytest.mark.parametrize("junk", ["symbols and capitals", "long words and repeated lines"])
+def test_quality_rejects_a_large_share_of_one_kind_of_junk(spark, junk):
+    rng = random.Random(11)
+
+    def text(bad):
+        words = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randrange(2, 9))) for _ in range(rng.randrange(60, 160))]
+        words = [w.capitalize() if rng.random() < 0.1 else w for w in words]
+        lines = [" ".join(words[k : k + 10]) for k in range(0, len(words), 10)]
+        if bad and junk == "symbols and capitals":
+            return "\n".join(lines).upper().replace(" ", " #$ ")
+        return "\n".join([w * 4 for w in words] + ["Same line"] * (len(words) // 4)) if bad else "\n".join(lines)
+
+    shares = {"s0": 0.0, "s30": 0.3, "s40": 0.4, "s45": 0.45}
+    rows = [(k, text(k < 300 * share), "en", source) for source, share in shares.items() for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = quality.judge(docs).select("row.doc_id", "row.source", "base_failed", "kept").collect()
+    assert not any(r.base_failed for r in judged)
+    for source, share in shares.items():
+        kept = {r.doc_id: r.kept for r in judged if r.source == source}
+        assert not any(kept[k] for k in range(300) if k < 300 * share), source
+        assert sum(kept[k] for k in range(300) if k >= 300 * share) > 0.99 * 300 * (1 - share), source
+
+
 def test_quality_is_native(odd):
     plan = quality.judge(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
