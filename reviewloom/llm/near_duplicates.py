@@ -6,7 +6,8 @@
    frequency to the mean cell, and with it the weights, do not change with the size of the corpus.
 3. A text becomes BANDS * ROWS improved consistent weighted samples (Ioffe 2010) of its shingles'
    weights tf * idf: two texts have a sample in common with the probability of their weighted
-   Jaccard similarity. Texts with equal shingle counts are one vertex from here on.
+   Jaccard similarity. As many minima of hashes do the same for the plain one, as either makes
+   a link. Texts with equal shingle counts are one vertex from here on.
 4. Vertices that share a band are candidates. In each band group all are compared with the member
    of the least doc_id. Groups that then lie in one component are done. In the others the
    stragglers, which are not connected to that member, are compared with all members of the group,
@@ -16,7 +17,7 @@
    common are frequent and so of low weight, and copies would lose each other by being many.
    Classes are the connected components of the links (alternating large and small stars).
 
-Probability that two texts of similarity 0.8 share no band: (1 - 0.8**4)**14 = 0.0006.
+Probability that two texts of similarity 0.8, of either kind, share no band: (1 - 0.8**4)**14 = 0.0006.
 
 Defined cases: texts without words are never similar to others; rows with equal doc_id are
 separate rows with the class of their own text; a missing doc_id is the representative only of a
@@ -164,6 +165,19 @@ def signature(prints: np.ndarray, weight: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             found = mix(part[at, 0] ^ mix(t[at, column].astype(np.int64).astype(U) + U(7)))
         sample = np.where(better, found, sample)
+    return _keys(sample)
+
+
+def plain_signature(prints: np.ndarray) -> np.ndarray:
+    """BANDS keys: ROWS least hashes each, which agree with the probability of the plain Jaccard similarity."""
+    least = np.full(len(_SEEDS), ~U(0), U)
+    for a in range(0, len(prints), 1024):
+        with np.errstate(over="ignore"):
+            least = np.minimum(least, (prints[a : a + 1024, None] * _SEEDS[None, :]).min(axis=0))
+    return _keys(mix(least))
+
+
+def _keys(sample: np.ndarray) -> np.ndarray:
     rows = sample.reshape(BANDS, ROWS)
     key = np.zeros(BANDS, U)
     with np.errstate(over="ignore"):
@@ -211,7 +225,7 @@ def _vertex(prints: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """(doc_id, vertex, bands): vertex is null for texts without words."""
+    """(doc_id, vertex, bands): BANDS weighted and BANDS plain keys; vertex is null for texts without words."""
 
     def run(batches):
         table = idf.value
@@ -223,7 +237,8 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                     bands.append([])
                     continue
                 vertex.append(_vertex(prints, counts))
-                bands.append(signature(prints, weights(prints, counts, table)).view(np.int64))
+                keys = (signature(prints, weights(prints, counts, table)), plain_signature(prints))
+                bands.append(np.concatenate(keys).view(np.int64))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "vertex": pa.array(vertex, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))
             })

@@ -64,6 +64,25 @@ def test_samples_agree_as_often_as_the_weights(spark):
     assert np.allclose(held.similarities(*a), [1, 350 / 450, max(1 / 800, 1 / 400)])
 
 
+def test_edited_copies_that_are_a_third_of_the_rows(spark):
+    """Their common shingles weigh little, so these pairs are similar by the plain measure only."""
+    rng = np.random.default_rng(4)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    base = words(271)
+    texts = [" ".join(base + words(33)) if k % 3 == 0 else " ".join(words(120)) for k in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = nd.idf_table(docs)
+    copies = range(0, 240, 3)
+    vectors = {k: (p, nd.weights(p, c, idf)) for k, (p, c) in enumerate(nd.shingles([t.encode() for t in texts]))}
+    similar = [(i, j) for i in copies for j in copies if i < j and nd.similarity(vectors[i], vectors[j]) >= nd.THRESHOLD]
+    assert len(similar) == 80 * 79 // 2
+    rows = nd.signatures(docs, spark.sparkContext.broadcast(idf)).collect()
+    bands = {r.doc_id: np.array(r.bands) for r in rows}
+    assert np.mean([(bands[i] == bands[j]).any() for i, j in similar]) > 0.995
+    found = {r.doc_id: r.class_id for r in nd.classes(docs).collect()}
+    assert found == {k: 0 if k % 3 == 0 else k for k in range(240)}
+
+
 def test_components_of_a_chain(spark):
     edges = [(bytes([k]), bytes([k + 1])) for k in range(40)] + [(bytes([90]), bytes([91])), (bytes([5]), bytes([5]))]
     df = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in edges], "u binary, v binary")
