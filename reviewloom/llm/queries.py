@@ -12,8 +12,11 @@ from . import (
     near_duplicates,
     packing,
     preferences,
+    prefix_bpe,
     quality,
+    runs,
     secrets,
+    shallot,
     substrings,
     suffixes,
     token_counts,
@@ -167,3 +170,45 @@ k AS (SELECT u.rid, string_agg(word, ' ' ORDER BY u.p) AS kept FROM u ANTI JOIN
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN r ON d.rid = r.rid LEFT JOIN k ON d.rid = k.rid
 """
+
+
+@_query
+def op11_shallot_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.digest(*shallot.cluster(table(spark, sf_dir, "embeddings")))
+
+
+# The rounds one after the other; squared distances are exact in doubles under 2**53.
+_MEANS = """
+a{r} AS MATERIALIZED (
+  SELECT rid, vec_id, v, arg_min(c, {{'d': d, 'c': c}}) AS c, min(d) AS d
+  FROM (SELECT v.rid, v.vec_id, v.v, m.c, CAST(list_inner_product(v.v, v.v) - 2 * list_inner_product(v.v, m.v) + list_inner_product(m.v, m.v) AS BIGINT) AS d
+        FROM kept v CROSS JOIN m{r} m) GROUP BY rid, vec_id, v),
+s{r} AS (
+  SELECT c, list(CAST(floor(s / n) AS DOUBLE) ORDER BY i) AS v
+  FROM (SELECT c, i, sum(CAST(x AS BIGINT)) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY c, i) GROUP BY c),
+m{next} AS MATERIALIZED (SELECT m.c, coalesce(s.v, m.v) AS v FROM m{r} m LEFT JOIN s{r} s ON m.c = s.c),"""
+_LAST = _MEANS.partition("),\ns{r}")[0].format(r=10) + ")"
+ORACLES["op11_shallot_clustering"] = rf"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+m0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS c, v
+  FROM (SELECT vec_id, v FROM kept WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id) LIMIT 8)),
+{"".join(_MEANS.format(r=r, next=r + 1) for r in range(10))}
+{_LAST}
+SELECT a.vec_id, a.c AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a10 a JOIN m10 m ON a.c = m.c
+"""
+
+
+@_query
+def op12_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digest(prefix_bpe.round_trip(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op13_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(runs.with_periodic_tails(table(spark, sf_dir, "documents"))))
