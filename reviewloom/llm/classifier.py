@@ -5,31 +5,32 @@ bytes is kept; chunks overlap by half. The chunks' mean and maximum per filter g
 logistic unit. Texts of any length are covered, none is cut.
 
 Training: at most SAMPLE labelled documents of each class, those with the least hash of
-their doc_id, and of each at most TRAIN_CHUNKS chunks, evenly spaced. This bounds what the driver
-holds (SAMPLE * 2 * TRAIN_CHUNKS * 2 * HALF bytes) and is the only place where rows are
-sampled. Scores use nothing but the text.
+their doc_id, in that order until their texts have SAMPLE_BYTES bytes. This bounds what the driver
+holds and is the only place where rows are sampled. Each of them is learned from whole, by the same
+chunks that scores are made of. Scores use nothing but the text.
 
 Defined cases: a null or empty text is one chunk of padding and gets a score; labels that are
 missing or not 0 or 1 are not learned from; without labels of both classes every score is 0.5;
-rows with equal doc_id are scored one by one, and are taken for training with their label.
+rows with equal doc_id are scored one by one, and are taken for training with their label, within the
+same bounds.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 6
 FILTERS = 16
 HALF = 256
-SAMPLE = 1500
-TRAIN_CHUNKS = 8
+SAMPLE, SAMPLE_BYTES = 1500, 16 << 20  # of each class
 STEPS = 300
 BATCH = 64
 THRESHOLD = 0.7
 _PIECE = 1 << 18  # bytes that are convolved at a time
+_CHUNKS = 256  # chunks that are convolved at a time in training
 
 
 def fold(doc_id: Column) -> Column:
@@ -46,11 +47,22 @@ def _padded(text: bytes) -> np.ndarray:
 
 
 def _chunks(text: bytes) -> np.ndarray:
-    """Up to TRAIN_CHUNKS evenly spaced chunks, with the WIDTH - 1 bytes after each."""
-    data = _padded(text)
-    last = (len(data) - WIDTH + 1) // HALF - 2
-    starts = np.unique(np.linspace(0, last, min(TRAIN_CHUNKS, last + 1)).round().astype(int)) * HALF
-    return data[starts[:, None] + np.arange(2 * HALF + WIDTH - 1)]
+    """All chunks of a text, with the WIDTH - 1 bytes after each: a view of its padded bytes."""
+    return np.lib.stride_tricks.sliding_window_view(_padded(text), 2 * HALF + WIDTH - 1)[::HALF]
+
+
+def _largest(data: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest response of each filter in each chunk, and where it is."""
+    best, place = np.empty((len(data), FILTERS), np.float32), np.empty((len(data), FILTERS), np.int64)
+    for a in range(0, len(data), _CHUNKS):
+        part = data[a : a + _CHUNKS]
+        response = np.zeros((len(part), 2 * HALF, FILTERS), np.float32)
+        for k in range(WIDTH):
+            response += filters[k][part[:, k : k + 2 * HALF]]
+        at = response.argmax(axis=1)
+        place[a : a + _CHUNKS] = at
+        best[a : a + _CHUNKS] = np.take_along_axis(response, at[:, None, :], axis=1)[:, 0]
+    return best, place
 
 
 class Network:
@@ -106,11 +118,8 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
         counts = np.array([len(texts[k]) for k in rows])
         begins = np.cumsum(counts) - counts
         of = np.repeat(np.arange(len(rows)), counts)
-        response = np.zeros((len(data), 2 * HALF, FILTERS), np.float32)
-        for k in range(WIDTH):
-            response += state["filters"][k][data[:, k : k + 2 * HALF]]
-        at = response.argmax(axis=1)
-        chunk = np.maximum(np.take_along_axis(response, at[:, None, :], axis=1)[:, 0], 0)
+        best, at = _largest(data, state["filters"])
+        chunk = np.maximum(best, 0)
         mean = np.add.reduceat(chunk, begins) / counts[:, None]
         top = np.maximum.reduceat(chunk, begins)
         x = np.concatenate((mean, top), axis=1)
@@ -139,41 +148,31 @@ def _bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
     """The network fitted on the sample, or None if a class is missing.
 
     The sample's doc_ids are chosen from the labels alone; their number is bounded, so they
-    are broadcast, and the texts are read where they lie.
+    are broadcast. The first text of a class is taken whatever its size.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 2))
     order = F.xxhash64(F.col("doc_id"), F.lit("train"))
     chosen = None
     for quality in (0, 1):
-        part = usable.where(F.col("quality") == quality).orderBy(order, "doc_id").limit(sample).select("doc_id", "quality")
+        part = usable.where(F.col("quality") == quality).orderBy(order, "doc_id").limit(sample)
+        part = part.select("doc_id", F.col("quality").cast("int").alias("quality"))
         chosen = part if chosen is None else chosen.unionByName(part)
-
-    def cut(batches):
-        for batch in batches:
-            chunks = [_chunks(t) for t in _bytes(batch.column(2))]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "quality": batch.column(1),
-                "n": pa.array([len(c) for c in chunks], pa.int32()),
-                "data": pa.array([c.tobytes() for c in chunks], pa.binary()),
-            })
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
-        .mapInArrow(cut, f"doc_id {kind}, quality int, n int, data binary")
-        .collect()
-    )
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"], bytes(r["data"])))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("data"))
+    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("order", order)
+    number = Window.partitionBy("quality").orderBy("order", "doc_id", "data")
+    first = found.withColumn("number", F.row_number().over(number)).where(F.col("number") <= sample)
+    upto = F.sum(F.length("data")).over(number.rowsBetween(Window.unboundedPreceding, 0))
+    bounded = first.withColumn("upto", upto).where((F.col("number") == 1) | (F.col("upto") <= sample_bytes))
+    rows = bounded.select("quality", "number", "data").collect()
+    rows.sort(key=lambda r: (r["quality"], r["number"]))
     y = np.array([r["quality"] for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return None
-    return fit([np.frombuffer(r["data"], np.uint8).reshape(r["n"], -1) for r in rows], y)
+    return fit([_chunks(bytes(r["data"])) for r in rows], y)
 
 
 def score(docs: DataFrame, network: Network | None) -> DataFrame:

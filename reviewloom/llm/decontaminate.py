@@ -54,15 +54,14 @@ def windows(text: str | None, size: int = WINDOW) -> list[str]:
 
 
 def patterns(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(window, items) with the ids of the items that hold the window."""
+    """(window, items) with the ids of the items that hold the window; an item without id counts, but has none to give."""
 
     @F.udf("array<string>", useArrow=True)
     def cut(text):
         return windows(text, window)
 
     return (
-        benchmark.where(F.col("item_id").isNotNull())
-        .select(F.col("item_id").cast("string").alias("item"), F.explode(cut("text")).alias("window"))
+        benchmark.select(F.col("item_id").cast("string").alias("item"), F.explode(cut("text")).alias("window"))
         .groupBy("window")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )

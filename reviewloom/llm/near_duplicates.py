@@ -31,7 +31,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import materialize
@@ -225,7 +225,8 @@ def _vertex(prints: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """(doc_id, vertex, bands): BANDS weighted and BANDS plain keys; vertex is null for texts without words."""
+    """(doc_id, digest, vertex, bands): digest of the text, BANDS weighted and BANDS plain keys; vertex is null
+    for texts without words."""
 
     def run(batches):
         table = idf.value
@@ -240,11 +241,17 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 keys = (signature(prints, weights(prints, counts, table)), plain_signature(prints))
                 bands.append(np.concatenate(keys).view(np.int64))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "vertex": pa.array(vertex, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))
+                "doc_id": batch.column(0), "digest": batch.column(2), "vertex": pa.array(vertex, pa.binary()),
+                "bands": pa.array(bands, pa.list_(pa.int64())),
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, vertex binary, bands array<long>")
+    texts = docs.select("doc_id", "text", _digest().alias("digest"))
+    return texts.mapInArrow(run, f"doc_id {kind}, digest string, vertex binary, bands array<long>")
+
+
+def _digest() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -397,8 +404,8 @@ def components(edges: DataFrame) -> DataFrame:
         state = after
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (least doc_id of the class) and class_size."""
+def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, written, and (vertex, doc, n, root) of their vertices."""
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(docs))  # CELLS numbers
     signed = materialize(signatures(docs, idf), "signatures")
@@ -408,16 +415,36 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "vertices",
     )
     roots = components(links(docs, vertices, idf, threshold))
-    placed = vertices.join(roots, "vertex", "left").select("vertex", "doc", "n", F.coalesce("root", "vertex").alias("root"))
+    return signed, vertices.join(roots, "vertex", "left").select("vertex", "doc", "n", F.coalesce("root", "vertex").alias("root"))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, class_id (least doc_id of the class) and class_size."""
+    signed, placed = _placed(docs, threshold)
     of_class = placed.groupBy("root").agg(F.min("doc").alias("class_id"), F.sum("n").alias("class_size"))
     by_vertex = placed.select("vertex", "root").join(of_class, "root").select("vertex", "class_id", "class_size")
-    found = worded.select("doc_id", "vertex").join(by_vertex, "vertex").select("doc_id", "class_id", "class_size")
+    worded = signed.where(F.col("vertex").isNotNull()).select("doc_id", "vertex")
+    found = worded.join(by_vertex, "vertex").select("doc_id", "class_id", "class_size")
     alone = signed.where(F.col("vertex").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return found.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its class, with all their columns."""
-    own = classes(docs, threshold)
-    kept = own.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One row of each class with all its columns: the one of least doc_id, null being the last, then of least digest.
+
+    Rows with that doc_id and another text are in classes of their own; of rows equal in both, one stays.
+    Texts without words all stay.
+    """
+    signed, placed = _placed(docs, threshold)
+    rows = signed.where(F.col("vertex").isNotNull()).groupBy("vertex", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    of_class = rows.join(placed.select("vertex", "root"), "vertex").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "n")).alias("first")
+    )
+    alone = signed.where(F.col("vertex").isNull()).select("doc_id", "digest", F.lit(1).cast("long").alias("n")).distinct()
+    kept = materialize(of_class.select("first.doc_id", "first.digest", "first.n").unionByName(alone), "kept")
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), _digest().alias("own_digest"))
+    both = own.join(kept, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_digest") == F.col("digest")))
+    single = both.where("n = 1").select("row.*")
+    if kept.where("n > 1").isEmpty():
+        return single
+    return single.unionByName(both.where("n > 1").dropDuplicates(["own", "own_digest"]).select("row.*"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import let
 
@@ -80,10 +81,12 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     Conversations 2k and 2k + 1 are neighbours. The rejected list is the chosen one with its last
     assistant turn, and what follows it, replaced by the last assistant turn of the neighbour (left
     out if there is none). Without an assistant turn, the neighbour's is added at the end. Rows
-    without conv_id are no conversation.
+    without conv_id are no conversation. Ids must be integers, of any size; others are refused.
     """
+    if not isinstance(conversations.schema["conv_id"].dataType, IntegralType):
+        raise ValueError("conv_id must be an integer")
     rows = conversations.where(F.col("conv_id").isNotNull()).select(
-        F.floor(F.col("conv_id") / 2).alias("two"), F.pmod("conv_id", F.lit(2)).alias("odd"), "conv_id", "turn",
+        F.shiftright("conv_id", 1).alias("two"), F.pmod("conv_id", F.lit(2)).alias("odd"), "conv_id", "turn",
         turn(F.col("role"), F.col("text")).alias("x"),
     )
     both = rows.groupBy("two").agg(F.array_sort(F.collect_list(F.struct("odd", "turn", "x", "conv_id"))).alias("all"))

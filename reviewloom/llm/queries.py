@@ -88,7 +88,7 @@ WITH d AS (
 b AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 p AS (
   SELECT DISTINCT item, least(len(w), 13) AS k, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS win
   FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
@@ -98,7 +98,7 @@ g AS (
         FROM d, (SELECT DISTINCT k FROM p) s)),
 h AS (SELECT g.rid, g.i, g.k, p.item FROM g JOIN p ON g.win = p.win AND g.k = p.k),
 n AS (SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS x FROM h) GROUP BY rid),
-t AS (SELECT rid, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM h GROUP BY rid)
+t AS (SELECT rid, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)), ',') AS items FROM h GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
        coalesce(n.n_hit, 0) > 0 AND 20 * coalesce(n.n_hit, 0) >= len(d.w) AS contaminated

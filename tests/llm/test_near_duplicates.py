@@ -1,11 +1,15 @@
 """Classes against the similarities of all pairs of a small fixture."""
 
+from collections import Counter
+from hashlib import md5
+
 import numpy as np
 
 from reviewloom.llm import near_duplicates as nd
 
 
-def brute_classes(rows, idf):
+def brute_labels(rows, idf):
+    """The number of the first row of each row's class."""
     texts = [(t or "").encode() for _, t in rows]
     vectors = [(p, nd.weights(p, c, idf)) for p, c in nd.shingles(texts)]
     label = list(range(len(rows)))
@@ -19,7 +23,11 @@ def brute_classes(rows, idf):
         for j in range(i):
             if len(vectors[i][0]) and len(vectors[j][0]) and nd.similarity(vectors[i], vectors[j]) >= 0.8:
                 label[max(find(i), find(j))] = min(find(i), find(j))
-    roots = [find(i) for i in range(len(rows))]
+    return [find(i) for i in range(len(rows))]
+
+
+def brute_classes(rows, idf):
+    roots = brute_labels(rows, idf)
     out = []
     for i, (d, _) in enumerate(rows):
         ids = [rows[k][0] for k in range(len(rows)) if roots[k] == roots[i]]
@@ -40,12 +48,31 @@ def test_block_comparison_of_large_groups(odd, plain, monkeypatch):
     assert got == brute_classes(plain, nd.idf_table(odd))
 
 
-def test_keep_one(odd):
+def test_keep_one(odd, plain):
     kept = nd.keep_one(odd)
     assert kept.columns == odd.columns
-    classes = nd.classes(odd).collect()
-    want = {r.class_id for r in classes if r.doc_id == r.class_id}
-    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {x for x in want if x is not None}
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == brute_kept(plain, nd.idf_table(odd))
+
+
+def brute_kept(rows, idf):
+    """The row of least (doc_id, digest) of each class, null ids last, and all rows without words."""
+    order = lambda r: (r[0] is None, r[0] or 0, md5((r[1] or "").encode()).hexdigest())
+    alone = [r for r in rows if not (r[1] or "").split()]
+    worded = sorted((r for r in rows if (r[1] or "").split()), key=order)
+    kept, labels = [], brute_labels(worded, idf)
+    for row, label in zip(worded, labels, strict=True):
+        if label not in {x for _, x in kept}:
+            kept.append((row, label))
+    return Counter([r for r, _ in kept] + alone)
+
+
+def test_keep_one_of_repeated_rows(spark):
+    w, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(1, w), (1, w), (2, w), (3, other), (3, w), (None, w), (None, "z"), (None, "z"), (5, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n", "2 AS digest", "3 AS own", "4 AS row")
+    kept = nd.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, w), (3, other), (None, "z"), (5, None), (5, "")])
 
 
 def test_empty(none):

@@ -171,8 +171,8 @@ def brute_contamination(docs, items, size=13):
     windows = {}
     for item, text in items:
         w = norm(text)
-        for i in range(max(1, len(w) - size + 1) if w and item is not None else 0):
-            windows.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + size]), set()).update([] if item is None else [str(item)])
     out = []
     for d, t in docs:
         w, hit, found = norm(t), set(), set()
@@ -225,6 +225,27 @@ def test_preferences(spark):
     assert got[4].prompt == "" and got[5].prompt == "" and len(got) == 6
 
 
+def test_an_item_without_id_contaminates(spark):
+    passage = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, passage), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.digest(decontaminate.find_items(docs, items)).collect()}
+    assert (rows[1].n_hit, rows[1].n_items, rows[1].contaminated) == (20, 0, True) and not rows[2].contaminated
+
+
+def test_preferences_of_large_ids(spark):
+    for base in (1 << 60, -(1 << 60)):
+        rows = [(base + k, 0, role, f"{role} {k}") for k in range(6) for role in ("user", "assistant")]
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        got = {r.pair_id: r for r in preferences.format_pairs(preferences.swapped_replies(df)).collect()}
+        assert set(got) == {base + k for k in range(6)}
+        for k in range(6):
+            assert f"assistant {k}\n" in got[base + k].chosen + got[base + k].prompt
+            assert f"assistant {k ^ 1}\n" in got[base + k].rejected
+    with pytest.raises(ValueError, match="integer"):
+        preferences.swapped_replies(df.withColumn("conv_id", F.col("conv_id").cast("string")))
+
+
 def test_preferences_of_odd_conversations(spark):
     rows = [(0, 0, "user", "q"), (0, 0, "user", "q"), (0, 1, "assistant", None), (1, 0, None, "z"), (None, 0, "user", "q"), (5, None, "user", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS own", "2 AS odd")
@@ -253,6 +274,62 @@ def test_classifier(spark, odd, none):
     assert held == {r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
 
 
+def test_classifier_by_length(spark):
+    """At a scale where each class of lengths has over a hundred held-out texts; the longest have more than eight chunks."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    scored = classifier.digest(classifier.score(docs, classifier.train(docs, labels))).join(labels, "doc_id").where("held_out")
+    sized = scored.join(docs.select("doc_id", F.octet_length("text").alias("bytes")), "doc_id")
+    size = F.when(F.col("bytes") < 600, 0).when(F.col("bytes") < 2304, 1).otherwise(2)
+    right = F.avg((F.col("predicted") == F.col("quality")).cast("int")).alias("right")
+    rows = sized.groupBy(size.alias("size")).agg(F.count("*").alias("n"), right).collect()
+    assert len(rows) == 3 and all(r.n > 100 and r.right >= 0.93 for r in rows)
+
+
+def plain_score(network, text):
+    """One position after the other."""
+    import math
+
+    import numpy as np
+
+    halves = max(2, math.ceil(max(len(text) - classifier.WIDTH + 1, 1) / classifier.HALF))
+    data = text + bytes(halves * classifier.HALF + classifier.WIDTH - 1 - len(text))
+    f = network.filters.astype(float)
+    tops = []
+    for start in range(0, (halves - 1) * classifier.HALF, classifier.HALF):
+        places = range(start, start + 2 * classifier.HALF)
+        tops.append(np.max([sum(f[k, data[i + k]] for k in range(classifier.WIDTH)) for i in places], axis=0).clip(0))
+    x = np.concatenate((np.mean(tops, axis=0), np.max(tops, axis=0)))
+    return 1 / (1 + math.exp(-min(30, max(-30, float(x @ network.out + network.bias)))))
+
+
+def test_scores_and_training_use_the_plain_forward_pass(monkeypatch):
+    import random
+
+    import numpy as np
+
+    rng, numbers = random.Random(1), np.random.default_rng(2)
+    shape = (classifier.WIDTH, 256, classifier.FILTERS)
+    network = classifier.Network(numbers.normal(0, 0.3, shape).astype(np.float32), numbers.normal(0, 0.3, 32).astype(np.float32), 0.1)
+    score = network.scorer()
+    monkeypatch.setattr(classifier, "_CHUNKS", 2)
+    for n in (0, 1, 5, 255, 261, 262, 512, 517, 518, 1500):
+        text = bytes(rng.randrange(256) for _ in range(n))
+        assert abs(score(text) - plain_score(network, text)) < 1e-5
+        best, _ = classifier._largest(classifier._chunks(text), network.filters)
+        x = np.concatenate((best.clip(0).mean(axis=0), best.clip(0).max(axis=0)))
+        assert abs(1 / (1 + np.exp(-(x @ network.out + network.bias))) - score(text)) < 1e-5
+
+
+def test_classifier_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(classifier, "fit", lambda texts, y: seen.append((len(texts), sum(len(t) for t in texts))))
+    docs = spark.createDataFrame([(k % 40, f"{k} " * 100) for k in range(200)] + [(41, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(42)], "doc_id long, quality int")
+    classifier.train(docs, labels, sample=3)
+    classifier.train(docs, labels, sample=30, sample_bytes=900)
+    assert seen[0][0] == 6 and 2 <= seen[1][0] <= 8
+
+
 def test_classifier_sees_the_whole_text():
     import numpy as np
 

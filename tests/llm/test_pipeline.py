@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).parent))
 
 import corpus_pipeline  # noqa: E402
-from test_near_duplicates import brute_classes  # noqa: E402
+from test_near_duplicates import brute_kept  # noqa: E402
 from test_other_operators import brute_contamination, brute_quality, brute_secrets, check_packing  # noqa: E402
 
 from reviewloom.llm import near_duplicates, quality  # noqa: E402
@@ -47,8 +47,7 @@ def test_stages(spark, stages):
     assert rows(good) == [(d, t) for d, t in rows(raw) if verdict[d].kept]
     assert all(verdict[d].base_failed == brute_quality(t)[-1] for d, t in rows(raw))
 
-    classes = brute_classes(rows(good), near_duplicates.idf_table(good))
-    assert rows(single) == [(d, t) for d, t in rows(good) if (d, d) in {(x, c) for x, c, _ in classes}]
+    assert rows(single) == sorted(brute_kept(rows(good), near_duplicates.idf_table(good)).elements())
 
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     bad = {d for d, n, hit, _ in brute_contamination(rows(single), items) if hit and 20 * hit >= n}
