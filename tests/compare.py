@@ -61,7 +61,7 @@ def compare(df, con, sql) -> str | None:
 
 
 def main() -> int:
-    from conftest import make_session
+    from sessions import make_session
 
     from reviewloom.catalog import ORACLES, QUERIES
 

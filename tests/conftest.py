@@ -2,26 +2,10 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
-SF = "/root/testdata/sf0.001"
-
-
-def make_session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .appName("reviewloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+from sessions import make_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,6 +1,6 @@
 import pytest
 from compare import compare, connect
-from conftest import SF
+from sessions import SF
 
 from reviewloom.catalog import ORACLES, QUERIES
 
