@@ -238,12 +238,11 @@ def _measured(joined: DataFrame, centroids: np.ndarray, id_field: T.StructField)
     return joined.select("ids", "data", "state").mapInArrow(work, schema)
 
 
-def _totals(written: DataFrame) -> dict[int, tuple[int, list[int]]]:
+def _totals(written: DataFrame, width: int) -> dict[int, tuple[int, list[int]]]:
     """Count and sums of each cluster, added exactly; k rows come to the driver."""
-    part = written.select(F.explode("parts").alias("p")).select("p.cluster", "p.n", F.posexplode("p.sums").alias("at", "x"))
-    exact = part.groupBy("cluster", "at").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"), F.sum("n").alias("n"))
-    rows = exact.groupBy("cluster").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "x"))).alias("sums")).collect()
-    return {r.cluster: (r.n, [int(s.x) for s in r.sums]) for r in rows}
+    sums = [F.sum(F.get("sums", F.lit(i)).cast("decimal(38,0)")) for i in range(width)]
+    each = written.select(F.inline("parts")).groupBy("cluster").agg(F.sum("n").alias("n"), F.array(*sums).alias("sums"))
+    return {r.cluster: (r.n, [int(s) for s in r.sums]) for r in each.collect()}
 
 
 class _Buckets:
@@ -296,14 +295,14 @@ def cluster(
             joined = blocks.join(written.select("block", "state").hint("shuffle_hash"), "block")
             if number < rounds:
                 before, centroids = centroids, centroids.copy()
-                for c, (n, sums) in _totals(written).items():
+                for c, (n, sums) in _totals(written, dimension).items():
                     centroids[c] = [s // n for s in sums]
         path = scratch_path(spark, "clustered")
         _measured(joined.where(F.col("state").isNotNull()), centroids, id_field).write.parquet(path)
     finally:
         buckets.drop()
     measured = spark.read.parquet(path)
-    totals = _totals(measured)
+    totals = _totals(measured, 1)
     inertia = sum(sums[0] for _, sums in totals.values())
     rows = [(c, n, sums[0], inertia, centroids[c].tolist()) for c, (n, sums) in totals.items()]
     clusters = spark.createDataFrame(rows, "cluster int, n long, cluster_inertia long, inertia long, centroid array<long>")
