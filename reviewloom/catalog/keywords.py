@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import words
@@ -10,6 +10,8 @@ from ..operators import aggregates as A
 from ..operators import keywords as M
 from ..operators import sets as G
 from ..operators import topics as T
+from ..operators.density import density_clusters
+from ..plans.graphs import nearest_neighbours
 from ..plans.ordered import top_rows
 from ..plans.scratch import materialize, scratch_path
 from ..sources.writers import write_topic_report
@@ -193,10 +195,32 @@ def _(v):
     return T.cluster_words(assigned)
 
 
+def _vectors(v):
+    return v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
+
+
+@query(
+    "neighbour_graph",
+    # All pairs; ranks and distances only, as rows at equal distances may change places.
+    """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+    u AS (SELECT vec_id, list_transform(x, lambda v: v / sqrt(list_inner_product(x, x))) AS x FROM e),
+    p AS (SELECT a.vec_id AS id, list_distance(a.x, b.x) AS distance FROM u a JOIN u b ON a.vec_id <> b.vec_id)
+    SELECT id, rank, round(distance, 6) AS distance
+    FROM (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY distance) AS INT) AS rank FROM p) WHERE rank <= 15""",
+)
+def _(v):
+    ranked = Window.partitionBy("id").orderBy("distance", "neighbour")
+    return nearest_neighbours(_vectors(v)).select("id", F.row_number().over(ranked).alias("rank"), "distance")
+
+
+@query("density_clusters")
+def _(v):
+    return density_clusters(_vectors(v), min_size=15)
+
+
 @query("embedding_topics")
 def _(v):
-    vectors = v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
-    return T.embedding_topics(v.stage, vectors)
+    return T.embedding_topics(v.stage, _vectors(v))
 
 
 @query("doc_keywords")
@@ -215,8 +239,7 @@ def _(v):
 
 
 def _report(v):
-    vectors = v.table("embeddings").select(F.col("vec_id").alias("review_id"), "embedding")
-    return T.topic_report(v.stage, vectors=vectors)
+    return T.topic_report(v.stage, vectors=_vectors(v))
 
 
 @query("topic_report")

@@ -181,14 +181,26 @@ def _(v):
 MI_COLS = ("rating", "helpful_count", "confidence_score")
 
 
+def _digamma_sql(n):
+    y = f"({n} + 6)::DOUBLE"
+    steps = " ".join(f"- 1 / ({n} + {i})::DOUBLE" for i in range(6))
+    return f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) {steps})"
+
+
+_NEAR = ", ".join(f"abs(x - lag(x, {i}) OVER w), abs(lead(x, {i}) OVER w - x)" for i in (1, 2, 3))
+
+
 @query(
     "mutual_info_select",
-    "WITH x AS (" + " UNION ALL ".join(f"SELECT true_sentiment AS label, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM reviews" for c in MI_COLS)
-    + """), q AS (SELECT feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM x GROUP BY 1),
-    b AS (SELECT x.feature, label, len(list_filter(cuts, lambda c: c < value)) AS bin, count(*)::DOUBLE AS n FROM x JOIN q ON x.feature = q.feature GROUP BY 1, 2, 3),
-    p AS (SELECT feature, n / sum(n) OVER (PARTITION BY feature) AS p, sum(n) OVER (PARTITION BY feature, bin) / sum(n) OVER (PARTITION BY feature) AS px,
-     sum(n) OVER (PARTITION BY feature, label) / sum(n) OVER (PARTITION BY feature) AS py FROM b)
-    SELECT feature, round(sum(p * ln(p / (px * py))), 6) + 0.0::DOUBLE AS score FROM p GROUP BY 1""",
+    "WITH f AS (" + " UNION ALL ".join(f"SELECT true_sentiment AS label, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, review_id FROM reviews" for c in MI_COLS)
+    + f"""), s AS (SELECT feature, CASE WHEN max(abs(value)) > 0 THEN 2.0::DOUBLE ** (32 - ceil(log2(max(abs(value))))) ELSE 1.0 END AS scale FROM f GROUP BY 1),
+    x AS (SELECT feature, label, CAST(floor(value * scale + 0.5) AS BIGINT) * 268435456 + CAST('0x' || substr(md5(review_id || ':' || feature), 1, 7) AS BIGINT) AS x
+     FROM f JOIN s USING (feature)),
+    d AS (SELECT feature, label, x, count(*) OVER (PARTITION BY feature, label) AS n,
+     list_sort(list_filter([{_NEAR}], lambda v: v IS NOT NULL)) AS near FROM x WINDOW w AS (PARTITION BY feature, label ORDER BY x)),
+    k AS (SELECT *, least(3, n - 1) AS k, greatest(near[least(3, n - 1)] - 1, 0) AS reach FROM d WHERE n > 1),
+    m AS (SELECT *, count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN reach PRECEDING AND reach FOLLOWING) AS m FROM k)
+    SELECT feature, round(greatest({_digamma_sql("count(*)")} + avg({_digamma_sql("k")}) - avg({_digamma_sql("n")}) - avg({_digamma_sql("m")}), 0), 6) + 0.0::DOUBLE AS score FROM m GROUP BY 1""",
 )
 def _(v):
     return J.mutual_info_select(v.reviews, MI_COLS, "true_sentiment")

@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.text import GRAM_TOKEN
-from ..plans.ordered import quantiles, rank_by_hash
+from ..plans.ordered import rank_by_hash
 from ..plans.scratch import materialize
 from .evaluation import headline_metrics
+from .neighbours import mutual_information
 
 
 def _gram_sql(text_col: str, lo: int, hi: int) -> str:
@@ -235,40 +236,11 @@ def feature_importance(model: Model, vocabulary: Sequence[str], spark, n: int =
 
 
 def mutual_info_select(
-    df: DataFrame, features: Sequence[str], label: str, bins: int = 10, n: int = 50
+    df: DataFrame, features: Sequence[str], label: str, neighbours: int = 3, n: int = 50, key: str = "review_id"
 ) -> DataFrame:
-    """Mutual information of each numeric feature with the label, on quantile bins.
-
-    Features are unpivoted, so all of them share one pass; only contingency counts
-    (features x bins x labels) leave the tasks.
-    """
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("value"))
-                for c in features
-            ]
-        )
-    )
-    long = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), cells.alias("f")).select(
-        "label", "f.feature", "f.value"
-    )
-    # One row per (feature, label, value): all that follows works on these counts.
-    counted = long.groupBy("feature", "label", "value").agg(F.count(F.lit(1)).alias("n"))
-    cuts = quantiles(long, ["feature"], "value", [i / bins for i in range(1, bins)])
-    cuts = cuts.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("cuts"))
-    binned = counted.join(F.broadcast(cuts), "feature")  # at most one row per feature
-    bin_of = F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    table = binned.groupBy("feature", "label", bin_of.alias("bin")).agg(F.sum("n").alias("n"))
-    by_feature = Window.partitionBy("feature")
-    p = F.col("n") / F.sum("n").over(by_feature)
-    px = F.sum("n").over(Window.partitionBy("feature", "bin")) / F.sum("n").over(by_feature)
-    py = F.sum("n").over(Window.partitionBy("feature", "label")) / F.sum("n").over(by_feature)
-    terms = table.select("feature", (p * F.log(p / (px * py))).alias("t"))
-    return (
-        terms.groupBy("feature").agg(F.sum("t").alias("score"))
-        .orderBy(F.desc(F.round("score", 9)), "feature").limit(n)
-    )
+    """The n features with most mutual information with the label, estimated by nearest neighbours."""
+    scores = mutual_information(df, features, label, neighbours, key)
+    return scores.orderBy(F.desc(F.round("score", 9)), "feature").limit(n)
 
 
 def grid_search(

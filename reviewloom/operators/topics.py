@@ -18,6 +18,7 @@ from ..plans.scratch import materialize
 from ..schema import SENTIMENTS
 from . import keywords as K
 from .aggregates import category_topics_summary, common_complaints, worst_category_insight
+from .density import NOISE, density_clusters
 from .joins import text_key, topic_mentions
 
 
@@ -178,17 +179,32 @@ def cluster_words(
     return top_rows(scored, ["topic_id"], [F.desc(F.round("score", 12)), F.asc("term")], n)
 
 
+def embedding_clusters(
+    vectors: DataFrame, k: int | None = None, min_size: int = 50, neighbours: int = 15, seed: int = 42
+) -> DataFrame:
+    """(review_id, cluster) of document vectors (review_id, embedding).
+
+    Without k the clusters are those of density, as many as there are, and -1 is noise; with k they are k means.
+    """
+    if k is None:
+        return density_clusters(vectors, min_size, neighbours, seed=seed)
+    features = vectors.select("review_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    features = materialize(features, "vectors")
+    return KMeans(k=k, seed=seed, predictionCol="cluster").fit(features).transform(features).select("review_id", "cluster")
+
+
 def embedding_topics(
-    df: DataFrame, vectors: DataFrame, k: int = 12, min_size: int = 50, n: int = 10,
-    text_col: str = "cleaned_text", seed: int = 42,
+    df: DataFrame, vectors: DataFrame, k: int | None = None, min_size: int = 50, n: int = 10,
+    text_col: str = "cleaned_text", neighbours: int = 15, seed: int = 42,
 ) -> DataFrame:
-    """Topics as clusters of document vectors (review_id, embedding)."""
-    joined = materialize(
-        df.select("review_id", text_col).join(vectors, "review_id"), "vectors"
-    )
-    features = joined.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(features)
-    return cluster_words(model.transform(features), min_size, n, text_col=text_col)
+    """Topics as clusters of document vectors (review_id, embedding), with their best terms; noise has no topic.
+
+    Documents without a vector are in no topic.
+    """
+    known = vectors.join(df.select("review_id"), "review_id", "left_semi")
+    placed = embedding_clusters(known, k, min_size, neighbours, seed).where(F.col("cluster") != NOISE)
+    assigned = materialize(df.select("review_id", text_col).join(placed, "review_id"), "assigned")
+    return cluster_words(assigned, min_size, n, text_col=text_col)
 
 
 def topic_weight(topics: DataFrame, n: int = 5) -> DataFrame:
