@@ -12,9 +12,9 @@ border that had been merged before (``Vocabulary.compatible``). This needs a voc
 comes from one merge of two earlier tokens; loading checks it.
 
 Special tokens are cut out of the raw text first. The rest is cut at ASCII white space, where no word and no
-normal form crosses; printable ASCII pieces are lowered and cut by a pattern, others go through the normaliser
-and the word splitter of the vocabulary file. Encodings of short pieces are remembered, up to MEMO of them
-per worker; others are worked out again in each batch. There is no shuffle, and each text is held by one task.
+normal form crosses; pieces of ASCII and Latin-1 letters are lowered and cut by a pattern, others go through the
+normaliser and the word splitter of the vocabulary file. Codes of short pieces and words are remembered, up to MEMO of
+each per worker; others are worked out again in each batch. There is no shuffle, and each text is held by one task.
 
 Defined cases: null and empty texts have no tokens and decode to the empty text; every row gives a row,
 repeated ones too; other columns are ignored; an empty table gives an empty result.
@@ -26,6 +26,7 @@ import json
 import re
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import public_tokenizers
 import pyarrow as pa
@@ -37,13 +38,23 @@ from tokenizers import Tokenizer
 from .common import arrow_rows
 
 VOCABULARY = "word_bpe_49k"
-#: Pieces of a text that a worker remembers, and the longest of them.
+#: Pieces of texts and words that a worker remembers, and the longest of them.
 MEMO, MEMO_CHARS = 300_000, 48
 #: Characters of texts whose new words share a trie; a batch of results holds as many, or one text.
 SLICE = 2 << 20
 _PIECE = re.compile(r"[^ \t-\r]+")
-# What the vocabulary's word splitter finds in lower-case printable ASCII.
-_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Pieces of printable ASCII and of the letters of Latin-1, which are their own normal form.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+# What the vocabulary's word splitter finds in such pieces in lower case.
+_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: How a byte-level vocabulary writes these letters: a character for each byte of their UTF-8 form, which is that of the
+#: same number for 0xC3, and one of its own, from 0x100 on, for bytes that are no printable character in Latin-1.
+_UNSEEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+_WRITTEN = {
+    c: "".join(chr(0x100 + _UNSEEN.index(b)) if b in _UNSEEN else chr(b) for b in chr(c).encode())
+    for c in range(0xDF, 0x100) if c != 0xF7
+}
+TOKEN, END = 0, 1
 
 
 class Vocabulary:
@@ -76,8 +87,16 @@ class Vocabulary:
         for t in sorted(self.ids.values(), key=self.rank.__getitem__):
             a, b = self.left[t], self.right[t]
             own[t] = own[a] and own[b] and (a < 0 or self._apart(a, b, self.rank[t]))
-        self.usable = {text: t for text, t in self.ids.items() if own[t]}
-        self.longest = max(map(len, self.usable))
+        # Tokens by their characters: TOKEN at the end of those that stand inside a word, END of those that close one.
+        self.tokens: dict = {}
+        for text, t in self.ids.items():
+            if own[t]:
+                ends = bool(self.end) and text.endswith(self.end) and text != self.end
+                node = self.tokens
+                for character in text.removesuffix(self.end) if ends else text:
+                    node = node.setdefault(character, {})
+                node[END if ends or not self.end else TOKEN] = t
+        self.own = {t for t in self.ids.values() if own[t]}
         self.compatible = lru_cache(1 << 18)(lambda a, b: self._apart(a, b, len(self.pairs)))
 
     def _apart(self, a: int, b: int, before: int) -> bool:
@@ -124,27 +143,32 @@ class Trie:
 
 def encode_trie(trie: Trie, vocabulary: Vocabulary) -> dict[str, bytes]:
     """The ids of every word of the trie, as little-endian unsigned 32-bit numbers."""
-    usable, compatible, longest, text = vocabulary.usable, vocabulary.compatible, vocabulary.longest, vocabulary.text
+    compatible, tokens, text = vocabulary.compatible, vocabulary.tokens, vocabulary.text
+    inner, closing = (TOKEN, END) if vocabulary.end else (END, END)
     last: list[int] = [-1]  # last[k]: the last token of the first k characters of the path
     path, found = "", {}
 
-    def last_token(end: int, mark: str) -> int:
-        for start in range(max(0, end + len(mark) - longest), end):
-            token = usable.get(path[start:end] + mark)
+    def last_token(running, kind: int) -> int:
+        for start, node in running:
+            token = node.get(kind)
             if token is not None and (start == 0 or compatible(last[start], token)):
                 return token
-        raise ValueError(f"no token ends {path[:end]!r}")
+        raise ValueError(f"no token ends {path[:len(last)]!r}")
 
-    todo = [(0, "", trie.root)]
+    # With each edge: what runs at its start, (where a token may have begun, its node so far).
+    todo = [(0, "", trie.root, [])]
     while todo:
-        depth, label, (is_word, children) = todo.pop()
+        depth, label, (is_word, children), running = todo.pop()
         path = path[:depth] + label
         del last[depth + 1 :]
-        end = len(path)
-        if is_word and end:
-            for k in range(depth + 1, end):
-                last.append(last_token(k, ""))
-            token, at, ids = last_token(end, vocabulary.end), end + len(vocabulary.end), []
+        for at, character in enumerate(label, depth):
+            running = [(start, further) for start, node in running if (further := node.get(character)) is not None]
+            if character in tokens:
+                running.append((at, tokens[character]))
+            if children or at + 1 < len(path):
+                last.append(last_token(running, inner))
+        if is_word:
+            token, at, ids = last_token(running, closing), len(path) + len(vocabulary.end), []
             while True:
                 ids.append(token)
                 at -= len(text[token])
@@ -152,10 +176,7 @@ def encode_trie(trie: Trie, vocabulary: Vocabulary) -> dict[str, bytes]:
                     break
                 token = last[at]
             found[path] = array("I", reversed(ids)).tobytes()
-        if children:
-            for k in range(len(last), end + 1):
-                last.append(last_token(k, ""))
-            todo += [(end, edge, child) for edge, child in children.values()]
+        todo += [(len(path), edge, child, running) for edge, child in children.values()]
     return found
 
 
@@ -164,16 +185,20 @@ class Coder:
 
     def __init__(self, vocabulary: str = VOCABULARY):
         self.vocabulary = Vocabulary(vocabulary)
-        self.memo: dict[str, bytes] = {}
-
-    def _words(self, piece: str) -> list[str]:
-        if piece.isascii() and piece.isprintable():
-            return _ASCII_WORD.findall(piece.lower())
+        self.special = {t: array("I", [i]).tobytes() for t, i in self.vocabulary.special.items()}
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _cut(self, piece: str) -> list[str]:
+        """The words of a piece, as the vocabulary writes their bytes."""
+        if _PLAIN.fullmatch(piece):
+            lower = piece.lower()
+            return _WORD.findall(lower) if lower.isascii() else [w.translate(_WRITTEN) for w in _WORD.findall(lower)]
         return [word for word, _ in self.vocabulary.split(self.vocabulary.normalise(piece))]
 
     def _parts(self, text: str):
         """Pieces without special tokens, and special tokens, which are always whole items."""
-        if not any(token in text for token in self.vocabulary.special):
+        if not any(token in text for token in self.special):
             yield from _PIECE.findall(text)
             return
         for k, part in enumerate(self.vocabulary.special_pattern.split(text)):
@@ -184,18 +209,16 @@ class Coder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers; all new words go through one trie."""
-        special = {t: array("I", [i]).tobytes() for t, i in self.vocabulary.special.items()}
         parts = [list(self._parts(text or "")) for text in texts]
-        new = {piece: self._words(piece) for piece in set().union(*parts) - self.memo.keys() - special.keys()}
-        words = self.vocabulary.ids_of({word for cut in new.values() for word in cut})
-        fresh = {piece: b"".join(map(words.__getitem__, cut)) for piece, cut in new.items()}
-        known = self.memo | fresh | special
+        new = {piece: self._cut(piece) for piece in set().union(*parts) - self.pieces.keys() - self.special.keys()}
+        fresh = self.vocabulary.ids_of({word for cut in new.values() for word in cut} - self.words.keys())
+        words = self.words | fresh
+        coded = {piece: b"".join(map(words.__getitem__, cut)) for piece, cut in new.items()}
+        known = self.pieces | coded | self.special
         out = [b"".join(map(known.__getitem__, part)) for part in parts]
-        for piece, ids in fresh.items():
-            if len(self.memo) >= MEMO:
-                break
-            if len(piece) <= MEMO_CHARS:
-                self.memo[piece] = ids
+        for memo, found in ((self.pieces, coded), (self.words, fresh)):
+            short = (item for item in found.items() if len(item[0]) <= MEMO_CHARS)
+            memo.update(islice(short, MEMO - len(memo)))
         return out
 
     def decode(self, ids: bytes) -> str:

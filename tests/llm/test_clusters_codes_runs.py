@@ -122,7 +122,7 @@ def test_bounds_hold_in_every_round():
 ODD = [
     "ΟΔΟΣ Σ ς İstanbul", "it's 'stuff WE'LL --'s I'M", "a<|endoftext|>b <|startoftext|><|ENDOFTEXT|>", "a b\x1cc\x85d　e",
     "é ́x ﻿hi a​b", "日本語テキスト 12345 ½ ² ǆ ﬀ ẞ", "😀😀 👨‍👩‍👧", "\x00\x01 \x7f", "aaaaaaa aaa aaaaa", "!!!???...",
-    "ab" * 500 + " " + "ab" * 499 + "c", "x" * 60_000, "word " * 40_000, "\U0001e900 Ⴀ Ა",
+    "ab" * 500 + " " + "ab" * 499 + "c", "x" * 60_000, "word " * 40_000, "\U0001e900 Ⴀ Ა", "Straße ÀÉÎõÿß ÜBER×÷ Ø'S ªº µ", "naïve 'T'é's don'T",
 ]
 
 
@@ -153,7 +153,7 @@ def test_codes_of_odd_texts_and_random_words(spark, library):
 
 def test_every_token_of_the_vocabulary_is_its_own_code():
     v = prefix_bpe.coder().vocabulary
-    assert v.usable.keys() == v.ids.keys()
+    assert v.own == set(v.ids.values())
     inner = {t for t in v.ids if not t.endswith(v.end)}
     ended = {t.removesuffix(v.end) for t in v.ids if t.endswith(v.end) and t != v.end}
     codes = v.ids_of(ended)
@@ -175,7 +175,7 @@ def test_memo_is_bounded(monkeypatch):
     coder = prefix_bpe.Coder()
     texts = ["a b c d e f g h", "a b z y x", ""]
     first = coder.encode(texts)
-    assert len(coder.memo) == 5 and coder.encode(texts) == first
+    assert len(coder.pieces) == len(coder.words) == 5 and coder.encode(texts) == first
 
 
 # Runs
