@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import text as X
 from ..functions.wordlists import (
+    LESS_WORDS,
+    MORE_WORDS,
     NEGATIONS,
     NEGATIVE_CLEANED,
     NEGATIVE_RAW,
     POSITIVE_CLEANED,
     POSITIVE_RAW,
     PUNCTUATION,
+    VALENCE_NEGATIONS,
 )
 from ..operators import aggregates as A
 from ..operators import text as H
@@ -171,20 +174,51 @@ WEIGHTS = (("the", 0.5, 0.4), ("los", -0.8, 0.9), ("und", 0.2, 0.1), ("eau", -0.
 
 
 def polarity_sql(weights) -> str:
+    """Mean polarity with negation, and valence by the published rules, place by place."""
     values = ", ".join(f"({sql_string(t)}, {p}::DOUBLE, {s}::DOUBLE)" for t, p, s in weights)
+    edges = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+    bare = f"regexp_replace(w, '{edges}', '', 'g')"
+    before = lambda d: f"t[i - {d} + 1]"
+    step = lambda v, d: (
+        f"CASE WHEN i < {d} OR list_contains(places, i - {d}) THEN {v} ELSE ({v} + (CASE WHEN {v} < 0 THEN -degree{d} ELSE degree{d} END"
+        f" + CASE WHEN degree{d} <> 0 AND loud{d} AND some_loud THEN CASE WHEN {v} > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END) * {(1.0, 0.95, 0.9)[d - 1]}) * factor{d} END"
+    )
+    degree = lambda w: f"CASE WHEN {w} IN {sql_list(MORE_WORDS)} THEN 0.293 WHEN {w} IN {sql_list(LESS_WORDS)} THEN -0.293 ELSE 0 END::DOUBLE"
+    negates = lambda w: f"({w} IN {sql_list(VALENCE_NEGATIONS)} OR contains({w}, 'n''t'))"
+    so = lambda w: f"{w} IN ('so', 'this')"
+    loud = lambda w: f"(upper({w}) = {w} AND lower({w}) <> {w})"
     return f"""
 lex AS (SELECT * FROM (VALUES {values}) l(term, polarity, subjectivity)),
 p0 AS (SELECT review_id, regexp_extract_all(lower(review_text), '[{X.WORD}'']+') AS t FROM review_docs),
 p1 AS (SELECT review_id, unnest(t) AS term, unnest(list_transform(range(len(t)), lambda i: CASE WHEN i = 0 THEN '' ELSE t[i] END)) AS prev FROM p0),
-p2 AS (SELECT review_id, polarity, subjectivity, prev IN {sql_list(NEGATIONS)} AS neg FROM p1 LEFT JOIN lex USING (term)),
-p3 AS (SELECT *, polarity * 1.9 * CASE WHEN neg THEN -0.74 ELSE 1 END AS val FROM p2),
-p4 AS (SELECT review_id, count(*) AS n, count(polarity) AS hits, coalesce(sum(polarity * CASE WHEN neg THEN -0.5 ELSE 1 END), 0) AS ps,
-  coalesce(sum(subjectivity), 0) AS ss, coalesce(sum(val), 0) AS vs, coalesce(sum(val + 1) FILTER (WHERE val > 0), 0) AS up,
-  coalesce(sum(val - 1) FILTER (WHERE val < 0), 0) AS down FROM p3 GROUP BY 1)
+p2 AS (SELECT review_id, polarity, subjectivity, prev IN {sql_list(NEGATIONS)} AS neg FROM p1 JOIN lex USING (term)),
+p4 AS (SELECT review_id, count(polarity) AS hits, coalesce(sum(polarity * CASE WHEN neg THEN -0.5 ELSE 1 END), 0) AS ps, coalesce(sum(subjectivity), 0) AS ss FROM p2 GROUP BY 1),
+v0 AS (SELECT review_id, review_text, list_transform({sql_words("review_text")}, lambda w: CASE WHEN length({bare}) <= 2 THEN w ELSE {bare} END) AS t FROM review_docs),
+v1 AS (SELECT *, list_transform(t, lambda w: lower(w)) AS l, len(list_filter(t, lambda w: {loud("w")})) AS n_loud FROM v0),
+v2 AS (SELECT *, n_loud > 0 AND n_loud < len(t) AS some_loud, list_position(l, 'but') - 1 AS but FROM v1),
+h0 AS (SELECT review_id, unnest(range(len(t))) AS i, unnest(l) AS term FROM v2),
+h1 AS (SELECT review_id, i, polarity * 1.9 AS v FROM h0 JOIN lex USING (term)),
+h2 AS (SELECT review_id, list(i) AS places FROM h1 GROUP BY 1),
+h3 AS (SELECT h1.review_id, i, v, t, l, some_loud, but, places,
+  {", ".join(f"coalesce({degree(f'l[i - {d} + 1]')}, 0) AS degree{d}, coalesce({loud(before(d))}, false) AS loud{d}" for d in (1, 2, 3))},
+  CASE WHEN {negates("l[i]")} THEN -0.74 ELSE 1 END::DOUBLE AS factor1,
+  CASE WHEN l[i - 1] = 'never' AND {so("l[i]")} THEN 1.25 WHEN l[i - 1] = 'without' AND l[i] = 'doubt' THEN 1 WHEN {negates("l[i - 1]")} THEN -0.74 ELSE 1 END::DOUBLE AS factor2,
+  CASE WHEN l[i - 2] = 'never' AND ({so("l[i - 1]")} OR {so("l[i]")}) THEN 1.25 WHEN l[i - 2] = 'without' AND (l[i - 1] = 'doubt' OR l[i] = 'doubt') THEN 1 WHEN {negates("l[i - 2]")} THEN -0.74 ELSE 1 END::DOUBLE AS factor3
+  FROM h1 JOIN v2 USING (review_id) JOIN h2 USING (review_id)),
+s0 AS (SELECT *, v + CASE WHEN some_loud AND {loud("t[i + 1]")} THEN sign(v) * 0.733 ELSE 0 END AS x0 FROM h3),
+s1 AS (SELECT *, {step("x0", 1)} AS x1 FROM s0), s2 AS (SELECT *, {step("x1", 2)} AS x2 FROM s1), s3 AS (SELECT *, {step("x2", 3)} AS x3 FROM s2),
+s4 AS (SELECT review_id, CASE WHEN {degree("l[i + 1]")} <> 0 OR coalesce(l[i + 1] = 'kind' AND l[i + 2] = 'of', false) THEN 0 ELSE
+  x3 * CASE WHEN i > 0 AND NOT list_contains(places, i - 1) AND l[i] = 'least' AND NOT coalesce(i > 1 AND l[i - 1] IN ('at', 'very'), false) THEN -0.74 ELSE 1 END
+  * CASE WHEN but IS NULL OR but < 0 THEN 1 WHEN i < but THEN 0.5 WHEN i > but THEN 1.5 ELSE 1 END END AS x FROM s3),
+s5 AS (SELECT review_id, sum(x) AS vs, coalesce(sum(x + 1) FILTER (WHERE x > 0), 0) AS up, coalesce(sum(x - 1) FILTER (WHERE x < 0), 0) AS down, count(*) FILTER (WHERE x <> 0) AS felt FROM s4 GROUP BY 1),
+s6 AS (SELECT v2.review_id, coalesce(vs, 0) AS vs, coalesce(up, 0) AS up, coalesce(down, 0) AS down, len(t) - coalesce(felt, 0) AS n,
+  least({count_char('!')}, 4) * 0.292 + CASE WHEN {count_char('?')} <= 1 THEN 0 WHEN {count_char('?')} <= 3 THEN ({count_char('?')}) * 0.18 ELSE 0.96 END AS amp
+  FROM v2 LEFT JOIN s5 USING (review_id)),
+s7 AS (SELECT review_id, n, vs + sign(vs) * amp AS vs, up + CASE WHEN up > -down THEN amp ELSE 0 END AS up, down - CASE WHEN up < -down THEN amp ELSE 0 END AS down FROM s6)
 SELECT r.review_id, round(coalesce(ps / nullif(hits, 0), 0), 6) AS sent_textblob_polarity, round(coalesce(ss / nullif(hits, 0), 0), 6) AS sent_textblob_subjectivity,
- round(coalesce(up / nullif(up - down + n - hits, 0), 0), 6) AS sent_vader_positive, round(coalesce(-down / nullif(up - down + n - hits, 0), 0), 6) + 0.0::DOUBLE AS sent_vader_negative,
- round(coalesce((n - hits) / nullif(up - down + n - hits, 0), 0), 6) AS sent_vader_neutral, round(coalesce(vs / sqrt(vs * vs + 15), 0), 6) AS sent_vader_compound
-FROM review_docs r LEFT JOIN p4 USING (review_id)"""
+ round(coalesce(up / nullif(up - down + n, 0), 0), 6) AS sent_vader_positive, round(coalesce(-down / nullif(up - down + n, 0), 0), 6) + 0.0::DOUBLE AS sent_vader_negative,
+ round(coalesce(n / nullif(up - down + n, 0), 0), 6) AS sent_vader_neutral, round(coalesce(vs / sqrt(vs * vs + 15), 0), 6) AS sent_vader_compound
+FROM review_docs r LEFT JOIN p4 USING (review_id) LEFT JOIN s7 USING (review_id)"""
 
 
 POLARITY = polarity_sql(WEIGHTS)

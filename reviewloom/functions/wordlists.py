@@ -30,6 +30,37 @@ NEGATIONS = (
     "not", "no", "nor", "neither", "never", "none", "nobody", "nothing", "nowhere",
 )
 
+# The published word lists of the valence rules, for negation and for more and less of a degree.
+VALENCE_NEGATIONS = (
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt",
+    "ain't", "aren't", "can't", "couldn't", "daren't", "didn't", "doesn't",
+    "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither",
+    "don't", "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't",
+    "neednt", "needn't", "never", "none", "nope", "nor", "not", "nothing",
+    "nowhere", "oughtnt", "shant", "shouldnt", "uhuh", "wasnt", "werent",
+    "oughtn't", "shan't", "shouldn't", "uh-uh", "wasn't", "weren't", "without",
+    "wont", "wouldnt", "won't", "wouldn't", "rarely", "seldom", "despite",
+)
+MORE_WORDS = (
+    "absolutely", "amazingly", "awfully", "completely", "considerable",
+    "considerably", "decidedly", "deeply", "effing", "enormous", "enormously",
+    "entirely", "especially", "exceptional", "exceptionally", "extreme",
+    "extremely", "fabulously", "flipping", "flippin", "frackin", "fracking",
+    "fricking", "frickin", "frigging", "friggin", "fully", "fuckin", "fucking",
+    "fuggin", "fugging", "greatly", "hella", "highly", "hugely", "incredible",
+    "incredibly", "intensely", "major", "majorly", "more", "most",
+    "particularly", "purely", "quite", "really", "remarkably", "so",
+    "substantially", "thoroughly", "total", "totally", "tremendous",
+    "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly",
+    "very",
+)
+LESS_WORDS = (
+    "almost", "barely", "hardly", "kinda", "kindof", "kind-of", "less", "little",
+    "marginal", "marginally", "occasional", "occasionally", "partly", "scarce",
+    "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof", "sort-of",
+)
+DOUBT_WORDS = ("doubt",)
+
 # Stop words that are kept because they carry polarity.
 KEPT_STOP_WORDS = ("not", "no", "nor", "neither", "never", "none")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import labels as L
 from ..functions import text as X
+from ..functions import valence as V
 from ..functions.wordlists import (
     NEGATIONS,
     NEGATIVE_CLEANED,
@@ -132,10 +133,8 @@ def lexicon_counts(
     )
 
 
-# Published damping of a negated word, for mean polarity and for valence sums.
+# Published damping of a negated word in mean polarity; valence of a word of polarity 1.
 NEGATED_POLARITY = -0.5
-NEGATED_VALENCE = -0.74
-VALENCE_NORM = 15.0
 VALENCE_WORD = 1.9
 
 
@@ -146,28 +145,21 @@ def default_lexicon() -> dict[str, tuple[float, float]]:
     return terms
 
 
+_SUMS = ("hits", "polarity_sum", "subjectivity_sum")
+
+
 def _polarity_totals(polarity: Column, subjectivity: Column, negated: Column, count) -> dict:
-    valence = polarity * VALENCE_WORD * F.when(negated, NEGATED_VALENCE).otherwise(1.0)
     return {
         "hits": count,
         "polarity_sum": polarity * F.when(negated, NEGATED_POLARITY).otherwise(1.0),
         "subjectivity_sum": subjectivity,
-        "valence_sum": valence,
-        "up": F.when(valence > 0, valence + 1).otherwise(0.0),
-        "down": F.when(valence < 0, valence - 1).otherwise(0.0),
     }
 
 
-def _polarity_columns(get, tokens: Column, prefix: str) -> dict[str, Column]:
-    hits, valence = get("hits"), get("valence_sum")
-    whole = get("up") - get("down") + (tokens - hits)
+def _polarity_columns(get, prefix: str) -> dict[str, Column]:
     return {
-        f"{prefix}textblob_polarity": _ratio(get("polarity_sum"), hits),
-        f"{prefix}textblob_subjectivity": _ratio(get("subjectivity_sum"), hits),
-        f"{prefix}vader_positive": _ratio(get("up"), whole),
-        f"{prefix}vader_negative": _ratio(-get("down"), whole),
-        f"{prefix}vader_neutral": _ratio(tokens - hits, whole),
-        f"{prefix}vader_compound": valence / F.sqrt(valence * valence + VALENCE_NORM),
+        f"{prefix}textblob_polarity": _ratio(get("polarity_sum"), get("hits")),
+        f"{prefix}textblob_subjectivity": _ratio(get("subjectivity_sum"), get("hits")),
     }
 
 
@@ -205,63 +197,78 @@ def polarity_totals(text: Column, lexicon: Mapping[str, tuple[float, float]]) ->
         parts = _polarity_totals(weigh(hit, 0), weigh(hit, 1), negated, F.lit(1.0))
         return F.struct(*[v.alias(k) for k, v in parts.items()])
 
-    names = ("hits", "polarity_sum", "subjectivity_sum", "valence_sum", "up", "down")
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in _SUMS])
     return F.aggregate(
         F.transform(hits, row),
         zero,
-        lambda acc, r: F.struct(*[(acc[n] + r[n]).alias(n) for n in names]),
+        lambda acc, r: F.struct(*[(acc[n] + r[n]).alias(n) for n in _SUMS]),
     )
 
 
+def _listed_hits(tokens: Column, lexicon: Mapping[str, tuple[float, float]]) -> Column:
+    """(pos, v) of the tokens in the lexicon."""
+    groups: dict[float, list[str]] = {}
+    for term, (polarity, _) in lexicon.items():
+        groups.setdefault(polarity * VALENCE_WORD, []).append(term)
+
+    def weigh(w: Column, at: Column) -> Column:
+        v = F.lit(None).cast("double")
+        for value, terms in groups.items():
+            v = F.when(F.lower(w).isin(terms), value).otherwise(v)
+        return F.struct(at.alias("pos"), v.alias("v"))
+
+    return F.filter(F.transform(tokens, weigh), lambda x: x["v"].isNotNull())
+
+
 def row_polarity(
     df: DataFrame, col: str = "review_text",
     lexicon: Mapping[str, tuple[float, float]] | None = None, prefix: str = "sent_", keep=None,
 ) -> DataFrame:
-    """Add the polarity scores of a text column; ``keep`` names those wanted, else all."""
-    text = X.text_or_empty(F.col(col))
-    staged = df.withColumns(
-        {
-            "__p": polarity_totals(text, lexicon or default_lexicon()),
-            "__n": X.count_pattern(text, rf"[{X.WORD}']+").cast("double"),
-        }
-    )
-    columns = _polarity_columns(lambda n: F.col(f"__p.{n}"), F.col("__n"), prefix)
+    """Add the polarity and valence scores of a text column; ``keep`` names those wanted, else all."""
+    text, lexicon = X.text_or_empty(F.col(col)), lexicon or default_lexicon()
+    df = df.withColumn("__p", polarity_totals(text, lexicon))
+    columns = _polarity_columns(lambda n: F.col(f"__p.{n}"), prefix)
+    if keep is None or any("vader" in k for k in keep):
+        df = df.withColumn("__w", V.valence_words(text))
+        df = df.withColumn("__v", V.valence(text, V.marked_words(F.col("__w")), _listed_hits(F.col("__w"), lexicon)))
+        columns |= V.valence_columns(F.col("__v"), prefix)
     wanted = {k: v for k, v in columns.items() if keep is None or k in keep}
-    return staged.withColumns(wanted).drop("__p", "__n")
+    return df.withColumns(wanted).drop("__p", "__w", "__v")
 
 
 def lexicon_polarity(
     df: DataFrame, lexicon: DataFrame, col: str = "review_text", key: str = "review_id",
     prefix: str = "sent_",
 ) -> DataFrame:
-    """Polarity scores per review from a (term, polarity, subjectivity) table of any size.
+    """Polarity and valence scores per review from a (term, polarity, subjectivity) table of any size.
 
-    A sentiment word right after a negation counts as negated. Tokens are counted in their row;
-    only those that the table holds are kept, by an inner join, which Spark can split where a
-    frequent word is a hot key, and their scores are summed per task before the shuffle.
+    For polarity a word right after a negation counts as negated. Only tokens that the table holds are
+    kept, by an inner join, which Spark can split where a frequent word is a hot key. Polarities are summed per task before the
+    shuffle; valences come back to the review as (place, valence), where the rules are applied to its text.
     """
-    tokens = _score_tokens(X.text_or_empty(F.col(col)))
+    text = X.text_or_empty(F.col(col))
     negated = F.coalesce(F.col("b1").isin(list(NEGATIONS)), F.lit(False))
-    exploded = X.neighbours(df, tokens, key, before=1).select(
+    exploded = X.neighbours(df, _score_tokens(text), key, before=1).select(
         key, F.col("w0").alias("term"), negated.alias("negated")
     )
     parts = _polarity_totals(F.col("polarity"), F.col("subjectivity"), F.col("negated"), F.lit(1.0))
-    hits = (
+    sums = (
         exploded.join(lexicon, "term")
         .groupBy(key)
-        .agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(k) for k, v in parts.items()])
+        .agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"__{k}") for k, v in parts.items()])
     )
-    sizes = df.select(key, F.size(tokens).cast("double").alias("tokens")).where(F.col("tokens") > 0)
-    totals = sizes.join(hits, key, "left").na.fill({k: 0.0 for k in parts})
-    scored = totals.select(
-        key, *[v.alias(k) for k, v in _polarity_columns(F.col, F.col("tokens"), prefix).items()]
+    places = df.select(key, F.posexplode(V.valence_words(text)).alias("pos", "w")).select(key, "pos", F.lower("w").alias("term"))
+    weighed = places.join(lexicon.where(F.col("polarity").isNotNull()), "term")
+    hits = weighed.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("pos", (F.col("polarity") * VALENCE_WORD).alias("v")))).alias("__h")
     )
-    zeros = {c: 0.0 for c in scored.columns if c != key}
-    return df.join(scored, key, "left").na.fill(zeros)
+    joined = df.join(sums, key, "left").join(hits, key, "left").na.fill({f"__{k}": 0.0 for k in parts})
+    none = F.array().cast("array<struct<pos:int,v:double>>")
+    sums = V.valence(text, V.marked_words(V.valence_words(text)), F.coalesce("__h", none))
+    columns = _polarity_columns(lambda n: F.col(f"__{n}"), prefix) | V.valence_columns(F.col("__v"), prefix)
+    return joined.withColumn("__v", sums).withColumns(columns).drop("__h", "__v", *[f"__{k}" for k in parts])
 
 
-# The published weights of the readability formulas.
 def readability(
     df: DataFrame, col: str = "review_text", easy_words: Sequence[str] | None = None,
     prefix: str = "read_",
