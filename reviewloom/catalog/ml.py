@@ -12,6 +12,7 @@ from ..operators import joins as C
 from ..operators import ml as J
 from ..operators import ranking as R
 from ..operators import udfs as O
+from ..operators.kernels import train_kernel_svm
 from ..plans.scratch import materialize, scratch_path
 from ..sources import readers, writers
 from ..schema import SENTIMENTS
@@ -73,6 +74,19 @@ def _(v):
     return _tested(J.train_linear_svm(features.where("is_train")), features)
 
 
+@query("train_kernel_svm")
+def _(v):
+    """Predictions and probabilities of the rows that were not learned from."""
+    features, _ = _features(v)
+    model = train_kernel_svm(features.where("is_train"), folds=3)
+    scored = model.transform(features.where(~F.col("is_train")))
+    p = vector_to_array("probability")
+    return scored.select(
+        "review_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+        *[F.get(p, F.lit(c)).alias(f"p_{name}") for c, name in enumerate(SENTIMENTS)],
+    )
+
+
 @query("predict")
 def _(v):
     return _scored(v, J.predict).select("review_id", "predicted_sentiment")

@@ -27,6 +27,7 @@ from ..functions.text import GRAM_TOKEN
 from ..plans.ordered import rank_by_hash
 from ..plans.scratch import materialize
 from .evaluation import headline_metrics
+from .kernels import with_class_weights
 from .neighbours import mutual_information
 
 
@@ -71,19 +72,24 @@ def tfidf_vectorize(
 
 
 def train_random_forest(
-    features: DataFrame, n: int = 100, seed: int = 42, max_depth: int = 30, label: str = "label"
+    features: DataFrame, n: int = 100, seed: int = 42, max_depth: int = 30, label: str = "label", balanced: bool = False
 ) -> Model:
-    """A forest of n trees; 30 is the largest depth that Spark grows."""
+    """A forest of n trees; 30 is the largest depth that Spark grows. ``balanced`` weighs classes alike."""
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=n, seed=seed, maxDepth=max_depth,
         maxMemoryInMB=1024, cacheNodeIds=False,
     )
+    if balanced:
+        return forest.setWeightCol("weight").fit(with_class_weights(features, label))
     return forest.fit(features)
 
 
-def train_linear_svm(features: DataFrame, label: str = "label", iterations: int = 50) -> Model:
+def train_linear_svm(features: DataFrame, label: str = "label", iterations: int = 50, balanced: bool = False) -> Model:
     svm = LinearSVC(featuresCol="features", maxIter=iterations, regParam=0.01)
-    return OneVsRest(classifier=svm, featuresCol="features", labelCol=label).fit(features)
+    machine = OneVsRest(classifier=svm, featuresCol="features", labelCol=label)
+    if balanced:
+        return machine.setWeightCol("weight").fit(with_class_weights(features, label))
+    return machine.fit(features)
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
