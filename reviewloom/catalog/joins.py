@@ -59,6 +59,20 @@ def _(v):
     )
 
 
+PATTERNS = ("t[ih]on", r"\bthe\b", "e.u$", "los|den", r"[xyz]\d", "z+a", "(ab|cd)e", r"\d{3}-\d", "QU(E|I)", "^a", "nowhere at all")
+
+
+@query(
+    "topic_mentions_patterns",
+    f"""SELECT review_id, topic FROM cleaned, (SELECT unnest([{", ".join(f"'{p}'" for p in PATTERNS)}]) AS topic)
+     WHERE regexp_matches(cleaned_text, '(?i)' || topic)""",
+    "cleaned",
+)
+def _(v):
+    topics = v.spark.createDataFrame([(p,) for p in PATTERNS], "topic string")
+    return C.topic_mentions(v.cleaned.select("review_id", "cleaned_text"), topics, regex=True).select("review_id", "topic")
+
+
 @query(
     "lexicon_join",
     f"""WITH w AS (SELECT review_id, unnest({sql_words("lower(cleaned_text)")}) AS term FROM cleaned)

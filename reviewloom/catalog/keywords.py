@@ -66,12 +66,19 @@ def _(v):
 
 @query(
     "category_keyword_pivot",
-    f"WITH {CATEGORY}, top5 AS (SELECT category, term, score FROM ck WHERE sentiment = 'all' AND rank <= 5)"
-    " SELECT term, round(coalesce(COLUMNS(* EXCLUDE (term)), 0), 6) FROM (PIVOT top5 ON category USING avg(score) GROUP BY term)",
+    f"""WITH {CATEGORY}, top5 AS (SELECT category, term, score FROM ck WHERE sentiment = 'all' AND rank <= 5),
+    g AS (SELECT term, category, avg(score) AS score FROM top5 GROUP BY 1, 2),
+    p AS (SELECT t.term, c.category, coalesce(g.score, 0) AS score FROM (SELECT DISTINCT term FROM top5) t CROSS JOIN (SELECT DISTINCT category FROM top5) c
+     LEFT JOIN g ON g.term = t.term AND g.category = c.category)
+    SELECT term, string_agg(category || '=' || CAST(CAST(floor(score * 1000000 + 0.5) AS BIGINT) AS VARCHAR), ',' ORDER BY category) AS cells FROM p GROUP BY 1""",
     "cleaned",
 )
 def _(v):
-    return T.category_keyword_pivot(M.category_keywords(v.stage))
+    """The columns of the pivot, in millionths, as one text, as their names come from the data."""
+    pivoted = T.category_keyword_pivot(M.category_keywords(v.stage))
+    names = sorted(c for c in pivoted.columns if c != "term")
+    cells = [F.concat(F.lit(f"{c}="), F.floor(F.col(f"`{c}`") * 1000000 + 0.5).cast("string")) for c in names]
+    return pivoted.select("term", F.concat_ws(",", *cells).alias("cells"))
 
 
 @query(

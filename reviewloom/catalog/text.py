@@ -101,6 +101,42 @@ def _(v):
     return H.lemmatize(v.cleaned.select("review_id", "cleaned_text"), lemma_table=lemmas)
 
 
+def _endings_sql(form):
+    cut = ", ".join(
+        f"CASE WHEN ends_with({form}, '{old}') THEN left({form}, length({form}) - {len(old)}) || '{new}' END" for old, new in H.NOUN_ENDINGS
+    )
+    return f"list_filter([{cut}], lambda e: e IS NOT NULL)"
+
+
+# Irregular forms, as an exception list has them; some lemmas are words of the corpus, some are not.
+IRREGULAR = (("los", "the"), ("des", "de"), ("des", "den"), ("les", "nowhere"), ("mice", "mouse"))
+
+
+@query(
+    "lemmatize_forms",
+    f"""WITH t AS (SELECT review_id, regexp_extract_all(cleaned_text, '[{X.WORD}]+|[^{X.WORD}{X.SPACE}]') AS t FROM cleaned),
+    w AS (SELECT review_id, unnest(t) AS form, unnest(range(len(t))) AS pos FROM t),
+    k AS (SELECT form AS lemma FROM w WHERE length(form) >= 2 GROUP BY 1 HAVING count(DISTINCT review_id) >= 20),
+    x AS (SELECT form, list(DISTINCT lemma) AS listed FROM (VALUES {", ".join(f"('{f}', '{b}')" for f, b in IRREGULAR)}) v(form, lemma) GROUP BY 1),
+    f AS (SELECT DISTINCT form FROM w),
+    a AS (SELECT f.form, listed IS NOT NULL AS excepted, list_concat([f.form], coalesce(listed, {_endings_sql("f.form")})) AS c FROM f LEFT JOIN x USING (form)),
+    b AS (SELECT form, unnest(c) AS lemma, unnest(range(len(c))) AS place FROM a),
+    o AS (SELECT form, arg_min(lemma, {{'n': length(lemma), 'p': place}}) AS lemma FROM b JOIN k USING (lemma) GROUP BY 1),
+    r AS (WITH RECURSIVE q AS (SELECT form, 1 AS round, unnest(c[2:]) AS lemma FROM a WHERE NOT excepted AND form NOT IN (SELECT form FROM o)
+     UNION SELECT form, round + 1, e FROM (SELECT form, round, unnest({_endings_sql("lemma")}) AS e FROM q)) SELECT * FROM q),
+    l AS (SELECT * FROM o UNION ALL SELECT form, arg_min(lemma, {{'r': round, 'n': length(lemma), 'l': lemma}}) FROM r JOIN k USING (lemma) WHERE round > 1 GROUP BY 1),
+    j AS (SELECT review_id, string_agg(coalesce(lemma, form), ' ' ORDER BY pos) AS s FROM w LEFT JOIN l USING (form) GROUP BY 1)
+    SELECT review_id, coalesce(s, '') AS cleaned_text FROM cleaned LEFT JOIN j USING (review_id)""",
+    "cleaned",
+)
+def _(v):
+    """The words of twenty reviews or more are taken as the base forms."""
+    df = v.stage.select("review_id", "cleaned_text")
+    words = df.select("review_id", F.explode(X.word_and_mark_tokens(F.col("cleaned_text"))).alias("form")).where(F.length("form") >= 2)
+    base = words.distinct().groupBy("form").agg(F.count(F.lit(1)).alias("n")).where("n >= 20").select("form")
+    return H.lemmatize(df, lemma_table=v.spark.createDataFrame(list(IRREGULAR), "form string, lemma string"), base_forms=base)
+
+
 @query(
     "preprocess",
     f"""WITH {NEGATED}, s AS (SELECT review_id, {STOPPED} AS s FROM negated)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import labels as L
+from ..functions.patterns import required_literals
 from ..functions.text import bind, exploded, text_or_empty, words
 from ..plans.ordered import top_rows
+from ..plans.scratch import materialize
 
 
 def weekly_sentiment_share(df: DataFrame) -> DataFrame:
@@ -70,40 +73,79 @@ def text_key(col: str) -> Column:
     return F.xxhash64(F.lower(text_or_empty(F.col(col))))
 
 
-def _table_mentions(df: DataFrame, topics: DataFrame, col: str) -> DataFrame:
-    """Mentions of a table of topics of any length.
+def _candidates(df: DataFrame, literals: DataFrame, col: str) -> DataFrame:
+    """(__topic_text, topic): the keys of texts that may hold a literal of the topic, from (topic, literal).
 
-    Every topic is looked up by one piece of up to three characters, the one that the fewest
-    texts hold. Pieces and topics meet in an equi-join without the texts; candidates are joined
-    to the rows by the key of their text and verified there. A piece of many texts is
-    looked up only by topics that have no rarer one.
+    Every literal is looked up by one piece of up to three characters, the one that the fewest
+    texts hold. Pieces and literals meet in an equi-join without the texts. A piece of many texts is
+    looked up only by literals that have no rarer one. Texts are cut only into pieces of the sizes that occur.
     """
     lowered = F.lower(text_or_empty(F.col(col)))
-    wanted = topics.select("topic").where(F.length("topic") > 0).distinct()
-    size = F.least(F.length("topic"), F.lit(3))
-    by_size = F.when(size == 1, _pieces(F.lower("topic"), 1)).when(size == 2, _pieces(F.lower("topic"), 2))
-    of_topic = wanted.select("topic", F.explode(by_size.otherwise(_pieces(F.lower("topic"), 3))).alias("piece"))
-    all_pieces = F.concat(*[_pieces(lowered, n) for n in (1, 2, 3)])
-    texts = df.select(text_key(col).alias("__topic_text"), F.explode(all_pieces).alias("piece"))
-    used = texts.join(of_topic.select("piece").distinct(), "piece")
+    size = F.least(F.length("literal"), F.lit(3))
+    sizes = sorted(r[0] for r in literals.select(size).distinct().collect())  # of 1, 2 and 3
+    if not sizes:
+        return literals.select(F.lit(0).cast("long").alias("__topic_text"), "topic").limit(0)
+    by_size = reduce(lambda other, n: F.when(size == n, _pieces(F.col("literal"), n)).otherwise(other), sizes, F.lit(None))
+    pieces = literals.select("topic", "literal", F.explode(by_size).alias("piece"))
+    texts = df.select(text_key(col).alias("__topic_text"), F.explode(F.concat(*[_pieces(lowered, n) for n in sizes])).alias("piece"))
+    used = texts.join(pieces.select("piece").distinct(), "piece")
     counted = used.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    rarest = of_topic.join(counted, "piece").groupBy("topic").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
-    candidates = used.join(rarest, "piece").select("__topic_text", "topic").distinct()
+    rarest = pieces.join(counted, "piece").groupBy("topic", "literal").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+    return used.join(rarest.select("topic", "piece").distinct(), "piece").select("__topic_text", "topic").distinct()
+
+
+def _table_mentions(df: DataFrame, topics: DataFrame, col: str) -> DataFrame:
+    """Mentions of a table of topics of any length: candidates are joined to the rows by the key of their text and verified there."""
+    lowered = F.lower(text_or_empty(F.col(col)))
+    wanted = topics.select("topic").where(F.length("topic") > 0).distinct()
+    candidates = _candidates(df, wanted.select("topic", F.lower("topic").alias("literal")), col)
     keyed = df.withColumn("__topic_text", text_key(col))
     return keyed.join(candidates, "__topic_text").where(F.contains(lowered, F.lower("topic"))).drop("__topic_text")
 
 
+#: Patterns without a literal that a row is tested against at a time.
+PATTERN_BLOCK = 200
+
+
+def _table_pattern_mentions(df: DataFrame, topics: DataFrame, col: str) -> DataFrame:
+    """Mentions of a table of patterns.
+
+    A pattern that needs one of some literals is a candidate where one of them may occur. Others are packed into blocks,
+    and every text is tested against every block: there is no key to find them by.
+    """
+    lowered = F.lower(text_or_empty(F.col(col)))
+
+    @F.udf("array<string>", useArrow=True)
+    def literals(pattern):
+        return required_literals(pattern)
+
+    wanted = topics.select("topic").where(F.length("topic") > 0).distinct().withColumn("literals", literals("topic"))
+    wanted = materialize(wanted, "patterns")
+    keyed = df.withColumn("__topic_text", text_key(col))
+    bound = wanted.where(F.col("literals").isNotNull()).select("topic", F.explode("literals").alias("literal"))
+    matches = lambda topic: F.rlike(lowered, F.concat(F.lit("(?i)"), topic))
+    found = keyed.join(_candidates(df, bound, col), "__topic_text").where(matches(F.col("topic"))).drop("__topic_text")
+    free = wanted.where(F.col("literals").isNull()).select("topic")
+    blocks = -(-free.count() // PATTERN_BLOCK)
+    if not blocks:
+        return found
+    block = F.pmod(F.xxhash64("topic"), F.lit(blocks)).cast("int")
+    packed = free.groupBy(block.alias("__block")).agg(F.collect_list("topic").alias("__patterns"))
+    each = df.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "__block")
+    tested = each.withColumn("topic", F.explode(F.filter("__patterns", matches))).drop("__block", "__patterns")
+    return found.unionByName(tested.select(*found.columns))
+
+
 def topic_mentions(
     df: DataFrame, topics: DataFrame | Sequence[str], col: str = "cleaned_text", regex: bool = False
 ) -> DataFrame:
     """One row per review and topic that occurs in its text, ignoring case; empty topics never do.
 
-    A given list is tested in the row; a table (topic) of any size is joined. Patterns have to be a list.
+    A given list is tested in the row; a table (topic) of any size, of words or of patterns, is joined.
     """
     if isinstance(topics, DataFrame):
-        if regex:
-            raise ValueError("patterns must be given as a list")
-        return _table_mentions(df.drop("topic"), topics, col).select(*[c for c in df.columns if c != "topic"], "topic")
+        mentions = _table_pattern_mentions if regex else _table_mentions
+        return mentions(df.drop("topic"), topics, col).select(*[c for c in df.columns if c != "topic"], "topic")
     found = bind(F.lower(text_or_empty(F.col(col))), lambda text: listed_topics(text, [t for t in topics if t], regex))
     return exploded(df.withColumn("topics", found), F.col("topics"), *df.columns, out="topic")
 

@@ -19,6 +19,7 @@ from ..functions.wordlists import (
     POSITIVE_CLEANED,
     POSITIVE_RAW,
 )
+from ..plans.scratch import materialize
 from ..schema import DEFAULTS, Settings
 from .filters import length_filter
 
@@ -42,29 +43,75 @@ handle_negations = _apply(X.handle_negations)
 remove_stopwords = _apply(X.remove_stopwords)
 
 
+# The published endings of English nouns and what they are replaced by.
+NOUN_ENDINGS = (
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
+)
+
+
+def _detached(form: Column) -> Column:
+    """What is left of a form by each ending that it has, in their order."""
+    cut = [
+        F.when(F.endswith(form, F.lit(old)), F.concat(F.substring(form, F.lit(1), F.length(form) - len(old)), F.lit(new)))
+        for old, new in NOUN_ENDINGS
+    ]
+    return F.array_compact(F.array(*cut))
+
+
+def noun_lemmas(forms: DataFrame, base_forms: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """(form, lemma) for distinct forms (form), those that have a lemma among the base forms (form).
+
+    Candidates are the form, with its lemmas in the exceptions (form, lemma) if it is there, else with the form less an ending.
+    The shortest that is a base form is the lemma, the form itself before others. Where none is, and the form is no
+    exception, endings are taken off again and again, and the first round with a base form counts.
+    """
+    known = base_forms.select(F.col("form").alias("lemma")).where(F.col("lemma").isNotNull()).distinct()
+    if exceptions is None:
+        listed = forms.withColumn("listed", F.lit(None).cast("array<string>"))
+    else:
+        given = exceptions.groupBy("form").agg(F.sort_array(F.collect_set("lemma")).alias("listed"))
+        listed = forms.join(given, "form", "left")
+    first = listed.withColumn("round", F.coalesce("listed", _detached(F.col("form"))))
+    first = first.select("form", F.col("listed").isNotNull().alias("excepted"), F.concat(F.array("form"), "round").alias("round"))
+    found = first.select("form", F.posexplode("round").alias("at", "lemma")).join(known, "lemma")
+    best = F.min(F.struct(F.length("lemma").alias("n"), "at", "lemma"))["lemma"].alias("lemma")
+    once = materialize(found.groupBy("form").agg(best), "lemmas")
+
+    def again(state: Column, number: Column) -> Column:
+        last = F.array_distinct(F.flatten(F.transform(state["last"], _detached)))
+        new = F.transform(last, lambda c: F.struct(number.alias("round"), c.alias("lemma")))
+        return F.struct(last.alias("last"), F.concat(state["all"], new).alias("all"))
+
+    rest = first.where(~F.col("excepted") & (F.size("round") > 1)).join(once, "form", "left_anti")
+    start = F.struct(F.slice("round", 2, F.size("round") - 1).alias("last"), F.array().cast("array<struct<round:int,lemma:string>>").alias("all"))
+    deeper = rest.select("form", F.inline(F.aggregate(F.sequence(F.lit(2), F.length("form")), start, again, lambda state: state["all"])))
+    later = deeper.join(known, "lemma").groupBy("form").agg(F.min(F.struct("round", F.length("lemma").alias("n"), "lemma"))["lemma"].alias("lemma"))
+    return once.unionByName(later)
+
+
 def lemmatize(
     df: DataFrame, col: str = "cleaned_text", out: str | None = None,
-    lemma_table: DataFrame | None = None, key: str = "review_id",
+    lemma_table: DataFrame | None = None, key: str = "review_id", base_forms: DataFrame | None = None,
 ) -> DataFrame:
-    """Noun lemmas: regular plural rules, or a (form, lemma) table first where given.
+    """Noun lemmas: regular plural rules, a (form, lemma) table first where given.
 
-    Only texts with a listed form are taken apart; the planner broadcasts the table
-    when its size allows.
+    With a table of base forms (form), endings are taken off only where that leads to one of them, and
+    the given table holds the exceptions; every distinct form is looked up once. The planner broadcasts tables
+    when their size allows.
     """
     out = out or col
-    if lemma_table is None:
+    if lemma_table is None and base_forms is None:
         return df.withColumn(out, X.singularize(F.col(col)))
     tokens = df.select(key, F.posexplode(X.word_and_mark_tokens(F.col(col))).alias("pos", "form"))
+    lemma = F.coalesce("lemma", X.singularize(F.col("form")))
+    if base_forms is not None:
+        found = noun_lemmas(tokens.select("form").distinct(), base_forms, lemma_table)
+        lemma_table = materialize(found.where(F.col("lemma") != F.col("form")), "lemmas")
+        lemma = F.coalesce("lemma", "form")
     lemmas = (
         tokens.join(lemma_table, "form", "left")
         .groupBy(key)
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("pos", F.coalesce("lemma", X.singularize(F.col("form"))).alias("w"))
-                )
-            ).alias("t")
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("pos", lemma.alias("w")))).alias("t"))
         .select(key, F.array_join(F.col("t.w"), " ").alias("__lemmas"))
     )
     return (
