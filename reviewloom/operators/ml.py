@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -10,8 +11,6 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    IDF,
-    CountVectorizer,
     ElementwiseProduct,
     Normalizer,
     SQLTransformer,
@@ -23,12 +22,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..functions.text import GRAM_TOKEN
+from ..functions.text import GRAM_TOKEN, gram_tokens
 from ..plans.ordered import rank_by_hash
 from ..plans.scratch import materialize
 from .evaluation import headline_metrics
 from .kernels import with_class_weights
 from .neighbours import mutual_information
+from .vocabulary import gram_vocabulary, vocabulary_counter
 
 
 def _gram_sql(text_col: str, lo: int, hi: int) -> str:
@@ -54,18 +54,16 @@ def tfidf_vectorize(
 ) -> PipelineModel:
     """Fit text -> L2-normalised TF-IDF ``features``.
 
-    Inverse document frequencies are ln((1+n)/(1+df)) + 1, so the weights Spark fits
-    are raised by one. Every stage is a built-in transformer and can be saved.
+    Inverse document frequencies are ln((1+n)/(1+df)) + 1, from the counts of the vocabulary.
+    Every stage is a built-in transformer and can be saved.
     """
     grams = SQLTransformer(statement=_gram_sql(text_col, *ngram_range))
-    staged = materialize(grams.transform(df.select(text_col)).select("grams"), "grams")
-    counter = CountVectorizer(
-        inputCol="grams", outputCol="counts", vocabSize=max_features, minDF=min_df, maxDF=max_df
-    ).fit(staged)
-    idf = IDF(inputCol="counts", outputCol="unused").fit(counter.transform(staged))
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="counts", outputCol="weighted"
-    )
+    words = gram_tokens(F.col(text_col)).alias("tokens")
+    tokens = materialize(df.select(F.monotonically_increasing_id().alias("doc"), words), "tokens")
+    terms, docs = gram_vocabulary(tokens, max_features, ngram_range, min_df, max_df, key="doc")
+    counter = vocabulary_counter([t for t, _ in terms])
+    idf = [math.log((1 + docs) / (1 + n)) + 1 for _, n in terms]
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted")
     unit = Normalizer(p=2.0, inputCol="weighted", outputCol="features")
     drop = SQLTransformer(statement="SELECT * EXCEPT (grams, counts, weighted) FROM __THIS__")
     return PipelineModel(stages=[grams, counter, scale, unit, drop])

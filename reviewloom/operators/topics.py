@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import exploded, text_or_empty, with_grams, words
+from ..functions.text import exploded, gram_tokens, ngrams, text_or_empty, with_grams, words
 from ..functions.wordlists import ENGLISH_STOP_WORDS
 from ..plans.ordered import top_rows
 from ..plans.scratch import materialize
@@ -20,6 +19,7 @@ from . import keywords as K
 from .aggregates import category_topics_summary, common_complaints, worst_category_insight
 from .density import NOISE, density_clusters
 from .joins import text_key, topic_mentions
+from .vocabulary import gram_vocabulary, vocabulary_counter
 
 
 def topic_tokens(df: DataFrame, text_col: str = "cleaned_text", ngram_range=(1, 2)) -> DataFrame:
@@ -30,16 +30,21 @@ def train_lda(
     df: DataFrame, k: int = 12, max_features: int = 5000, min_df: float = 5, max_df: float = 0.8,
     iterations: int = 10, seed: int = 42, text_col: str = "cleaned_text",
 ) -> PipelineModel:
-    """Vocabulary and online LDA in one model; both are fitted over all documents."""
-    counter = CountVectorizer(
-        inputCol="grams", outputCol="counts", vocabSize=max_features, minDF=min_df, maxDF=max_df
-    )
+    """Vocabulary and online LDA in one model; both are fitted over all documents.
+
+    The vocabulary comes from the written tokens; what LDA reads again and again are the counts of its terms.
+    """
+    words = gram_tokens(F.col(text_col), ENGLISH_STOP_WORDS).alias("tokens")
+    tokens = materialize(df.select("review_id", words), "tokens")
+    terms, _ = gram_vocabulary(tokens, max_features, (1, 2), min_df, max_df)
+    counter = vocabulary_counter([t for t, _ in terms])
+    counts = counter.transform(tokens.select("review_id", ngrams(F.col("tokens"), 1, 2).alias("grams")))
+    counts = materialize(counts.select("review_id", "counts"), "counts")
     lda = LDA(
         featuresCol="counts", k=k, optimizer="online", learningOffset=50.0, learningDecay=0.7,
         maxIter=iterations, seed=seed, subsamplingRate=1.0, optimizeDocConcentration=False,
     )
-    tokens = materialize(topic_tokens(df, text_col).select("review_id", "grams"), "grams")
-    return Pipeline(stages=[counter, lda]).fit(tokens)
+    return PipelineModel(stages=[counter, lda.fit(counts)])
 
 
 def lda_topics(model: PipelineModel, words_n: int = 10) -> DataFrame:
