@@ -39,8 +39,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Transformed statistics and the least deviation that each is given.
 FEATURES = {"word_length": 0.06, "symbols": 0.25, "capitals": 0.25, "dup_lines": 0.15, "repeats": 0.12}
 STARTS = 3
-#: Steps end when no log-determinant changes by more than TOLERANCE, or after STEPS.
-STEPS, TOLERANCE = 20, 0.01
+#: Steps end when no log-determinant changes by more than TOLERANCE.
+TOLERANCE = 0.01
 CUTOFF = 60.0
 PRIOR_SCATTER, PRIOR_CENTRE = 50.0, 10.0
 _BINS = 200.0
@@ -248,14 +248,22 @@ def _whiten(model: DataFrame) -> DataFrame:
 
 
 def _converge(vectors: DataFrame, model: DataFrame) -> DataFrame:
-    """Concentration steps until no determinant changes."""
-    for _ in range(STEPS):
+    """Concentration steps until no determinant changes.
+
+    A step follows from the bins that count, of which there are finitely many choices; should it come back to
+    determinants that it had before, it goes round in a circle, and ends too.
+    """
+    seen = set()
+    while True:
         before = model.select("lang", "source", "start", F.col("log_det").alias("before"))
         model = materialize(_concentrate(vectors, model), "model")
-        change = model.join(before, ["lang", "source", "start"]).agg(F.max(F.abs(F.col("log_det") - F.col("before")))).first()[0]
-        if change is None or change <= TOLERANCE:
-            break
-    return model
+        mark = F.sum(F.xxhash64("lang", "source", "start", F.round("log_det", 6)).cast("decimal(38,0)"))
+        change, state = (
+            model.join(before, ["lang", "source", "start"]).agg(F.max(F.abs(F.col("log_det") - F.col("before"))), mark).first()
+        )
+        if change is None or change <= TOLERANCE or state in seen:
+            return model
+        seen.add(state)
 
 
 def _estimate(vectors: DataFrame) -> DataFrame:
@@ -267,24 +275,6 @@ def _estimate(vectors: DataFrame) -> DataFrame:
     return materialize(_concentrate(vectors, _converge(vectors, best), reweight=True), "model")
 
 
-def _whiten(model: DataFrame) -> DataFrame:
-    """w = inverse of the Cholesky factor of a: a few columns of a table with a row per group."""
-    for i in range(_P):
-        for j in range(i + 1):
-            rest = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            value = F.col(f"a{i}{j}") - rest
-            model = model.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(1e-9))) if i == j else value / F.col(f"l{j}{j}"))
-    for j in range(_P):
-        for i in range(j, _P):
-            if i == j:
-                value = F.lit(1.0) / F.col(f"l{i}{i}")
-            else:
-                value = -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}")
-            model = model.withColumn(f"w{i}{j}", value)
-    log_det = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(_P)), F.lit(0.0)).alias("log_det")
-    return model.select("lang", "source", "start", *[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i, j in _PAIRS], log_det)
-
-
 def judge(docs: DataFrame, keep: list[str] | None = None, cutoff: float = CUTOFF) -> DataFrame:
     """The kept columns (all of docs, if not given; lang and source must be among them) in ``row``, the base statistics, base_failed, distance (null if base_failed) and kept.
 

@@ -10,9 +10,9 @@ group of one drops out after each pass; the groups left at the end are exactly t
   those with one anchor in one task. An anchor with very many different segments is
   settled by fingerprints of its windows instead, so no task gets an unbounded group.
 
-Defined cases: a null text is empty; documents shorter than ``size`` bytes keep all; a missing
-doc_id counts as the largest; rows with equal doc_id count as one document, in order of text;
-matches never cross documents and may overlap.
+Defined cases: a null text is empty; documents shorter than ``size`` bytes keep all; rows
+with equal doc_id count as one document, in order of text; texts without doc_id come after all others, in the order of
+a hash, each as a document of its own, equal ones as one; matches never cross documents and may overlap.
 """
 
 from __future__ import annotations

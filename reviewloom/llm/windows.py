@@ -420,16 +420,21 @@ def find_repeats(
     given places of a byte array in the same way.
     """
     buckets = n_blocks(docs, block_bytes)
+    doc_id = F.col("doc_id").cast("long")
     spread_key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    if same_doc:
+        # Texts without id are documents of their own, after all others, in the order of a hash.
+        top = max(docs.agg(F.max(doc_id)).first()[0] or 0, 0)
+        missing = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(max(_LAST - top, 1))) + F.lit(min(top, _LAST - 1) + 1)
+    else:
+        missing = F.lit(_LAST)
     rows = docs.select(
-        F.pmod(spread_key, F.lit(buckets)).cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+        F.pmod(spread_key, F.lit(buckets)).cast("int").alias("block"), doc_id.alias("doc_id"), F.coalesce(doc_id, missing).alias("order"), "text"
     )
 
     def load(table: pa.Table) -> tuple[Block, list[bytes], pa.Table]:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids = table["doc_id"].to_numpy() if not table["doc_id"].null_count else np.array(
-            [_LAST if x is None else x for x in table["doc_id"].to_pylist()], np.int64
-        )
+        table = table.sort_by([("order", "ascending"), ("text", "ascending")])
+        ids = table["order"].to_numpy()
         texts = [b"" if x is None else x for x in table["text"].cast(pa.binary()).to_pylist()]
         return make_block(ids, texts), texts, table
 
@@ -498,7 +503,7 @@ def find_repeats(
         return reply
 
     def conclude(table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, texts, table = load(table.select(["doc_id", "text"]))
+        block, texts, table = load(table.select(["doc_id", "order", "text"]))
         found = repeated(block, _replies(replies), same_doc, label)
         gone = covered(len(block.valid), found, block.size)
         return pa.table({"doc_id": table["doc_id"], **finish(block, texts, gone)})

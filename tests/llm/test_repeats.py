@@ -34,13 +34,23 @@ def brute_words(rows, size=50):
     return sorted(out, key=str)
 
 
-def brute_bytes(rows, size=100):
+def missing_order(spark, rows):
+    """The places of texts without id: after all ids, by a hash of the text."""
+    from pyspark.sql import functions as F
+
+    top = max(d for d, _ in rows if d is not None)
+    texts = spark.createDataFrame([(t,) for d, t in rows if d is None], "text string").distinct()
+    number = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit((1 << 63) - 1 - top))
+    return {r.text: r.n for r in texts.select("text", number.alias("n")).collect()}
+
+
+def brute_bytes(rows, order, size=100):
     first, out = {}, []
-    ordered = sorted(((LAST if d is None else d, (t or "").encode(), d) for d, t in rows), key=lambda x: (x[0], x[1]))
-    for number, (d, b, doc_id) in enumerate(ordered):
+    ordered = sorted(((d is None, order[t] if d is None else d, (t or "").encode(), d) for d, t in rows), key=lambda x: x[:3])
+    for number, (*_, b, _) in enumerate(ordered):
         for i in range(len(b) - size + 1):
             first.setdefault(b[i : i + size], (number, i))
-    for number, (d, b, doc_id) in enumerate(ordered):
+    for number, (*_, b, doc_id) in enumerate(ordered):
         gone = bytearray(len(b))
         for i in range(len(b) - size + 1):
             if first[b[i : i + size]] != (number, i):
@@ -57,11 +67,25 @@ def test_words(odd, plain, block_bytes):
 
 
 @pytest.mark.parametrize("block_bytes", [2_000, 1 << 22])
-def test_bytes(odd, plain, block_bytes):
-    # Rows without doc_id in different blocks are compared by start only, so they are left out here.
-    df = odd.where("doc_id IS NOT NULL")
+def test_bytes(spark, odd, plain, block_bytes):
+    got = suffixes.digest(suffixes.remove_repeats(odd, block_bytes=block_bytes)).collect()
+    assert sorted(map(tuple, got), key=str) == brute_bytes(plain, missing_order(spark, plain))
+
+
+@pytest.mark.parametrize("block_bytes", [300, 2_000, 1 << 22])
+def test_texts_without_id_that_share_a_passage(spark, block_bytes):
+    """What is removed does not hang on the blocks that the texts are dealt to."""
+    passage = "the passage that three texts without an id share, word for word, and which is long enough to be found. " * 2
+    rows = [(None, f"{k}" * (60 * k) + passage + f"end {k}") for k in range(1, 4)] + [(None, "x"), (None, None), (5, "five " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = suffixes.digest(suffixes.remove_repeats(df, block_bytes=block_bytes)).collect()
-    assert sorted(map(tuple, got), key=str) == brute_bytes([r for r in plain if r[0] is not None])
+    assert sorted(map(tuple, got), key=str) == brute_bytes(rows, missing_order(spark, rows))
+
+
+def test_ids_near_the_largest_number(spark):
+    rows = [((1 << 63) - 2, "abc" * 60), ((1 << 63) - 1, "abc" * 60), (None, "abc" * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert suffixes.remove_repeats(df).count() == 3
 
 
 def test_spans_and_kept_text_agree(odd):
