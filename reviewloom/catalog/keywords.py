@@ -25,7 +25,7 @@ CORPUS = "corpus AS (SELECT *, 'all' AS scope FROM cleaned)," + tfidf_sql("corpu
 
 @query("corpus_keywords", f"WITH {CORPUS} SELECT term, round(score, 6) AS score, rank FROM kw", "cleaned")
 def _(v):
-    return M.corpus_keywords(v.stage)
+    return M.corpus_keywords(v.cleaned)
 
 
 CATEGORY = f"""
@@ -40,7 +40,7 @@ ck AS (SELECT * FROM ck0 WHERE rank <= CASE sentiment WHEN 'all' THEN 15 ELSE 10
 
 @query("category_keywords", f"WITH {CATEGORY} SELECT category, sentiment, term, round(score, 6) AS score, rank FROM ck", "cleaned")
 def _(v):
-    return M.category_keywords(v.stage)
+    return M.category_keywords(v.cleaned)
 
 
 @query(
@@ -50,18 +50,18 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    t = M.trending_topics(v.stage)
+    t = M.trending_topics(v.cleaned)
     return t.withColumns({"trend_score": F.round("trend_score", 4), "percentage_change": F.round("percentage_change", 2)})
 
 
 @query("common_complaints", f"WITH {CATEGORY} SELECT term, count(*) AS categories FROM ck WHERE sentiment = 'negative' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", "cleaned")
 def _(v):
-    return A.common_complaints(M.category_keywords(v.stage))
+    return A.common_complaints(M.category_keywords(v.cleaned))
 
 
 @query("concat_keyword_lists", f"WITH {CATEGORY} SELECT category, rank, term FROM ck WHERE sentiment = 'negative'", "cleaned")
 def _(v):
-    return G.concat_keyword_lists(M.category_keywords(v.stage))
+    return G.concat_keyword_lists(M.category_keywords(v.cleaned))
 
 
 @query(
@@ -75,7 +75,7 @@ def _(v):
 )
 def _(v):
     """The columns of the pivot, in millionths, as one text, as their names come from the data."""
-    pivoted = T.category_keyword_pivot(M.category_keywords(v.stage))
+    pivoted = T.category_keyword_pivot(M.category_keywords(v.cleaned))
     names = sorted(c for c in pivoted.columns if c != "term")
     cells = [F.concat(F.lit(f"{c}="), F.floor(F.col(f"`{c}`") * 1000000 + 0.5).cast("string")) for c in names]
     return pivoted.select("term", F.concat_ws(",", *cells).alias("cells"))
@@ -92,7 +92,7 @@ def _(v):
     "cleaned",
 )
 def _(v):
-    impact = T.topic_impact(v.stage, materialize(M.trending_topics(v.stage), "trending"))
+    impact = T.topic_impact(v.stage, materialize(M.trending_topics(v.cleaned), "trending"))
     listed = F.array_join(F.transform("affected_categories", lambda x: F.concat_ws(" ", x["category"], x["n"].cast("string"))), ",")
     return impact.withColumn("trend_score", F.round("trend_score", 4)).withColumn("affected_categories", listed)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..plans.scratch import materialize
 from ..schema import DEFAULTS, Settings
 from .aggregates import (
     best_worst_categories,
@@ -107,11 +108,24 @@ def _rule(order: int | Column, category, priority, issue, recommendation, impact
     ]
 
 
+def rule_rows(df: DataFrame, text_col: str) -> DataFrame:
+    """What the rules read of a review, written once: no texts but an empty one, which none of the rules looks at."""
+    columns = ("review_id", "product_id", "category", "rating", "predicted_sentiment", "confidence_score", "verified_purchase", "helpful_count", "review_date")
+    kept = [c for c in columns if c in df.columns]
+    return materialize(df.select(*kept, F.lit("").alias(text_col)), "rules")
+
+
 def recommendations(
     df: DataFrame, trending: DataFrame | None = None, cfg: Settings = DEFAULTS,
     text_col: str = "review_text", topic_col: str = "cleaned_text",
 ) -> DataFrame:
-    """The rules that fire, in order, one row each."""
+    """The rules that fire, in order, one row each. Texts are read for topics only."""
+    return _recommendations(rule_rows(df, text_col), df, trending, cfg, text_col, topic_col)
+
+
+def _recommendations(
+    df: DataFrame, texts: DataFrame, trending: DataFrame | None, cfg: Settings, text_col: str, topic_col: str
+) -> DataFrame:
     goal = cfg.satisfaction_goal * 100
     index = df.agg(csi_value(cfg.rating_weight, cfg.text_weight).alias("csi"))
     gap = goal - F.col("csi")
@@ -158,7 +172,7 @@ def recommendations(
     if trending is not None:
         # The first topics that are mentioned at all count, whatever their rating.
         impact = (
-            topic_impact(df, trending, topic_col).orderBy(F.desc("trend_score"), "topic").limit(3)
+            topic_impact(texts, trending, topic_col).orderBy(F.desc("trend_score"), "topic").limit(3)
         )
         rules.append(
             impact.where(F.col("avg_rating") < 3).select(
@@ -335,9 +349,10 @@ NEXT_STEPS: Sequence[str] = (
 
 def executive_summary(
     df: DataFrame, trending: DataFrame | None = None, cfg: Settings = DEFAULTS,
-    text_col: str = "review_text", topic_col: str = "cleaned_text",
+    text_col: str = "review_text", topic_col: str = "cleaned_text", report_date: str | None = None,
 ) -> DataFrame:
-    """Everything above as one row of text, arrays and structs."""
+    """Everything above as one row of text, arrays and structs, with the date of the report where it is given."""
+    texts, df = df, rule_rows(df, text_col)
     finance = financial_impact(df, cfg.order_value).select(
         F.struct(
             format_kpi(F.col("lost_revenue"), "dollars").alias("estimated_revenue_at_risk"),
@@ -350,7 +365,7 @@ def executive_summary(
     insights = top_insights(df, trending, text_col).agg(
         F.array_sort(F.collect_list(F.struct("rule_order", "insight")))["insight"]
     )
-    recs = recommendations(df, trending, cfg, text_col, topic_col).orderBy("rule_order", "issue").limit(5)
+    recs = _recommendations(df, texts, trending, cfg, text_col, topic_col).orderBy("rule_order", "issue").limit(5)
     packed = recs.agg(F.array_sort(F.collect_list(F.struct(*COLUMNS))))
     row = df.agg(
         csi_value(cfg.rating_weight, cfg.text_weight).alias("csi"),
@@ -361,6 +376,7 @@ def executive_summary(
         F.max("review_date").alias("hi"),
     )
     return row.select(
+        F.lit(report_date).cast("string").alias("report_date"),
         F.concat_ws(" to ", F.date_format("lo", "yyyy-MM-dd"), F.date_format("hi", "yyyy-MM-dd")).alias("analysis_period"),
         F.struct(
             format_kpi(F.col("csi"), "percent").alias("customer_satisfaction_index"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.ordered import running_totals
+from ..plans.scratch import materialize
 from ..schema import SENTIMENTS
 
 
@@ -183,7 +184,7 @@ def score_counts(scores: DataFrame, positive: int | str = 2) -> DataFrame:
 
 
 def _curve(scores: DataFrame, positive) -> DataFrame:
-    counts = score_counts(scores, positive)
+    counts = materialize(score_counts(scores, positive), "scores")
     cumulative = running_totals(counts, "score", ["tp", "fp"], descending=True)
     totals = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n"))
     return cumulative.withColumns(

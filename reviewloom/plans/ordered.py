@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import materialize
+
 RANGES = 256
 _BUCKET = "__range"
 
@@ -94,7 +96,8 @@ def quantiles(
     """Exact, linearly interpolated quantiles: one row per (by, probability).
 
     The rows are first folded to one per distinct value, so the memory of a task
-    does not grow with the data, unlike that of the ``percentile`` aggregate.
+    does not grow with the data, unlike that of the ``percentile`` aggregate. The folded
+    rows are written, as bounds, sums and ranks all read them.
     """
     by = list(by)
     histogram = (
@@ -102,6 +105,7 @@ def quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
+    histogram = materialize(histogram, "histogram")
     ranked = running_totals(histogram, "__v", ["__n"], by)
     sizes = histogram.groupBy(*by).agg(F.sum("__n").alias("__total"))
     ranked = _null_safe_join(ranked, sizes, by) if by else ranked.withColumn(

@@ -103,3 +103,25 @@ def test_topics_from_a_table(spark):
     assert got == [(1, "ba"), (1, "battery"), (2, "ba")]
     pairs = {(r.topic_a, r.topic_b): r.together for r in topics.topic_cooccurrence(docs, table).collect()}
     assert pairs["ba", "battery"] == 1 and pairs["ba", "ba"] == 2
+
+
+def test_summary_reads_the_reviews_once(spark):
+    from reviewloom.catalog.base import Views
+    from reviewloom.operators import business
+    from sessions import SF
+
+    views = Views(spark, SF)
+    row = business.executive_summary(views.reviews, text_col="product_name", report_date="2024-05-01")
+    plan = row._jdf.queryExecution().toString()
+    assert "lineitem" not in plan and "part.parquet" not in plan
+    assert row.first().report_date == "2024-05-01"
+    assert "lineitem" not in business.recommendations(views.reviews, text_col="product_name")._jdf.queryExecution().toString()
+
+
+def test_histograms_are_made_once(spark):
+    _, df = skewed(spark)
+    df.createOrReplaceTempView("skewed_rows")
+    plan = ordered.quantiles(spark.table("skewed_rows"), ["g"], "v", (0.5,))._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "Scan ExistingRDD" not in plan
+    scores = df.select(F.col("v").alias("score"), (F.col("id") % 3).cast("int").alias("label"))
+    assert "Scan ExistingRDD" not in evaluation.roc_auc(scores)._jdf.queryExecution().executedPlan().toString()
