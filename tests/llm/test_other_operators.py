@@ -53,6 +53,9 @@ def test_token_counts(odd, none, plain, tokenizer):
         assert r.tokens_upto == sum(k * n for k, n in lengths.items() if k <= r.n_tokens)
         assert r.truncated_tokens == sum(min(k, r.n_tokens) * n for k, n in lengths.items())
         assert r.share_upto == round(fit / len(plain), 6)
+    answered = {r.n_tokens for r in token_counts.by_limit(token_counts.histogram(odd)).collect()}
+    assert answered == lengths.keys() | set(token_counts.LIMITS) and {512, 2048, 131072} <= answered
+    assert {r.n_tokens for r in token_counts.by_limit(token_counts.histogram(odd), [7]).collect()} == lengths.keys() | {7}
     assert token_counts.by_limit(token_counts.histogram(none)).collect() == []
 
 
