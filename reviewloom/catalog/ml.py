@@ -30,16 +30,10 @@ def _features(v, min_df=5):
     return materialize(encoded.select("review_id", "label", "is_train", "features"), "features"), vectorizer
 
 
-_trained: dict[tuple[str, str], tuple] = {}
-
-
 def _forest(v):
-    """The forest of 100 trees, trained once for a session and folder."""
-    key = (v.spark.sparkContext.applicationId, v.sf_dir)
-    if key not in _trained:
-        features, vectorizer = _features(v)
-        _trained[key] = (J.train_random_forest(features.where("is_train")), features, vectorizer)
-    return _trained[key]
+    """The forest of 100 trees with its features and vectorizer."""
+    features, vectorizer = _features(v)
+    return J.train_random_forest(features.where("is_train")), features, vectorizer
 
 
 def _scored(v, score):
