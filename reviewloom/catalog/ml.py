@@ -14,7 +14,7 @@ from ..operators import ranking as R
 from ..operators import udfs as O
 from ..operators.kernels import train_kernel_svm
 from ..plans.scratch import materialize, scratch_path
-from ..sources import readers, writers
+from ..sources import readers, versions, writers
 from ..schema import SENTIMENTS
 from .aggregates import PERFORMANCE, rate
 from .base import query
@@ -262,6 +262,15 @@ def _(v):
     return O.apply_per_group(v.reviews.select("product_id", "rating"), "product_id", middle, "product_id bigint, n bigint, mid double")
 
 
+@query("versioned_stages", "SELECT true_sentiment, predicted_sentiment, count(*) AS n FROM reviews GROUP BY 1, 2")
+def _(v):
+    """Labels and predictions as stages of their own, joined bucket by bucket."""
+    labels, predictions = scratch_path(v.spark, "labels"), scratch_path(v.spark, "predictions")
+    versions.write_version(v.reviews.select("review_id", "true_sentiment"), labels)
+    versions.write_version(v.reviews.select("review_id", "predicted_sentiment"), predictions)
+    return versions.agreement(versions.join_stages(versions.read_version(v.spark, labels), versions.read_version(v.spark, predictions)))
+
+
 def _fields(df):
     return df.select("review_id", "product_id", "category", "rating", "review_date", "verified_purchase")
 
