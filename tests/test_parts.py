@@ -37,6 +37,12 @@ def test_partitions_grow_with_the_text(spark):
     assert len({r.k for r in dealt}) == len(dealt)
 
 
+def test_ngrams_move_texts_only(spark, tables):
+    result = QUERIES["ngrams"](spark, tables)
+    assert shuffles(result) == 1
+    assert {r.review_id: r.n for r in result.collect()}[0] == 2 * result.where("review_id = 1").first().n
+
+
 def test_key_phrases_move_texts_only(spark, tables):
     result = QUERIES["doc_keywords"](spark, tables)
     assert shuffles(result) == 1 and result.select("review_id").distinct().count() == 40
