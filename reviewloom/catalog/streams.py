@@ -81,8 +81,8 @@ def _(v):
 )
 def _(v):
     stream = document_stream(v).withColumn("review_text", clean_text(F.col("review_text")))
-    counts = N.run_available_updates(N.stream_trending_terms(stream), ["window_start", "term"])
-    return N.top_terms(counts, 3)
+    counts = N.run_available_updates(N.stream_trending_terms(stream), ["slide_start", "term"])
+    return N.top_terms(N.sliding_counts(counts), 3)
 
 
 @query(

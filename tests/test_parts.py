@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from reviewloom.catalog import QUERIES
 from reviewloom.operators import keywords as M
 from reviewloom.plans.parts import parts_by_text, together
+from reviewloom.streaming.monitors import sliding_counts
 from tests.sessions import make_session
 
 
@@ -55,3 +56,19 @@ def test_a_phrase_has_consecutive_places(spark):
     # A stop word or the end of a sentence parts a phrase; so does a word that lower case cuts in two.
     assert {"solar panel", "panel costs", "solar panel costs", "solar solar", "solar solar panel"} == {p for p in phrases if " " in p}
     assert {r.review_id for r in rows} == {1}
+
+
+def test_a_table_of_many_files_is_streamed(spark, tables):
+    result = QUERIES["stream_trending_terms"](spark, tables)
+    assert result.where("rank = 1").first().n > 0
+    # Negative are ids whose remainder by seven is 0 or 1.
+    assert QUERIES["stream_category_issues"](spark, tables).count() == sum(i % 7 <= 1 for i in [*range(40), 0])
+
+
+def test_windows_are_sums_of_slides(spark):
+    rows = [("2024-01-01 00:00:00", "a", 2), ("2024-01-03 00:00:00", "a", 5)]
+    counts = spark.createDataFrame(rows, "t string, term string, n long").selectExpr("CAST(t AS TIMESTAMP) AS slide_start", "term", "n")
+    got = {r.d: r.n for r in sliding_counts(counts, "3 days", "1 day").selectExpr("date_format(window_start, 'MM-dd') AS d", "n").collect()}
+    assert got == {"12-30": 2, "12-31": 2, "01-01": 7, "01-02": 5, "01-03": 5}
+    with pytest.raises(ValueError):
+        sliding_counts(counts, "3 days", "2 days")
