@@ -99,7 +99,7 @@ def _(v):
 )
 def _(v):
     lemmas = v.spark.createDataFrame([("the", "T1"), ("los", "L1")], "form string, lemma string")
-    return H.lemmatize(v.cleaned.select("review_id", "cleaned_text"), lemma_table=lemmas)
+    return H.lemmatize(v.stage.select("review_id", "cleaned_text"), lemma_table=lemmas)
 
 
 def _endings_sql(form):

@@ -19,6 +19,7 @@ from ..functions.wordlists import (
     POSITIVE_CLEANED,
     POSITIVE_RAW,
 )
+from ..plans.parts import together
 from ..plans.scratch import materialize
 from ..schema import DEFAULTS, Settings
 from .filters import length_filter
@@ -102,12 +103,17 @@ def lemmatize(
     out = out or col
     if lemma_table is None and base_forms is None:
         return df.withColumn(out, X.singularize(F.col(col)))
-    tokens = df.select(key, F.posexplode(X.word_and_mark_tokens(F.col(col))).alias("pos", "form"))
+    # Texts move once; words are looked up and put together again inside their tasks, where the table is broadcast.
+    df = together(df, key, col)
+    tokens = df.where(F.col(key).isNotNull()).select(key, F.posexplode(X.word_and_mark_tokens(F.col(col))).alias("pos", "form"))
     lemma = F.coalesce("lemma", X.singularize(F.col("form")))
     if base_forms is not None:
         found = noun_lemmas(tokens.select("form").distinct(), base_forms, lemma_table)
         lemma_table = materialize(found.where(F.col("lemma") != F.col("form")), "lemmas")
         lemma = F.coalesce("lemma", "form")
+    else:
+        # Written, it has a size by which the planner can broadcast it; local rows have none.
+        lemma_table = materialize(lemma_table, "lemmas")
     lemmas = (
         tokens.join(lemma_table, "form", "left")
         .groupBy(key)

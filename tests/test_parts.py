@@ -58,6 +58,13 @@ def test_a_phrase_has_consecutive_places(spark):
     assert {r.review_id for r in rows} == {1}
 
 
+def test_lemmas_move_texts_only(spark, tables):
+    result = QUERIES["lemmatize_table"](spark, tables)
+    # The texts, with and without those that have no id.
+    assert shuffles(result) <= 2 and result.count() == 41
+    assert "T1 unit 3" in result.where("review_id = 3").first().cleaned_text
+
+
 def test_a_table_of_many_files_is_streamed(spark, tables):
     result = QUERIES["stream_trending_terms"](spark, tables)
     assert result.where("rank = 1").first().n > 0
