@@ -72,3 +72,21 @@ def test_patterns_without_literals_only_and_none(spark):
     assert found(r"\d", "^.$") == [(1, r"\d")]
     assert found("") == [] and found("q") == []
     assert found("zz", r"[a]\d") == [(1, r"[a]\d"), (2, "zz")]
+
+
+@pytest.mark.parametrize("regex", [False, True])
+def test_a_short_table_is_tested_in_the_rows(spark, monkeypatch, regex):
+    """Texts are not cut into pieces for a few topics; the answers are those of the candidates."""
+    rows = [(1, "The battery and the BATTERY"), (2, "no screen"), (2, "no screen"), (3, None), (4, ""), (None, "Screen, battery")]
+    df = spark.createDataFrame(rows, "review_id long, cleaned_text string")
+    topics = spark.createDataFrame([("Battery",), ("screen",), ("battery",), ("",), (None,), ("absent",)], "topic string")
+    found = lambda: sorted(map(str, C.topic_mentions(df, topics, regex=regex).collect()))
+    monkeypatch.setattr(C, "PATTERN_BLOCK", 1)
+    by_candidates = found()
+    monkeypatch.undo()
+
+    def cut(*_):
+        raise AssertionError("texts are cut into pieces")
+
+    monkeypatch.setattr(C, "_candidates", cut)
+    assert found() == by_candidates and len(by_candidates) == 7
