@@ -62,3 +62,14 @@ def test_stage_has_few_files(spark, tmp_path):
     write_stage(df, str(tmp_path / "stage"))
     assert len(list(tmp_path.glob("stage/*/*.parquet"))) <= 6
     assert spark.read.parquet(str(tmp_path / "stage")).count() == 1000
+
+
+def test_terms_of_clusters_are_counted_in_parts_by_text(spark, monkeypatch):
+    rows = [(i, i % 3, f"aa{i % 3} bb{i} cc") for i in range(240)]
+    df = spark.createDataFrame(rows, "review_id long, cluster int, cleaned_text string")
+    plain = sorted(map(str, topics.cluster_words(df, 50, 3).collect()))
+    monkeypatch.setattr(topics, "parts_by_text", lambda *_: 37)
+    dealt = topics.cluster_words(df, 50, 3)
+    # Rows by term are one exchange, which Spark uses for the sums and for the join.
+    assert "hashpartitioning(term" in (plan := dealt._jdf.queryExecution().executedPlan().toString()) and ", 37)" in plan
+    assert sorted(map(str, dealt.collect())) == plain
