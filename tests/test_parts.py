@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.catalog import QUERIES
 from reviewloom.operators import keywords as M
+from reviewloom.operators import text
 from reviewloom.plans.parts import parts_by_text, together
 from reviewloom.streaming.monitors import sliding_counts
 from tests.sessions import make_session
@@ -79,3 +80,16 @@ def test_windows_are_sums_of_slides(spark):
     assert got == {"12-30": 2, "12-31": 2, "01-01": 7, "01-02": 5, "01-03": 5}
     with pytest.raises(ValueError):
         sliding_counts(counts, "3 days", "2 days")
+
+
+def test_texts_are_dealt_before_valence(spark, monkeypatch):
+    """The tasks do not depend on how many files the texts come from."""
+    rows = [(i, f"not a good unit {i}, but great! " * 40) for i in range(64)] + [(None, None)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string").coalesce(1)
+    plain = sorted(map(str, text.row_polarity(df).collect()))
+    monkeypatch.setattr(text, "parts_by_text", lambda df, col: parts_by_text(df, col, 4_000))
+    for scores in (text.row_polarity, text.all_features):
+        given = df.withColumn("rating", F.lit(5)).withColumn("helpful_count", F.lit(1)).withColumn("verified_purchase", F.lit(True)) if scores is text.all_features else df
+        parts = scores(given).select(F.spark_partition_id().alias("p"), F.length("review_text").alias("n")).groupBy("p").agg(F.sum("n").alias("n")).collect()
+        assert len(parts) > 16 and max(r.n or 0 for r in parts) < 12_000
+    assert sorted(map(str, text.row_polarity(df).collect())) == plain

@@ -3,7 +3,9 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from reviewloom.functions import valence as V
 from reviewloom.operators import text as H
 
 LEXICON = {"good": (1.0, 1.0), "great": (1.5, 1.0), "bad": (-1.0, 1.0), "least": (-0.1, 0.0), "incredible": (1.0, 1.0), "kind": (0.9, 1.0)}
@@ -101,3 +103,10 @@ def test_directions(spark):
     got = {rows[k]: v[3] for k, v in scores(H.row_polarity(df, lexicon=LEXICON)).items()}
     assert got["not good"] < 0 < got["good"] < got["very good"] < got["VERY good thing"] and got["good"] < got["good!!"]
     assert got["bad"] < 0 and got["good but bad"] < 0 < got["bad but good"]
+
+
+def test_marked_words_are_worked_out_once(spark):
+    text = F.col("t")
+    hits = F.array().cast("array<struct<pos:int,v:double>>")
+    df = spark.createDataFrame([("not good",)], "t string").select(V.valence(text, V.marked_words(F.split(text, " ")), hits))
+    assert df._jdf.queryExecution().analyzed().toString().count("n't") == 1
