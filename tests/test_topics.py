@@ -72,4 +72,5 @@ def test_terms_of_clusters_are_counted_in_parts_by_text(spark, monkeypatch):
     dealt = topics.cluster_words(df, 50, 3)
     # Rows by term are one exchange, which Spark uses for the sums and for the join.
     assert "hashpartitioning(term" in (plan := dealt._jdf.queryExecution().executedPlan().toString()) and ", 37)" in plan
+    assert "hashpartitioning(cluster" not in plan  # a cluster's terms are not in one task
     assert sorted(map(str, dealt.collect())) == plain
