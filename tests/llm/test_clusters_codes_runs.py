@@ -170,6 +170,17 @@ def test_trie_shares_prefixes():
     assert walk(trie.root) == words and set(trie.root[1]) == {"i", "o"}
 
 
+def test_states_have_the_tokens_that_end_there():
+    v, rng = prefix_bpe.coder().vocabulary, random.Random(5)
+    for _ in range(300):
+        text, state = "", 0
+        for character in (rng.choice("abehinst'1Ã©") for _ in range(rng.randrange(1, 15))):
+            text, state = text + character, v._step(state, character)
+        endings = [text[k:] for k in range(len(text))]
+        assert list(v.inner[state]) == [(v.ids[e], len(e)) for e in endings if e in v.ids]
+        assert list(v.closing[state]) == [(v.ids[e + v.end], len(e)) for e in endings if e + v.end in v.ids]
+
+
 def test_memo_is_bounded(monkeypatch):
     monkeypatch.setattr(prefix_bpe, "MEMO", 5)
     coder = prefix_bpe.Coder()
