@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.text import gram_tokens, ngrams
 from reviewloom.operators import ml as J
 from reviewloom.operators import topics as T
+from reviewloom.operators import vocabulary
 from reviewloom.operators.vocabulary import gram_vocabulary
 
 
@@ -99,3 +100,23 @@ def test_no_terms(spark):
     df = spark.createDataFrame([(1, "one two")], "review_id long, cleaned_text string")
     with pytest.raises(ValueError, match="no term"):
         J.tfidf_vectorize(df, min_df=5)
+
+
+def test_words_are_moved_once_by_document(spark, monkeypatch):
+    """Pairs of neighbours and their counts per document need one exchange by the key; keys may repeat or be null."""
+    plans = []
+    whole = vocabulary.materialize
+
+    def looked_at(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return whole(df, name)
+
+    monkeypatch.setattr(vocabulary, "materialize", looked_at)
+    rows = [(1, ["a", "b", "c"]), (1, ["a", "b"]), (2, ["b", "c"]), (None, ["a", "b"]), (3, []), (4, ["c"])]
+    tokens = whole(spark.createDataFrame(rows, "review_id long, tokens array<string>"), "tokens")
+    got = {r["term"]: (r["tf"], r["df"]) for r in vocabulary.gram_counts(tokens, 1, 2, 1).collect()}
+    # Rows of one key are one document, whose neighbouring places are paired with each other.
+    assert got == {"a": (3, 3), "b": (4, 4), "c": (3, 3), "a b": (4, 1), "b c": (3, 2)}
+    plan = dict(plans)["level-2"]
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("hashpartitioning(review_id") == 1 and initial.count("hashpartitioning(") <= 2
