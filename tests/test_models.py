@@ -46,6 +46,23 @@ def test_forest_and_linear_machine(fitted):
     assert accuracy(J.train_linear_svm(known).transform(held)) > 0.9
 
 
+def test_histograms_are_bounded_and_forests_that_fit_stay_the_same(fitted):
+    _, features, forest = fitted
+    assert forest.getOrDefault("maxMemoryInMB") <= 256
+    roomy = RandomForestClassifier(numTrees=30, maxDepth=8, seed=42, maxMemoryInMB=1024).fit(features.where("NOT held"))
+    assert [t.toDebugString.split("\n", 1)[1] for t in forest.trees] == [t.toDebugString.split("\n", 1)[1] for t in roomy.trees]
+
+
+def test_a_forest_grown_in_many_passes_is_whole(spark):
+    # Rows without pattern, and more open nodes than a pass of 1 MB has room for: trees still grow until all leaves are pure.
+    rng = random.Random(3)
+    noise = spark.createDataFrame(
+        [(Vectors.dense([rng.random() for _ in range(100)]), float(rng.randrange(3))) for _ in range(120)], ["features", "label"]
+    )
+    whole = J.random_forest(12).setBootstrap(False).setMaxMemoryInMB(1).fit(noise)
+    assert len(whole.trees) == 12 and accuracy(whole.transform(noise)) == 1
+
+
 def test_predictions_have_a_row_per_review(fitted):
     _, features, forest = fitted
     rows = J.predict_with_confidence(forest, features).collect()
