@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
+from reviewloom.operators import forest
 from reviewloom.operators import ml as J
 from reviewloom.operators.forest import Forest, _drawn, _poisson
 
@@ -86,3 +88,17 @@ def test_bootstrap_numbers_are_those_of_the_library(spark):
     poisson = spark._jvm.org.apache.commons.math3.distribution.PoissonDistribution(1.0)
     poisson.reseedRandomGenerator(43)
     assert list(poisson.sample(3000)) == list(itertools.islice(_poisson(43), 3000))
+
+
+def test_counts_that_meet_in_a_task_do_not_grow_with_the_tasks_before():
+    level = {"m": 100, "bins": 32, "sides": 3, "weighted": False, "density": 0.5, "totals": np.full((2000, 3), 1e6)}
+    for tasks in (1, 20, 400):
+        buckets = forest._buckets(level, tasks, 8)
+        assert (np.diff(buckets) >= 0).all() and buckets[0] == 0
+        assert np.bincount(buckets).max() * 9600 * tasks <= forest.GOT + 9600 * tasks
+
+
+def test_folds_are_trained_side_by_side_with_the_same_result(spark, sparse):
+    table = sparse.select("label", "features").withColumn("review_id", F.monotonically_increasing_id())
+    one, three = (sorted(J.cross_validate(J.random_forest(5, max_depth=4), table, 3, parallelism=p).collect()) for p in (1, 3))
+    assert one == three and len(one) == 12
